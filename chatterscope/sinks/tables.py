@@ -25,21 +25,26 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return top_n_per_group(df, keys, order, 1).drop("rank")
 
 
-def anti_existing(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key the stored table does not hold.
+def known_keys(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of the batch that the stored table holds.
 
-    The stored keys are first reduced to those of the batch. With a small batch Spark
-    broadcasts its keys, and the large table is only scanned, one column wide, not shuffled.
+    With a small batch Spark broadcasts its keys, and the large table is only scanned, one
+    column wide, not shuffled.
     """
-    seen = existing.select(*keys).join(new.select(*keys), keys, "left_semi").distinct()
-    return new.join(seen, keys, "left_anti")
+    return existing.select(*keys).join(new.select(*keys), keys, "left_semi").distinct()
+
+
+def anti_existing(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the stored table does not hold."""
+    return new.join(known_keys(existing, new, keys), keys, "left_anti")
 
 
 def append_new(
     new: DataFrame, existing: DataFrame, keys: list[str], order: list[Column]
 ) -> DataFrame:
     """What an insert that skips known keys would add: the first row per new key."""
-    return anti_existing(first_per_key(new, keys, order), existing, keys)
+    known = known_keys(existing, new, keys)
+    return first_per_key(new, keys, order).join(known, keys, "left_anti")
 
 
 def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
@@ -121,7 +126,10 @@ def append_counted(
     new: DataFrame, existing: DataFrame, table: str, order: list[Column], path: str
 ) -> dict[str, int]:
     """Appends the new keys and reports how many rows were offered and how many inserted."""
+    keys = KEYS[table]
+    known = known_keys(existing, new, keys)
     offered, attempted = observed(new, f"{table}-attempted")
-    added, inserted = observed(append_new(offered, existing, KEYS[table], order), f"{table}-inserted")
+    fresh = first_per_key(offered, keys, order).join(known, keys, "left_anti")
+    added, inserted = observed(fresh, f"{table}-inserted")
     added.write.mode("append").parquet(path)
     return {"attempted": attempted.get["rows"], "inserted": inserted.get["rows"]}
