@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_ROWS = 200_000
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a side table for broadcast only if it has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``max_rows`` rows. Reads no further than one row past that."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    The check reads no further than one row past the limit. Beyond it Spark plans a shuffle join.
+
+def small(df: DataFrame, source: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marks a side table for broadcast only if it is small; else Spark plans a shuffle join.
+
+    ``source`` is a table that ``df`` was made from and cannot outgrow; its size is checked instead.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(source or df, max_rows) else df

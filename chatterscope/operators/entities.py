@@ -76,7 +76,7 @@ def mentions(
             F.col("_length") == n, F.concat_ws(" ", *[f"w{k}" for k in range(1, n + 1)])
         )
     found = candidates.join(
-        small(_phrases(gazetteer, max_words)),
+        small(_phrases(gazetteer, max_words), gazetteer),
         (F.col("w1") == F.col("_first")) & (F.col("_phrase") == spelled),
     ).select(
         "post_id", "start", (F.col("start") + F.col("_length")).alias("end"),

@@ -119,11 +119,10 @@ def score_texts(
     # "but" only sets the turning point. A booster is never rated itself, and a rated word
     # never acts as a negator.
     boosters = modifiers.where("kind = 'booster'")
+    negators = modifiers.where("kind = 'negator'")
     rated = lexicon.join(boosters.select("term"), "term", "left_anti")
-    acting = modifiers.where("kind = 'booster'").unionByName(
-        modifiers.where("kind = 'negator'").join(lexicon.select("term"), "term", "left_anti")
-    )
-    rated, acting = small(rated), small(acting)
+    acting = boosters.unionByName(negators.join(lexicon.select("term"), "term", "left_anti"))
+    rated, acting = small(rated, lexicon), small(acting, modifiers)
 
     rows = _word_rows(texts, keep).join(
         rated.select(F.col("term").alias("_term"), "valence"),

@@ -53,7 +53,7 @@ SHARES = ", ".join(
 SENTIMENT_TEXT = strip("coalesce(title, '') || '. ' || coalesce(body, '')")
 POST_TEXT = "coalesce(title, '') || ' ' || coalesce(body, '')"
 ITEM_KEY = "left(base64(unhex(sha256(url))), 20)"
-SPLIT = "(crc % 4)"
+PART_OF = "(CAST(('0x' || left(md5(post_id), 4)) AS BIGINT) % 4)"
 ALL_STOPWORDS = [*CUSTOM_STOPWORDS, *rs.english_stopwords()]
 SERIES = "PARTITION BY subreddit, keyword ORDER BY hour_bucket"
 TREND_COLUMNS = f"""
@@ -394,7 +394,7 @@ ORACLE: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, post_id) AS rank
           FROM raw_posts WHERE subreddit IN ('en', 'fr'))
         WHERE rank <= 50"""),
-    "read_rss": sql("feed_posts", "SELECT * FROM feed_posts"),
+    "read_rss": sql("feed_posts", "SELECT * REPLACE (trim(title) AS title) FROM feed_posts"),
     "rss_key": sql("items", f"""
         SELECT url AS link, {ITEM_KEY} AS post_id, left(url, 20) AS legacy_key FROM items"""),
     "feed_topic_join": sql("items feeds", """
@@ -410,6 +410,15 @@ ORACLE: dict[str, str] = {
     "append_sentiment": sql("scores", "SELECT * FROM scores"),
     "append_entities": sql("entity_rows", "SELECT * FROM entity_rows"),
     "write_keyword_trends": sql("trends", "SELECT * FROM trends"),
+    "upsert_daily_summary": sql("wide scores wide_now", f"""
+        SELECT CAST(created_utc AS DATE) AS summary_date, subreddit, count(*) AS total_posts,
+               {mean('compound')} AS avg_sentiment, {SHARES}
+        FROM wide JOIN scores USING (post_id), wide_now
+        WHERE CAST(created_utc AS DATE) = CAST(as_of AS DATE) OR {PART_OF} <= 2 GROUP BY 1, 2"""),
+    "write_metrics": sql("scores", f"""
+        SELECT count(*) FILTER ({PART_OF} >= 2) AS attempted, count(*) FILTER ({PART_OF} > 2) AS inserted,
+               count(*) AS stored FROM scores"""),
+    "anti_existing": sql("scores", f"SELECT * FROM scores WHERE {PART_OF} > 2"),
     "validate_contract": r"""
         SELECT url AS post_id, 0 AS score, array_to_string(list_filter([
                  CASE WHEN title IS NULL THEN 'title is null' END,
@@ -465,14 +474,13 @@ ORACLE: dict[str, str] = {
         GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 50"""),
     "daily_summary": sql("days", "SELECT * FROM days"),
     "daily_top_terms": sql("days entity_rows trends", """
-        , e AS (SELECT CAST(created_utc AS DATE) AS summary_date, subreddit, entity_text,
-                       row_number() OVER (PARTITION BY CAST(created_utc AS DATE), subreddit
-                         ORDER BY sum(mention_count) DESC, entity_text) AS pos
-                FROM entity_rows JOIN wide USING (post_id) GROUP BY ALL),
-          k AS (SELECT CAST(hour_bucket AS DATE) AS summary_date, subreddit, keyword,
-                       row_number() OVER (PARTITION BY CAST(hour_bucket AS DATE), subreddit
-                         ORDER BY sum(frequency) DESC, keyword) AS pos
-                FROM trends GROUP BY CAST(hour_bucket AS DATE), subreddit, keyword)
+        , e AS (SELECT *, row_number() OVER (PARTITION BY summary_date, subreddit ORDER BY n DESC, entity_text) AS pos
+                FROM (SELECT CAST(created_utc AS DATE) AS summary_date, subreddit, entity_text,
+                             sum(mention_count) AS n
+                      FROM entity_rows JOIN wide USING (post_id) GROUP BY ALL)),
+          k AS (SELECT *, row_number() OVER (PARTITION BY summary_date, subreddit ORDER BY n DESC, keyword) AS pos
+                FROM (SELECT CAST(hour_bucket AS DATE) AS summary_date, subreddit, keyword,
+                             sum(frequency) AS n FROM trends GROUP BY ALL))
         SELECT days.summary_date, days.subreddit, total_posts, entity_text AS top_entity,
                keyword AS top_keyword
         FROM days LEFT JOIN (SELECT * FROM e WHERE pos = 1) e USING (summary_date, subreddit)
@@ -546,7 +554,8 @@ ORACLE: dict[str, str] = {
         SELECT * FROM (
           SELECT post_id, array_to_string(list_transform(
                    regexp_extract_all(lower({strip('title')}), '\p{{L}}+|[^\p{{L}}]+'),
-                   lambda x: upper(x[1]) || x[2:]), '') AS entity_text FROM raw_posts)
+                   lambda x: CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || x[2:]), '') AS entity_text
+          FROM raw_posts)
         WHERE {REPORTABLE}"""),
     "custom_scorer": sql("raw_posts", f"""
         SELECT post_id, share AS compound, share AS positive, 0::DOUBLE AS negative,
@@ -555,14 +564,13 @@ ORACLE: dict[str, str] = {
                      AS share FROM (SELECT post_id, {POST_TEXT} AS t FROM raw_posts))"""),
     # Streams
     "hourly_pipeline": sql("raw_posts text_scores found keyword_rows", f"""
-        , e AS (SELECT CAST(created_utc AS DATE) AS summary_date, subreddit, entity_text,
-                       row_number() OVER (PARTITION BY CAST(created_utc AS DATE), subreddit
-                         ORDER BY sum(mention_count) DESC, entity_text) AS pos
-                FROM found JOIN raw_posts USING (post_id) GROUP BY ALL),
-          k AS (SELECT CAST(hour_bucket AS DATE) AS summary_date, subreddit, keyword,
-                       row_number() OVER (PARTITION BY CAST(hour_bucket AS DATE), subreddit
-                         ORDER BY sum(frequency) DESC, keyword) AS pos
-                FROM keyword_rows GROUP BY CAST(hour_bucket AS DATE), subreddit, keyword),
+        , e AS (SELECT *, row_number() OVER (PARTITION BY summary_date, subreddit ORDER BY n DESC, entity_text) AS pos
+                FROM (SELECT CAST(created_utc AS DATE) AS summary_date, subreddit, entity_text,
+                             sum(mention_count) AS n
+                      FROM found JOIN raw_posts USING (post_id) GROUP BY ALL)),
+          k AS (SELECT *, row_number() OVER (PARTITION BY summary_date, subreddit ORDER BY n DESC, keyword) AS pos
+                FROM (SELECT CAST(hour_bucket AS DATE) AS summary_date, subreddit, keyword,
+                             sum(frequency) AS n FROM keyword_rows GROUP BY ALL)),
           days AS (SELECT CAST(created_utc AS DATE) AS summary_date, subreddit, count(*) AS total_posts,
                           {mean('compound')} AS avg_sentiment, {SHARES}
                    FROM raw_posts JOIN text_scores USING (post_id) GROUP BY 1, 2)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import csv
 from importlib.resources import files
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from chatterscope.constants import FEEDS
@@ -23,20 +24,22 @@ def english_stopwords() -> list[str]:
     return files(__package__).joinpath("stopwords_english.txt").read_text("utf-8").split()
 
 
+def _frame(spark: SparkSession, data: list[dict]) -> DataFrame:
+    """Small Arrow tables become local relations, whose size Spark knows without a job."""
+    return spark.createDataFrame(pa.Table.from_pylist(data))
+
+
 def lexicon(spark: SparkSession) -> DataFrame:
-    data = [(r["term"], float(r["valence"])) for r in rows("lexicon")]
-    return spark.createDataFrame(data, "term string, valence double")
+    return _frame(spark, [{**r, "valence": float(r["valence"])} for r in rows("lexicon")])
 
 
 def modifiers(spark: SparkSession) -> DataFrame:
-    data = [(r["term"], r["kind"], float(r["weight"])) for r in rows("modifiers")]
-    return spark.createDataFrame(data, "term string, kind string, weight double")
+    return _frame(spark, [{**r, "weight": float(r["weight"])} for r in rows("modifiers")])
 
 
 def gazetteer(spark: SparkSession) -> DataFrame:
-    data = [(r["phrase"], r["entity_type"]) for r in rows("gazetteer")]
-    return spark.createDataFrame(data, "phrase string, entity_type string")
+    return _frame(spark, rows("gazetteer"))
 
 
 def feed_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FEEDS, "feed string, topic string, url string")
+    return _frame(spark, [{"feed": f, "topic": t, "url": u} for f, t, u in FEEDS])

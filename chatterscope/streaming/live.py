@@ -14,20 +14,27 @@ from chatterscope.operators.summaries import label_shares
 LATENESS = "2 hours"
 
 
+def _timed(posts: DataFrame) -> DataFrame:
+    """Watermarks need a timestamp with a zone."""
+    return posts.withColumn("_event", F.col("created_utc").cast("timestamp"))
+
+
 def stream_dedup(posts: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """The first arrival of each post, as far back as the watermark reaches."""
-    return posts.withWatermark("created_utc", lateness).dropDuplicatesWithinWatermark(["post_id"])
+    kept = _timed(posts).withWatermark("_event", lateness).dropDuplicatesWithinWatermark(["post_id"])
+    return kept.drop("_event")
 
 
 def stream_hourly_sentiment(scored: DataFrame, lateness: str | None = LATENESS) -> DataFrame:
     """Sentiment per hour and subreddit over scored posts.
 
-    ``lateness=None`` is for batch frames and for streams that carry a watermark already.
+    ``lateness=None`` is for batch frames.
     """
+    timed = _timed(scored)
     if lateness is not None:
-        scored = scored.withWatermark("created_utc", lateness)
+        timed = timed.withWatermark("_event", lateness)
     return (
-        scored.groupBy(F.window("created_utc", "1 hour"), "subreddit")
+        timed.groupBy(F.window("_event", "1 hour"), "subreddit")
         .agg(
             F.count(F.lit(1)).alias("total_posts"),
             round_half_up(exact_mean(F.col("compound")), 3).alias("avg_sentiment"),
