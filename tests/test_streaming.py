@@ -55,9 +55,12 @@ def test_empty_batch_writes_nothing(spark, landed, tmp_path):
 def test_hourly_stream_equals_batch_and_reports_late_rows(spark, tmp_path):
     posts, scores = fx.wide_posts(spark, D), fx.sentiment(spark, D)
     joined = su.posts_join_sentiment(posts, scores).select("post_id", "subreddit", "created_utc", "compound", "label")
-    a, b = str(tmp_path / "in" / "a"), str(tmp_path / "in" / "b")
-    joined.where("created_utc >= '2024-01-02'").coalesce(1).write.parquet(a)
-    joined.where("created_utc < '2024-01-02'").coalesce(1).write.parquet(b)
+    # Rows count as late by the watermark of the batch before, so the late file comes third.
+    for i, part in enumerate((
+        "created_utc >= '2024-01-02' and created_utc < '2024-01-29'",
+        "created_utc >= '2024-01-29'", "created_utc < '2024-01-02'",
+    )):
+        joined.where(part).coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
     stream = (spark.readStream.schema(joined.schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")))
     out = str(tmp_path / "out")
