@@ -29,3 +29,11 @@ def repeats(ordered: str) -> Column:
     following = F.slice(ordered, F.lit(2), F.size(ordered))
     pairs = F.zip_with(ordered, following, lambda a, b: F.when(a == b, a))
     return F.filter(pairs, lambda item: item.isNotNull())
+
+
+def run_starts(ordered: str) -> Column:
+    """Where each run of equal items begins in a sorted array column."""
+    places = F.transform(
+        ordered, lambda item, i: F.when((i == 0) | (item != F.get(F.col(ordered), i - 1)), i)
+    )
+    return F.filter(places, lambda i: i.isNotNull())

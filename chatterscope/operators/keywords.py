@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 from chatterscope.constants import (
     CUSTOM_STOPWORDS, MAX_FEATURES, MIN_DOCS, TOP_KEYWORDS, UNKNOWN_SUBREDDIT,
 )
-from chatterscope.functions.arrays import repeats, unnest, unnest_structs
+from chatterscope.functions.arrays import repeats, run_starts, unnest, unnest_structs
 from chatterscope.functions.numbers import round_half_up
 from chatterscope.functions.text import bigrams, clean, drop_words, keep_words, post_text, words
 from chatterscope.functions.times import hour_of
@@ -124,14 +124,24 @@ def leading_terms(
 def vocabulary(
     leading: DataFrame, english: list[str], max_features: int = MAX_FEATURES, min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """One row per large bucket with the terms TF-IDF weighs: term, count and idf."""
+    """One row per large bucket with the terms TF-IDF weighs: their names, counts and idfs.
+
+    Plain arrays, as Spark would otherwise take a field out of an array of structs again for every
+    term that looks into it.
+    """
     idf = F.log((1 + F.col("posts")) / (1 + F.col("df"))) + 1
-    return (
+    terms = (
         leading.where((F.col("posts") >= min_docs) & ~F.col("term").isin(english))
         .withColumn("_rank", F.row_number().over(_ranking()))
         .where(F.col("_rank") <= max_features)
         .groupBy("hour_bucket", "subreddit", "posts")
-        .agg(F.collect_list(F.struct("term", "count", idf.alias("idf"))).alias("vocab"))
+        .agg(F.collect_list(F.struct("term", "count", idf.alias("idf"))).alias("_vocab"))
+    )
+    return terms.select(
+        *BUCKET, "posts",
+        F.col("_vocab.term").alias("names"),
+        F.col("_vocab.count").alias("counts"),
+        F.col("_vocab.idf").alias("idfs"),
     )
 
 
@@ -144,28 +154,37 @@ def _tfidf(cleaned: DataFrame, vocab: DataFrame, english: list[str], top_n: int)
     what follows is a sum that combines on the map side.
     """
     kept = cleaned.join(vocab, BUCKET).select(
-        *BUCKET,
-        F.col("vocab.term").alias("_names"), F.col("vocab.idf").alias("_idfs"),
+        *BUCKET, "names", "idfs",
         keep_words(F.col("cleaned"), [*CUSTOM_STOPWORDS, *english]).alias("_kept"),
     )
     terms = kept.select(
-        *BUCKET, "_names", "_idfs",
+        *BUCKET, "names", "idfs",
         F.sort_array(F.concat("_kept", bigrams(F.col("_kept")))).alias("_terms"),
     )
     shared = terms.select(
-        *BUCKET, "_names", "_idfs",
-        F.array_intersect("_terms", "_names").alias("_shared"),
+        *BUCKET, "names", "idfs",
+        F.array_intersect("_terms", "names").alias("_shared"),
         repeats("_terms").alias("_again"),
     )
+    runs = shared.select(
+        *BUCKET, "names", "idfs", "_shared",
+        F.array_distinct("_again").alias("_repeated"),
+        F.size("_again").alias("_end"),
+        run_starts("_again").alias("_starts"),
+    )
 
     def counted(term):
-        tf = 1 + F.size("_again") - F.size(F.array_remove("_again", term))
-        return F.struct(F.array_position("_names", term).cast("int").alias("k"), tf.alias("tf"))
+        run = F.array_position("_repeated", term).cast("int")
+        length = F.coalesce(F.get("_starts", run), F.col("_end")) - F.get("_starts", run - 1)
+        return F.struct(
+            F.array_position("names", term).cast("int").alias("k"),
+            F.coalesce(1 + length, F.lit(1)).alias("tf"),
+        )
 
     def weighed(entry):
-        return F.struct(entry["k"].alias("k"), (entry["tf"] * F.get("_idfs", entry["k"] - 1)).alias("w"))
+        return F.struct(entry["k"].alias("k"), (entry["tf"] * F.get("idfs", entry["k"] - 1)).alias("w"))
 
-    counts = shared.select(*BUCKET, "_idfs", F.transform("_shared", counted).alias("_counts"))
+    counts = runs.select(*BUCKET, "idfs", F.transform("_shared", counted).alias("_counts"))
     weights = counts.select(*BUCKET, F.transform("_counts", weighed).alias("_weights"))
     norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda sum_, e: sum_ + e["w"] * e["w"]))
     # Grouping by the bucket's columns would reuse the join's partitions and keep a hot bucket in
@@ -193,13 +212,13 @@ def _best_with_frequency(buckets: DataFrame, top_n: int) -> DataFrame:
         "_sums",
         lambda s: F.struct(
             F.round(-s["sum"] / F.col("posts"), 8).alias("order"),
-            F.get(F.col("vocab"), s["k"] - 1)["term"].alias("term"),
+            F.get("names", s["k"] - 1).alias("term"),
         ),
     )
-    ordered = buckets.select(*BUCKET, "vocab", F.slice(F.sort_array(scored), 1, top_n).alias("_best"))
+    ordered = buckets.select(*BUCKET, "names", "counts", F.slice(F.sort_array(scored), 1, top_n).alias("_best"))
 
     def count_of(word):
-        return F.get(F.filter("vocab", lambda v: v["term"] == word), F.lit(0))["count"]
+        return F.get("counts", F.array_position("names", word).cast("int") - 1)
 
     best = F.transform(
         "_best",
