@@ -153,7 +153,12 @@ def _tfidf(cleaned: DataFrame, vocab: DataFrame, english: list[str], top_n: int)
     norm are worked out inside the post, from the few terms it shares with the vocabulary, so
     what follows is a sum that combines on the map side.
     """
-    kept = cleaned.join(vocab, BUCKET).select(
+    # The bucket as a struct is a key of its own. It makes Spark shuffle both sides for the join, which
+    # is what its skew join can split, and shuffle again for the sums below, so that a hot bucket
+    # stays spread over many tasks until it is added up.
+    bucket = F.struct(*BUCKET).alias("_bucket")
+    sides = vocab.select(bucket, "names", "idfs")
+    kept = cleaned.select("*", bucket).join(sides, "_bucket").select(
         *BUCKET, "names", "idfs",
         keep_words(F.col("cleaned"), [*CUSTOM_STOPWORDS, *english]).alias("_kept"),
     )
@@ -187,15 +192,13 @@ def _tfidf(cleaned: DataFrame, vocab: DataFrame, english: list[str], top_n: int)
     counts = runs.select(*BUCKET, "idfs", F.transform("_shared", counted).alias("_counts"))
     weights = counts.select(*BUCKET, F.transform("_counts", weighed).alias("_weights"))
     norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda sum_, e: sum_ + e["w"] * e["w"]))
-    # Grouping by the bucket's columns would reuse the join's partitions and keep a hot bucket in
-    # one task. As a struct they are a new key: each task first adds up what it has.
     sums = (
         unnest_structs(
             weights.select(*BUCKET, "_weights", norm.alias("_norm")), [*BUCKET, "_norm"], F.col("_weights")
         )
-        .groupBy(F.struct(*BUCKET).alias("_bucket"), "k")
+        .groupBy(*BUCKET, "k")
         .agg(F.sum(F.col("w") / F.col("_norm")).alias("sum"))
-        .groupBy("_bucket.subreddit", "_bucket.hour_bucket")
+        .groupBy(*BUCKET)
         .agg(F.collect_list(F.struct("k", "sum")).alias("_sums"))
     )
     return _best_with_frequency(sums.join(vocab, BUCKET), top_n)

@@ -119,3 +119,15 @@ def test_hot_bucket_is_cut_down_before_it_meets_in_one_task(spark):
 def test_bucket_size(spark, posts, uses):
     row = kw.post_buckets(posts_of(spark, ["x"] * posts)).first()
     assert (row.posts, row.uses_tfidf) == (posts, uses)
+
+
+def test_hot_bucket_can_be_split_in_the_join_and_is_summed_before_it_meets(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = kw.tfidf_keywords(posts_of(spark, ["robots rise"] * 3))
+        plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [_bucket], [_bucket]" in plan
+    assert plan.count("Exchange hashpartitioning(_bucket,") == 2
+    assert "Exchange hashpartitioning(subreddit, hour_bucket, k" in plan
