@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chatterscope.llm.decontamination import contamination
+from chatterscope.llm.minhash import near_duplicates
+from chatterscope.llm.packing import pack
 from chatterscope.llm.quality_rules import STOP_WORDS, quality_rules
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +24,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op5_decontamination"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS k FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS i FROM b WHERE len(w) >= 10)
+  UNION SELECT item_id, w FROM b WHERE len(w) BETWEEN 1 AND 9),
+sizes AS (SELECT DISTINCT len(k) AS n FROM win),
+spot AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, n, item_id FROM spot JOIN win USING (k)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+ORACLE["op6_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
+  UNION SELECT doc_id, w FROM w WHERE len(w) IN (1, 2)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN low USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
