@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chatterscope.llm.decontamination import contamination
+from chatterscope.llm.language_id import identify
 from chatterscope.llm.minhash import near_duplicates
 from chatterscope.llm.packing import pack
+from chatterscope.llm.pii import personal_data
 from chatterscope.llm.quality_rules import STOP_WORDS, quality_rules
+from chatterscope.llm.toxicity import toxicity
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,11 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -65,7 +78,8 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op6_minhash"] = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
@@ -80,6 +94,11 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id
 FROM w JOIN low USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
