@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 
@@ -18,7 +19,7 @@ SLICE_BYTES = 2 << 20
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, in order, at most `limit` bytes of text or one row at a time."""
     for batch in batches:
-        ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at, before = 0, 0
         while at < batch.num_rows:
             to = max(int(np.searchsorted(ends, before + limit, side="right")), at + 1)
@@ -29,7 +30,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts in one array, and where each begins and the last ends; a null is empty."""
     if texts.null_count:
-        texts = pa.compute.fill_null(texts, "")
+        texts = pc.fill_null(texts, "")
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     if offsets is None or len(texts) == 0:

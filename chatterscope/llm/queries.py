@@ -12,7 +12,9 @@ from chatterscope.llm.minhash import near_duplicates
 from chatterscope.llm.packing import pack
 from chatterscope.llm.pii import personal_data
 from chatterscope.llm.quality_rules import STOP_WORDS, quality_rules
+from chatterscope.llm.secret_ledger import secrets
 from chatterscope.llm.toxicity import toxicity
+from chatterscope.llm.url_filter import judge
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +44,33 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_secrets"] = r"""
+WITH rules(kind, rank, pattern, least) AS (VALUES
+  ('assign', 0, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', 12),
+  ('access', 1, 'AKIA[A-Z0-9]+', 18), ('hex', 2, '[0-9a-f]{16,}', 16)),
+m AS (
+  SELECT doc_id, kind, rank, least, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), pattern) AS hits,
+    regexp_split_to_array(coalesce(text, ''), pattern) AS gaps
+  FROM documents, rules),
+p AS (
+  SELECT doc_id, kind, rank, least, hits[i] AS hit,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m)),
+s AS (
+  SELECT doc_id, kind, rank, CAST(a AS BIGINT) AS a, CAST(a + length(hit) AS BIGINT) AS b FROM p
+  WHERE length(CASE WHEN kind = 'assign' THEN regexp_extract(hit, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1) ELSE hit END) >= least)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank), '') AS spans
+FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id"""
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -94,6 +123,26 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id
 FROM w JOIN low USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op7_url_filter"] = r"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+best AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host || path LIKE 'ads.%' OR host || path LIKE '%.ads.%'
+  OR host || path LIKE '%/cgi-bin/%' OR host || path LIKE '%/wp-login.php%' OR host || path LIKE '%.exe'
+  OR host || path LIKE '%.zip' OR host || path LIKE '%.mp4' THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN best USING (page_id)"""
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
