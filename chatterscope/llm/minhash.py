@@ -5,9 +5,8 @@
    set are one class from here on.
 2. Bands of the signature are bucket keys. In a bucket every class is compared with one hub only, so a bucket of n
    classes gives n - 1 candidates. Candidates are confirmed on full sets.
-3. A bucket whose classes are in several components after that may still hide a link between two that are no hubs. It
-   gets a second, random hub, and then every pair across components that sizes and the distances to the hubs (the
-   Jaccard distance obeys the triangle inequality) leave possible. So no pair that shares a bucket is lost.
+3. A bucket whose classes are in several components after that may still hide a link between two that are no hubs;
+   `stars` finds it, ruling pairs out by sizes and by the triangle inequality of the Jaccard distance.
 
 At a similarity of 0.8, five rows in a band and 32 bands miss a pair with probability 3e-6, at 0.85 with 7e-9.
 """
@@ -23,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.llm.arrow_text import BLANK_WORDS, mix64, split_words, text_bytes, text_slices
-from chatterscope.llm.components import components
 from chatterscope.llm.scratch import written
+from chatterscope.llm.stars import crowded, star_components
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
@@ -129,32 +128,18 @@ def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, set_hi long, set_lo long, shingles array<long>")
 
 
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
+def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough at all."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _candidates(rows: DataFrame, one: Column, other: Column, percent: int) -> DataFrame:
-    """Distinct pairs with their sizes, the larger id as a. one and other: structs of id and n."""
-    high, low = F.greatest(one, other), F.least(one, other)
-    pairs = rows.select(high["id"].alias("a"), low["id"].alias("b"), high["n"].alias("n_a"), low["n"].alias("n_b"))
-    return pairs.where(_sizes_fit("n_a", "n_b", percent)).dropDuplicates(["a", "b"])
-
-
-def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, same): the size of the intersection of the full sets. The hub of many pairs is b; Spark splits its join."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with their distance and whether they are linked, by the full sets. The hub of many pairs is b; Spark splits its join."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("_a")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("_b")), "b")
-    same = F.size(F.array_intersect("_a", "_b")).cast("long")
-    return written(spark, both.select("a", "b", "n_a", "n_b", same.alias("same")), "verified")
-
-
-def _linked(pairs: DataFrame, percent: int) -> DataFrame:
-    return pairs.where(100 * F.col("same") >= percent * (F.col("n_a") + F.col("n_b") - F.col("same"))).select("a", "b")
-
-
-def _distance(pairs: DataFrame) -> DataFrame:
-    return pairs.select("a", "b", (1 - F.col("same") / (F.col("n_a") + F.col("n_b") - F.col("same"))).alias("d"))
+    sized = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).alias("same"), (F.col("info_a") + F.col("info_b")).alias("total"))
+    union = F.col("total") - F.col("same")
+    return sized.select("a", "b", (100 * F.col("same") >= percent * union).alias("linked"), (1 - F.col("same") / union).alias("d"))
 
 
 def near_duplicates(
@@ -177,46 +162,15 @@ def near_duplicates(
 
     keyed = signed.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", *same]).dropDuplicates(["doc_id"])
     keyed = keyed.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("hub")).where("size > 1")
-    buckets = written(spark, keyed.join(shared, "key"), "buckets")  # only buckets with company
+    buckets = crowded(spark, keyed.withColumnRenamed("n", "info"))
     everyone = buckets.select("id").distinct()
     texts = docs.selectExpr("cast(doc_id as long) id", "text").join(everyone, "id")
     sets = set_rows(texts, shingle).join(classes.select("id", *same), ["id", *same]).dropDuplicates(["id"])
     sets = written(spark, sets.select("id", "shingles"), "sets")
 
-    first = _candidates(buckets.where("id != hub.id"), F.struct("id", "n"), F.col("hub"), percent)
-    verified = _verified(spark, first, sets)
-    parts = written(spark, components(spark, _linked(verified, percent)), "components")
-
-    def open_buckets() -> DataFrame:
-        """Members of buckets of three or more with several components."""
-        own = buckets.where("size > 2").join(parts, F.col("id") == F.col("node"), "left")
-        own = own.select("key", "id", "n", F.col("hub.id").alias("hub"), F.coalesce("component", "id").alias("part"))
-        several = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct(F.xxhash64("id", "key"), "id", "n", "part")).alias("other"))
-        return own.join(several.where("low < high"), "key").drop("low", "high")
-
-    open_now = written(spark, open_buckets(), "open")
-    if not open_now.isEmpty():
-        second = open_now.where("part != other.part and id != hub and other.id != hub")
-        second = _candidates(second, F.struct("id", "n"), F.struct("other.id", "other.n"), percent).join(verified, ["a", "b"], "left_anti")
-        verified = written(spark, verified.unionByName(_verified(spark, second, sets)), "verified")
-        parts = written(spark, components(spark, _linked(verified, percent)), "components")
-        open_now = written(spark, open_buckets(), "open")
-    if not open_now.isEmpty():
-        # Distances to the bucket's first hub; where sizes alone excluded a link, their bound.
-        near = _distance(verified)
-        rest = open_now.select("key", "id", "n", "part", "hub").where("id != hub")
-        rest = rest.join(near.select(F.col("a").alias("id"), F.col("b").alias("hub"), "d"), ["id", "hub"], "left")
-        rest = written(spark, rest, "rest")
-        reach = (100 - percent) / 100 + 1e-9
-        x, y = rest.alias("x"), rest.alias("y")
-        apart = F.abs(F.col("x.d") - F.col("y.d")) <= reach
-        across = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
-        third = x.join(y, across & _sizes_fit("x.n", "y.n", percent) & F.coalesce(apart, F.lit(True)))
-        third = _candidates(third, F.struct("x.id", "x.n"), F.struct("y.id", "y.n"), percent).join(verified, ["a", "b"], "left_anti")
-        verified = verified.unionByName(_verified(spark, third, sets))
-        parts = written(spark, components(spark, _linked(verified, percent)), "components")
-
+    parts = star_components(
+        spark, buckets, lambda a, b: _sizes_fit(a, b, percent), lambda pairs: _compared(pairs, sets, percent), reach=(100 - percent) / 100
+    )
     found = member.join(parts.withColumnRenamed("node", "id"), "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     rows = signed.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce(component, "doc_id").alias("component_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chatterscope.llm.decontamination import contamination
 from chatterscope.llm.language_id import identify
+from chatterscope.llm.line_dedup import line_report
 from chatterscope.llm.minhash import near_duplicates
 from chatterscope.llm.packing import pack
 from chatterscope.llm.pii import personal_data
@@ -148,6 +149,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
