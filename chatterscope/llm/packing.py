@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,9 @@ def _byte_sets() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 LETTER, MARK, LOWER = _byte_sets()
+#: How byte-level vocabularies write the bytes that are no printable characters of Latin-1: in order, from U+0100 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 INSIDE = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
@@ -56,19 +61,30 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.slots: dict[bytes, int] = {}
-        self.ids: list[list[int]] = []
+        self.ids, self.ends = array("I"), array("q", [0])
 
     def _learn(self, words: list[bytes]) -> None:
-        plain, other = [], []
+        tokenize, other = self.tokenizer.model.tokenize, []
         for w in words:
-            (plain if w.isalpha() else other).append(w)
-        tokenize = self.tokenizer.model.tokenize
-        for w in plain:
-            self.slots[w] = len(self.ids)
-            self.ids.append([x.id for x in tokenize(w.decode())])
-        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
-            self.slots[w] = len(self.ids)
-            self.ids.append(e.ids)
+            if not w.isascii():
+                text = w.decode()
+                if not text.isalpha() or max(text) > "ÿ":
+                    other.append(text)
+                    continue
+                # Letters of Latin-1 are composed already and have one lower-case letter each.
+                raw = text.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+            elif w.isalpha():
+                raw = w.decode()
+            else:
+                other.append(w.decode())
+                continue
+            self.slots[w] = len(self.ends) - 1
+            self.ids.extend([x.id for x in tokenize(raw)])
+            self.ends.append(len(self.ids))
+        for text, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.slots[text.encode()] = len(self.ends) - 1
+            self.ids.extend(e.ids)
+            self.ends.append(len(self.ids))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         data, edges = text_bytes(texts)
@@ -78,17 +94,15 @@ class WordEncoder:
         words = words_at(LOWER[data], inside, first, edges)
         coded = words.values.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.ids) + len(distinct) > self.cache_words:
+        if len(self.slots) + len(distinct) > self.cache_words:
             self._forget()
         self._learn([w for w in distinct if w not in self.slots])
-        own = [self.ids[self.slots[w]] for w in distinct]
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter((i for ids in own for i in ids), np.uint32, int(sizes.sum()))
-        at = coded.indices.to_numpy()
-        long = sizes[at]
+        slot = np.fromiter(map(self.slots.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        ids, stops = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.ends, np.int64)
+        begins, long = stops[slot], stops[slot + 1] - stops[slot]
         ends = np.cumsum(long)
-        begins = (np.cumsum(sizes) - sizes)[at]
-        all_ids = flat[np.repeat(begins - (ends - long), long) + np.arange(int(long.sum()))]
+        all_ids = ids[np.repeat(begins - (ends - long), long) + np.arange(int(long.sum()))]
+        del ids, stops  # views keep the arrays from growing
         cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words.per_text)])]
         out = [all_ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         for k in np.flatnonzero(pc.fill_null(pc.match_substring(texts, SPECIAL), False).to_numpy(zero_copy_only=False)):
@@ -114,7 +128,7 @@ def differencing(sizes: list[int], parts: int) -> list[list[int]]:
         over = max(0, len(a) + len(b) - parts)  # subsets that must meet another
         cut_a, cut_b = len(a) - over, len(b) - over
         met = [(x[0] + y[0], (x[1], y[1])) for x, y in zip(a[cut_a:], reversed(b[cut_b:]), strict=True)]
-        both = sorted([*a[:cut_a], *b[:cut_b], *met], key=lambda x: -x[0])
+        both = sorted([*a[:cut_a], *b[:cut_b], *met], key=itemgetter(0), reverse=True)
         low = both[-1][0] if len(both) == parts else 0
         heapq.heappush(heap, (low - both[0][0], number, both))
         number += 1
@@ -226,7 +240,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int =
 
         encoder = WordEncoder(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
         end = np.array([end_id], np.uint32)
-        for rows in text_slices(batches):
+        for rows in text_slices(batches, limit=4 << 20):
             for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoder.encode(rows.column("text")), strict=True):
                 yield doc_id, np.concatenate([ids, end])
 
