@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatterscope.llm.scratch import written
 from chatterscope.session import scratch_dir
 
 
@@ -94,6 +95,7 @@ def scan_new(spark: SparkSession, versions: DataFrame, ledger: str, rules: Seque
         todo = todo.join(known.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
     scan(todo.groupBy("blob").agg(F.first("text").alias("text")), rules, rule_version).write.mode("append").parquet(ledger)
     findings = _entries(spark, ledger).where(F.col("rule_version") == rule_version).where(F.size("spans") > 0).dropDuplicates(["blob"])
+    findings = written(spark, findings, "findings")  # a join of stored rows can be split where one blob has many paths
     held = addressed.select(*keys, "blob").join(findings.select("blob", "spans"), "blob", "left")
     return held.select(*keys, "blob", F.coalesce("spans", F.array().cast("array<struct<start int, rank int, kind string, end int>>")).alias("spans"))
 
