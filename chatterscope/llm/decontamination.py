@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.llm.arrow_text import ALNUM_WORDS, Words, split_words, text_bytes, text_slices
-from chatterscope.llm.scratch import written
+from chatterscope.llm.scratch import unused, written
 from chatterscope.llm.suffix_automaton import SuffixAutomaton
 
 WINDOW = 10
@@ -177,6 +177,7 @@ def _scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     With more than one block, spans and items found so far are stored with the documents between the blocks.
     """
     spans_at, items_at = (unused(docs, x) for x in ("spans", "items"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     blocks = list(_blocks(benchmark, block_bytes))
 
     def step(rows_in: DataFrame, block, first: bool, last: bool) -> DataFrame:
@@ -207,7 +208,6 @@ def _scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
 
         if last:
             return rows_in.mapInArrow(run, schema)
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
         return written(spark, rows_in.mapInArrow(run, f"{fields}, `{spans_at}` array<int>, `{items_at}` array<string>"), "hits")
 
     for k, block in enumerate(blocks):
@@ -215,13 +215,6 @@ def _scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     return docs
 
 
-def unused(rows: DataFrame, name: str) -> str:
-    """The name, made longer until no column has it."""
-    while name.lower() in {c.lower() for c in rows.columns}:
-        name += "_"
-    return name
-
-
 REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 

@@ -1,10 +1,10 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
 
-Lines are normalised and reduced to distinct ones. Two are linked if their 64-bit SimHashes differ in at most `MAX_BITS`
+Lines are normalised and reduced to distinct ones. Two are linked if their SimHashes of 63 bits differ in at most `MAX_BITS`
 bits and their edit similarity reaches a threshold; of `BLOCKS` blocks of the hash, some `BLOCKS - MAX_BITS` are then
-equal, so every choice of that many blocks is a bucket key of 32 bits and no such pair is missed. Lines connected by
-links form a group, of which the first occurrence in the corpus stays. Built-in functions only; texts are shuffled by
-document and once more for the lines that have a candidate.
+equal, so every choice of that many blocks is a bucket key of about 32 bits and no such pair is missed. Lines connected by
+links form a group, of which the first occurrence in the corpus stays. Built-in functions only. Texts stay where they
+are, unless so many lines have candidates that these can't be broadcast.
 """
 
 from __future__ import annotations
@@ -14,53 +14,56 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm.scratch import written
+from chatterscope.llm.scratch import BROADCAST_ROWS, small_side, unused, written
 from chatterscope.llm.stars import crowded, star_components
 
 MIN_WORDS, MAX_BITS, BLOCKS, SIMILARITY = 5, 2, 4, 0.9
+#: Bits of the SimHash, and of the counter of votes for each; a long holds three counters.
+BITS, LANE = 63, 21
+VOTES = 1 | 1 << LANE | 1 << 2 * LANE
 #: Beyond this many characters, edit similarity is that of the sets of words, as edit distance costs the square.
 LONG_LINE = 10_000
 
 
-def normalised(line: Column) -> Column:
-    """Lower case; runs of anything but letters and digits become one blank."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def words_of(line: Column) -> Column:
+    """Lower-case runs of letters and digits: the normalised line, as an array."""
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, at, norm, n): lines of enough words, numbered from 0 in their document."""
-    parts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    norm = parts.select("doc_id", "at", normalised(F.col("line")).alias("norm"))
-    return norm.withColumn("n", F.length("norm") - F.length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= min_words)
+def _keys() -> list[Column]:
+    """128 bits that stand for the normalised line."""
+    return [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")]
 
 
 def _signed(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, at, k1, k2, simhash) of every line. k1 and k2 are 128 bits that stand for the normalised line.
+    """(doc_id, at, k1, k2, simhash) of every line of enough words, numbered from 0 in its document.
 
-    Documents are dealt by doc_id first, so the votes of a line's words are summed without another shuffle. A long holds
-    the votes for two bits, 32 bits each.
+    Each word of four characters or more votes for the bits of its hash. A long holds the votes for three bits, 21 bits
+    each, and they are summed in the task before they are shuffled. A line of over two million such words gets a SimHash
+    that says nothing of its likeness; it is compared for equality like all others.
     """
-    lines = _lines(docs.repartition("doc_id"), min_words)
-    words = lines.select("doc_id", "at", "n", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.explode(F.split("norm", " ")).alias("word"))
-    votes = words.withColumn("h", F.xxhash64("word")).groupBy("doc_id", "at", "k1", "k2", "n").agg(
-        *[F.expr(f"sum(shiftrightunsigned(h, {k}) & 4294967297L)").alias(f"v{k}") for k in range(32)]
+    parts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = parts.select("doc_id", "at", words_of(F.col("line")).alias("words")).where(F.size("words") >= min_words)
+    words = lines.select("doc_id", "at", *_keys(), F.explode("words").alias("word"))
+    h = F.when(F.length("word") >= 4, F.xxhash64("word"))
+    votes = words.select("doc_id", "at", "k1", "k2", h.alias("h")).groupBy("doc_id", "at", "k1", "k2").agg(
+        F.count("h").alias("n"), *[F.expr(f"sum(shiftrightunsigned(h, {k}) & {VOTES}L)").alias(f"v{k}") for k in range(LANE)]
     )
-    bits = [f"if(2 * (v{k} & 4294967295L) > n, {1 << k}L, 0L)" for k in range(32)]
-    bits += [f"if(2 * shiftrightunsigned(v{k}, 32) > n, shiftleft(1L, {k + 32}), 0L)" for k in range(32)]
-    return votes.select("doc_id", "at", "k1", "k2", F.expr(" | ".join(bits)).alias("simhash"))
+    bits = [f"if(2 * (shiftrightunsigned(v{k % LANE}, {k // LANE * LANE}) & {(1 << LANE) - 1}L) > n, {1 << k}L, 0L)" for k in range(BITS)]
+    simhash = F.when(F.col("n") > 0, F.expr(" | ".join(bits)))
+    return votes.select("doc_id", "at", "k1", "k2", simhash.alias("simhash"))
 
 
 def _block_keys(simhash: Column, max_bits: int, blocks: int) -> Column:
     """One key for every choice of blocks that stay equal if at most `max_bits` bits differ."""
-    width = -(-64 // blocks)
+    width = -(-BITS // blocks)
     keys = []
     for number, chosen in enumerate(combinations(range(blocks), blocks - max_bits)):
         mask = 0
         for b in chosen:
-            for bit in range(b * width, min(64, (b + 1) * width)):
+            for bit in range(b * width, min(BITS, (b + 1) * width)):
                 mask |= 1 << bit
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.xxhash64(F.lit(number), simhash.bitwiseAND(F.lit(signed).cast("long"))))
+        keys.append(F.xxhash64(F.lit(number), simhash.bitwiseAND(F.lit(mask).cast("long"))))
     return F.array(*keys)
 
 
@@ -91,14 +94,18 @@ def removals(
     def possible(a: Column, b: Column) -> Column:
         return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
-    keyed = distinct.select("id", F.col("simhash").alias("info"), F.explode(_block_keys(F.col("simhash"), max_bits, blocks)).alias("key"))
+    keyed = distinct.where("simhash is not null")
+    keyed = keyed.select("id", F.col("simhash").alias("info"), F.explode(_block_keys(F.col("simhash"), max_bits, blocks)).alias("key"))
     buckets = crowded(spark, keyed)
-    # Only rows near to some other are worth their text: near to the hub, or in a bucket of three or more.
-    worth = buckets.where((F.col("size") > 2) | possible(F.col("info"), F.col("hub.info")))
+    # Only rows that may be compared are worth their text: near to the hub, or in a bucket of three or more.
+    worth = buckets.where((F.col("size") > 2) | ((F.col("id") != F.col("hub.id")) & possible(F.col("info"), F.col("hub.info"))))
     worth = worth.select("id").unionByName(worth.select("hub.id")).distinct()
-    lines = _lines(texts.join(worth.select(F.col("id.doc_id").alias("doc_id")).distinct(), "doc_id", "left_semi"), min_words)
-    lines = lines.select(F.struct("doc_id", "at", F.xxhash64("norm").alias("k1")).alias("id"), "norm")
-    lines = written(spark, lines.join(worth, "id", "left_semi").dropDuplicates(["id"]), "candidate-lines")
+    wanted = written(spark, worth.select("id.doc_id", "id.at", "id.k1"), "wanted-lines")
+    holding = texts.join(small_side(written(spark, wanted.select("doc_id").distinct(), "wanted-docs")), "doc_id", "left_semi")
+    own = holding.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).join(small_side(wanted), ["doc_id", "at"])
+    own = own.select("doc_id", "at", "k1", words_of(F.col("line")).alias("words"))
+    lines = own.where(F.xxhash64("words") == F.col("k1")).select(F.struct("doc_id", "at", "k1").alias("id"), F.array_join("words", " ").alias("norm"))
+    lines = written(spark, lines.dropDuplicates(["id"]), "candidate-lines")
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = pairs.join(lines.select(F.col("id").alias("a"), F.col("norm").alias("norm_a")), "a")
@@ -121,16 +128,16 @@ def line_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents without the lines that go; all columns are kept, and n_chars, if there, follows a changed text."""
-    gone = removals(spark, docs).select(F.col("doc_id").alias("_of"), F.col("removed").alias("_removed"))
-    rows = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g._of"), "left")
-    left = F.filter(F.split("d.text", "\n"), lambda line, at: ~F.array_contains(F.col("g._removed"), at))
-    text = F.when(F.col("g._of").isNull(), F.col("d.text")).otherwise(F.array_join(left, "\n"))
-    columns = []
-    for name, kind in docs.dtypes:
-        own = F.col(f"d.`{name}`")
-        if name == "text":
-            own = text
-        elif name == "n_chars":
-            own = F.when(F.col("g._of").isNull(), own).otherwise(F.length(text).cast(kind))
-        columns.append(own.alias(name))
-    return rows.select(*columns)
+    gone = written(spark, removals(spark, docs), "removals")
+    if (gone.agg(F.sum(F.size("removed"))).first()[0] or 0) <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    at, removed, lines = (unused(docs, x) for x in ("of", "removed", "lines"))
+    gone = gone.withColumnsRenamed({"doc_id": at, "removed": removed})
+    rows = docs.join(gone, F.col("doc_id") == F.col(at), "left").withColumn(lines, F.when(F.col(at).isNotNull(), F.split("text", "\n")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
+    text = F.array_join(F.transform(kept, lambda k: F.get(F.col(lines), k)), "\n")
+    rows = rows.withColumn("text", F.when(F.col(at).isNull(), F.col("text")).otherwise(text))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(F.col(at).isNull(), F.col("n_chars")).otherwise(size))
+    return rows.select(docs.columns)

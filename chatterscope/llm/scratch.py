@@ -6,6 +6,7 @@ A written table outlives lost executors, unlike cached or locally checkpointed r
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatterscope.session import scratch_dir
 
@@ -15,3 +16,19 @@ def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+#: A stored side of a join is broadcast up to this many rows; more are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(stored: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The stored rows of narrow columns, marked to be broadcast if a count finds them few."""
+    return F.broadcast(stored) if stored.limit(most + 1).count() <= most else stored
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """The name, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in rows.columns}:
+        name += "_"
+    return name

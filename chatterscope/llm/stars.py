@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.llm.components import components
-from chatterscope.llm.scratch import written
+from chatterscope.llm.scratch import small_side, written
 
 #: Whether two rows' info allows a link at all; pairs (a, b, info_a, info_b) with `linked` and a distance `d` (or null).
 Possible = Callable[[Column, Column], Column]
@@ -21,9 +21,14 @@ Verify = Callable[[DataFrame], DataFrame]
 
 
 def crowded(spark: SparkSession, keyed: DataFrame) -> DataFrame:
-    """Rows (key, id, info) of buckets that have company, with the bucket's size and hub. Ids of any orderable type."""
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("id", "info")).alias("hub")).where("size > 1")
-    return written(spark, keyed.join(shared, "key"), "buckets")
+    """Rows (key, id, info) of buckets that have company, with the bucket's size and hub. Ids of any orderable type.
+
+    Keys alone are counted first, as most have one row; rows move only if their key has more.
+    """
+    counts = written(spark, keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "crowded-keys")
+    rows = written(spark, keyed.join(small_side(counts), "key"), "bucket-rows")
+    hubs = rows.groupBy("key").agg(F.min(F.struct("id", "info")).alias("hub"))
+    return written(spark, rows.join(hubs, "key"), "buckets")
 
 
 def _pairs(rows: DataFrame, one: Column, other: Column, possible: Possible) -> DataFrame:

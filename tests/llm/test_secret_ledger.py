@@ -1,0 +1,50 @@
+import hashlib
+import random
+import re
+
+from chatterscope.llm.secret_ledger import scan_new, secrets
+
+PATTERNS = {
+    "assign": re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+LEAST = {"assign": 12, "access": 18, "hex": 16}
+
+
+def brute(text):
+    spans = []
+    for rank, (kind, pattern) in enumerate(PATTERNS.items()):
+        spans += [(*m.span(), rank, kind) for m in pattern.finditer(text or "") if len(m[2] if kind == "assign" else m[0]) >= LEAST[kind]]
+    spans.sort(key=lambda s: (s[0], s[2]))
+    joined = ",".join(f"{k}:{a}:{b}" for a, b, _, k in spans)
+    return (*(sum(s[3] == k for s in spans) for k in PATTERNS), hashlib.sha256(joined.encode()).hexdigest(), joined)
+
+
+def cases():
+    rng = random.Random(6)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "ApiKey", " = ", ":", '"', "'", "é😀", "\n", "0123456789abcdef", "AKIA", "ABCDEFGH12345678", "abc", "-", "=="]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(200)]
+    return [*texts, None, "", "password=token: abcdefghijklmnop", "x" * 100_000 + "secret=abcdefghijkl", "AKIAAKIA" + "A" * 10, texts[0], texts[0]]
+
+
+def test_spans_equal_brute_force(spark, make_docs):
+    docs = list(enumerate(cases()))
+    rows = secrets(spark, make_docs(docs, clashing=True).repartition(3)).collect()
+    assert {r.doc_id: tuple(r[1:]) for r in rows} == {i: brute(t) for i, t in docs}
+    assert secrets(spark, make_docs([])).collect() == []
+
+
+def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    versions = lambda rows: spark.createDataFrame(rows, "path string, version int, text string")
+    one, two = "token=abcdefghijklmnop", "secret=zyxwvutsrqponm"
+    first = scan_new(spark, versions([("a", 1, one), ("b", 1, one), ("c", 1, None)]), ledger).collect()
+    assert {(r.path, len(r.spans)) for r in first} == {("a", 1), ("b", 1), ("c", 0)}
+    assert spark.read.parquet(ledger).count() == 2
+    second = scan_new(spark, versions([("a", 2, two), ("d", 1, one)]), ledger).collect()
+    assert {(r.path, r.version, len(r.spans)) for r in second} == {("a", 2, 1), ("d", 1, 1)}
+    assert spark.read.parquet(ledger).count() == 3
+    scan_new(spark, versions([("a", 2, two)]), ledger, rule_version="2")
+    assert spark.read.parquet(ledger).count() == 4
+    assert scan_new(spark, versions([]), ledger).collect() == []
