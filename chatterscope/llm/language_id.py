@@ -61,7 +61,7 @@ class CrossParser:
             # A blank between texts, so that no phrase runs across two of them unseen.
             streams.append(b" ".join(data[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True))[: SAMPLE_BYTES // len(samples)])
         seen = sorted(set(b"".join(streams)))
-        self.code = np.full(256, len(seen), np.int32)  # bytes that no language has are phrases of their own
+        self.code = np.full(256, len(seen), np.int32)  # bytes that no language has end a phrase
         self.code[seen] = np.arange(len(seen))
         self.pad, self.width = len(seen) + 1, len(seen) + 2
         tables, self.roots, at = [], [], 0

@@ -117,6 +117,8 @@ _SPELLED_PART = re.compile(rf"plus|{_DIGIT_WORD}", re.I)
 _NAME = r"[A-Za-z0-9_%+-]+"
 _AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+at\s+|\s+@\s*|\s*@\s+|@)"
 _DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+|\.)"
+#: Ends of domain names that are no common words, for addresses in bare words.
+_DOMAINS = frozenset("com org net edu gov mil info biz io ai dev app uk de fr es nl eu ca au jp br ch se".split())
 #: An address with its at sign or a dot disguised. A bare "at" needs a "dot" that is spelled out as well.
 _DISGUISED = re.compile(rf"(?<![A-Za-z0-9])({_NAME}(?:{_DOT}{_NAME})*)({_AT})({_NAME}(?:{_DOT}{_NAME})*{_DOT}[A-Za-z]{{2,}})(?![A-Za-z0-9])", re.I)
 _MARKED = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]", re.I)
@@ -164,7 +166,7 @@ def _address_edits(text: str) -> list[tuple[int, int, str]]:
     for m in _DISGUISED.finditer(text):
         bare = m[2].strip().lower() == "at"
         spelled = " dot " in m[3].lower() or _MARKED.search(m[3]) is not None
-        if (bare and spelled) or (not bare and (m[2] != "@" or spelled)):
+        if (bare and spelled and _DOTS.split(m[3])[-1].lower() in _DOMAINS) or (not bare and (m[2] != "@" or spelled)):
             edits.append((*m.span(), f"{_DOTS.sub('.', m[1])}@{_DOTS.sub('.', m[3])}"))
     return edits
 
@@ -189,11 +191,12 @@ def disguised_spans(text: str) -> list[Found]:
 
 
 def all_spans(text: str) -> tuple[list[Found], list[Found]]:
-    """Base spans, and these with the spans of disguised identifiers that overlap none of any kind."""
+    """Base spans, and these with the spans of disguised identifiers, unless they overlap one that is no part of them."""
     base = base_spans(text)
     more: list[Found] = []
     for f in disguised_spans(text):
-        if all(f.end <= g.start or g.end <= f.start for g in (*base, *more)):
+        apart = (f.end <= g.start or g.end <= f.start or (f.kind == g.kind and f.start <= g.start and g.end <= f.end and f != g) for g in (*base, *more))
+        if all(apart):
             more.append(f)
     return base, [*base, *more]
 

@@ -138,9 +138,9 @@ rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org',
 best AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
   FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
-SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host || path LIKE 'ads.%' OR host || path LIKE '%.ads.%'
-  OR host || path LIKE '%/cgi-bin/%' OR host || path LIKE '%/wp-login.php%' OR host || path LIKE '%.exe'
-  OR host || path LIKE '%.zip' OR host || path LIKE '%.mp4' THEN 'block' ELSE 'allow' END) AS verdict
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host || '#' || path LIKE 'ads.%' OR host || '#' || path LIKE '%.ads.%'
+  OR host || '#' || path LIKE '%/cgi-bin/%' OR host || '#' || path LIKE '%/wp-login.php%' OR host || '#' || path LIKE '%.exe'
+  OR host || '#' || path LIKE '%.zip' OR host || '#' || path LIKE '%.mp4' THEN 'block' ELSE 'allow' END) AS verdict
 FROM u LEFT JOIN best USING (page_id)"""
 
 

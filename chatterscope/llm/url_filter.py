@@ -33,7 +33,7 @@ class Rule(NamedTuple):
 
     @property
     def globs(self) -> tuple[str, str]:
-        return f"{self.name}*", f"*.{self.name}*"
+        return f"{self.host}#{self.path}*", f"*.{self.host}#{self.path}*"
 
 
 RULES = (
@@ -43,7 +43,7 @@ RULES = (
     Rule("allow", "com", "/fr/"),
     Rule("block", "com", "/de/"),
 )
-#: Blocked where no rule fits: globs over host and path.
+#: Blocked where no rule fits: globs over host#path; neither part has a # of its own, so a host can't run on into a path.
 BLOCKED_GLOBS = ("ads.*", "*.ads.*", "*/cgi-bin/*", "*/wp-login.php*", "*.exe", "*.zip", "*.mp4")
 
 
@@ -129,4 +129,4 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, blocked: Sequence[str
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict"])
 
     parts = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    return parts.withColumn("canonical", F.concat("host", "path")).mapInArrow(run, SCHEMA)
+    return parts.withColumn("canonical", F.concat("host", F.lit("#"), "path")).mapInArrow(run, SCHEMA)
