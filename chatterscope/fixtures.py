@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chatterscope.functions.numbers import sentiment_label
-from chatterscope.functions.times import hour_of
+from chatterscope.functions.times import epoch_of, hour_of
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,7 +47,7 @@ def landed_posts(spark: SparkSession, folder: str) -> DataFrame:
     """The same posts as a listing delivers them: epoch seconds instead of a timestamp."""
     return raw_posts(spark, folder).select(
         "post_id", "source", "subreddit", "title", "body", "author", "url", "score", "num_comments",
-        F.unix_timestamp(F.col("created_utc").cast("timestamp")).cast("double").alias("created_epoch"),
+        epoch_of(F.col("created_utc")).cast("double").alias("created_epoch"),
     )
 
 

@@ -9,6 +9,9 @@ from chatterscope.constants import MIN_WORD_LENGTH
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ENTITY_WORD = r"[\p{L}\p{N}]+(?:[-&'.][\p{L}\p{N}]+)*"
 
+#: An entity word, or what ends a sentence or a line.
+ENTITY_TOKEN = ENTITY_WORD + r"|[.!?]+(?:\s|$)|[\r\n]+"
+
 
 def strip(text: Column) -> Column:
     """Remove white space, line ends included, from both ends."""

@@ -31,12 +31,24 @@ def days_before(as_of, days: int) -> Column:
     return timestamp(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
+def day_of(ts: Column) -> Column:
+    """Midnight before a zone-less timestamp; a date has no zone, so the session's plays no part."""
+    return F.to_date(ts).cast("timestamp_ntz")
+
+
 def hour_of(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    return day_of(ts) + F.make_dt_interval(hours=F.hour(ts))
 
 
-def day_of(ts: Column) -> Column:
-    return F.date_trunc("day", ts).cast("timestamp_ntz")
+def from_epoch(seconds: Column) -> Column:
+    """The zone-less UTC timestamp of seconds since 1970."""
+    return timestamp("1970-01-01 00:00:00") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def epoch_of(ts: Column) -> Column:
+    """Whole seconds since 1970 of a zone-less UTC timestamp."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def recent(df: DataFrame, column: str, as_of, hours: int | None = None, days: int | None = None):

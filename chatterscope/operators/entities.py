@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chatterscope.constants import ENTITY_TYPES, STOP_ENTITIES, TOP_ENTITIES
 from chatterscope.functions.arrays import unnest_structs
-from chatterscope.functions.text import ENTITY_WORD, post_text, strip, title_case
+from chatterscope.functions.text import ENTITY_TOKEN, ENTITY_WORD, post_text, strip, title_case
 from chatterscope.operators.broadcasts import small
 from chatterscope.operators.toplists import top_n_per_group
 
-MAX_PHRASE_WORDS = 4
-
 
 def clean_entity(text: Column) -> Column:
     return title_case(strip(text))
@@ -31,20 +29,15 @@ def entity_cleanup(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, clean_entity(F.col(column))).where(is_reportable(F.col(column)))
 
 
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ENTITY_WORD), F.lit(0))
-
-
-def _phrases(gazetteer: DataFrame, max_words: int) -> DataFrame:
+def _phrases(gazetteer: DataFrame) -> DataFrame:
     """Gazetteer rows ready to join: first word, normal spelling, length and clean text.
 
     Cleaning depends on the phrase alone, so it is done here and not per mention.
     """
-    words = (
-        gazetteer.where(F.col("entity_type").isin(ENTITY_TYPES))
-        .select("phrase", "entity_type", _words(F.col("phrase")).alias("_g"))
+    words = gazetteer.where(F.col("entity_type").isin(ENTITY_TYPES)).select(
+        "phrase", "entity_type", F.regexp_extract_all("phrase", F.lit(ENTITY_WORD), F.lit(0)).alias("_g")
     )
-    return words.where(F.size("_g").between(1, max_words)).select(
+    return words.where(F.size("_g") > 0).select(
         F.get(F.col("_g"), F.lit(0)).alias("_first"),
         F.array_join("_g", " ").alias("_phrase"),
         F.size("_g").alias("_length"),
@@ -53,44 +46,47 @@ def _phrases(gazetteer: DataFrame, max_words: int) -> DataFrame:
     ).distinct()
 
 
-def mentions(
-    texts: DataFrame, gazetteer: DataFrame, max_words: int = MAX_PHRASE_WORDS
-) -> DataFrame:
+def mentions(texts: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """All longest phrase matches in ``(post_id, _text)`` rows, with their word positions.
 
-    Each word is one row that carries its successors; it meets the gazetteer on the first word of
-    a phrase, and the whole phrase is compared in the join.
+    Words that begin some phrase become rows, and the spans of every phrase length that occurs meet
+    the gazetteer whole, so a common first word is no join key. Ends of sentences and lines are
+    tokens of their own, which no phrase has. Rows that repeat a post and its text count once.
     """
-    words = texts.select("post_id", _words(F.coalesce("_text", F.lit(""))).alias("_words"))
+    phrases = _phrases(gazetteer)
+    lengths = sorted(r[0] for r in phrases.select("_length").distinct().collect())
+    longest = max(lengths, default=1)
+    text = F.coalesce("_text", F.lit(""))
+    words = texts.select(
+        "post_id", F.struct(F.xxhash64(text), F.xxhash64(F.lit(1), text)).alias("_which"),
+        F.regexp_extract_all(text, F.lit(ENTITY_TOKEN), F.lit(0)).alias("_words"),
+    )
     span = F.transform(
         "_words",
-        lambda w, i: F.struct(
-            i.alias("start"), w.alias("w1"),
-            *[F.get(F.col("_words"), i + (k - 1)).alias(f"w{k}") for k in range(2, max_words + 1)],
-        ),
+        lambda w, i: F.struct(i.alias("start"), w.alias("w1"), F.slice("_words", i + 1, longest).alias("_next")),
     )
-    candidates = unnest_structs(words, ["post_id"], span)
-    spelled = F.when(F.col("_length") == 1, F.col("w1"))
-    for n in range(2, max_words + 1):
-        spelled = spelled.when(
-            F.col("_length") == n, F.concat_ws(" ", *[f"w{k}" for k in range(1, n + 1)])
-        )
-    found = candidates.join(
-        small(_phrases(gazetteer, max_words), gazetteer),
-        (F.col("w1") == F.col("_first")) & (F.col("_phrase") == spelled),
+    rows = unnest_structs(words, ["post_id", "_which"], span)
+    begun = rows.join(
+        small(phrases.select(F.col("_first").alias("w1")).distinct(), gazetteer), "w1", "left_semi"
+    )
+    spans = begun.withColumn("_length", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>"))).where(
+        F.size("_next") >= F.col("_length")
+    )
+    found = spans.withColumn("_phrase", F.array_join(F.slice("_next", 1, F.col("_length")), " ")).join(
+        small(phrases.drop("_first"), gazetteer), ["_length", "_phrase"]
     ).select(
-        "post_id", "start", (F.col("start") + F.col("_length")).alias("end"),
+        "post_id", "_which", "start", (F.col("start") + F.col("_length")).alias("end"),
         "entity_text", "entity_type",
-    )
+    ).distinct()
     # A match is dropped if a longer one covers it.
-    by_start = Window.partitionBy("post_id").orderBy("start")
-    earlier = F.max("end").over(by_start.rangeBetween(-(max_words - 1), -1))
+    by_start = Window.partitionBy("post_id", "_which").orderBy("start")
+    earlier = F.max("end").over(by_start.rangeBetween(-max(1, longest - 1), -1))
     same = F.max("end").over(by_start.rangeBetween(0, 0))
     return (
         found.withColumn("_earlier", earlier)
         .withColumn("_same", same)
         .where((F.coalesce("_earlier", F.lit(0)) < F.col("end")) & (F.col("_same") == F.col("end")))
-        .drop("_earlier", "_same")
+        .drop("_earlier", "_same", "_which")
     )
 
 
@@ -101,14 +97,9 @@ def entity_counts(found: DataFrame) -> DataFrame:
     )
 
 
-def gazetteer_entities(
-    texts: DataFrame,
-    gazetteer: DataFrame,
-    top_n: int = TOP_ENTITIES,
-    max_words: int = MAX_PHRASE_WORDS,
-) -> DataFrame:
-    """The ``top_n`` most mentioned reportable entities of each text."""
-    found = mentions(texts, gazetteer, max_words).where(is_reportable(F.col("entity_text")))
+def gazetteer_entities(texts: DataFrame, gazetteer: DataFrame, top_n: int = TOP_ENTITIES) -> DataFrame:
+    """The ``top_n`` most mentioned reportable entities of each post, over all its texts."""
+    found = mentions(texts, gazetteer).where(is_reportable(F.col("entity_text")))
     return top_n_per_group(
         entity_counts(found), ["post_id"],
         [F.desc("mention_count"), F.col("entity_text"), F.col("entity_type")], top_n,

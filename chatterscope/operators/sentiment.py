@@ -56,13 +56,14 @@ def _word_rows(texts: DataFrame, keep: list[str]) -> DataFrame:
     """One row per word with its position, predecessors and the facts of its post."""
     tokens = texts.select(
         *keep,
+        F.struct(F.xxhash64("_text"), F.xxhash64(F.lit(1), "_text")).alias("_which"),
         is_blank(F.col("_text")).alias("_blank"),
         _units(_emphasis(F.coalesce("_text", F.lit("")))).alias("_emphasis"),
         _tokens(strip(F.coalesce("_text", F.lit("")))).alias("_tokens"),
     )
     shouted = F.size(F.filter("_tokens", is_shouted))
     facts = tokens.select(
-        *keep, "_blank", "_emphasis", "_tokens",
+        *keep, "_which", "_blank", "_emphasis", "_tokens",
         F.size("_tokens").alias("_words"),
         ((shouted > 0) & (shouted < F.size("_tokens"))).alias("_mixed"),
         (F.array_position(F.transform("_tokens", F.lower), "but") - 1).alias("_but"),
@@ -74,7 +75,7 @@ def _word_rows(texts: DataFrame, keep: list[str]) -> DataFrame:
             *[F.get(F.col("_tokens"), i - k).alias(f"p{k}") for k in (1, 2, 3)],
         ),
     )
-    return unnest_structs(facts, [*keep, "_blank", "_emphasis", "_words", "_mixed", "_but"], word)
+    return unnest_structs(facts, [*keep, "_which", "_blank", "_emphasis", "_words", "_mixed", "_but"], word)
 
 
 def _apply_predecessor(rows: DataFrame, modifiers: DataFrame, k: int) -> DataFrame:
@@ -110,8 +111,9 @@ def score_texts(
     blank_neutral: float = 1.0,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Scores ``(post_id, _text)`` rows; one result per post.
+    """Scores ``(post_id, _text)`` rows; one result per post and text.
 
+    Rows that repeat a post and its text are scored once, and two texts under one key apart.
     ``blank_neutral`` is the neutral share of a text without words. ``carry`` names further
     columns of the post to hand on.
     """
@@ -145,13 +147,16 @@ def score_texts(
     rows = rows.withColumn("_v", _units(F.col("valence") * weight))
 
     hit = F.col("_v")
-    sums = rows.groupBy(*keep, "_blank", "_emphasis", "_words").agg(
+    sums = rows.groupBy(*keep, "_which", "_blank", "_emphasis", "_words").agg(
         F.coalesce(F.sum(hit), F.lit(0)).alias("_sum"),
         F.coalesce(F.sum(F.when(hit > 0, hit + _SCALE)), F.lit(0)).alias("_pos"),
         F.coalesce(F.sum(F.when(hit < 0, _SCALE - hit)), F.lit(0)).alias("_neg"),
         F.count_if(hit != 0).alias("_hits"),
+        F.count_if(F.col("i") == 0).alias("_copies"),
     )
-    return _finish(sums, keep, blank_neutral)
+    # Each copy of a row added the same, so these divisions leave no rest.
+    once = {c: F.expr(f"{c} div _copies") for c in ("_sum", "_pos", "_neg", "_hits")}
+    return _finish(sums.withColumns(once), keep, blank_neutral)
 
 
 def _finish(sums: DataFrame, keep: list[str], blank_neutral: float) -> DataFrame:
@@ -192,10 +197,12 @@ def lexicon_sentiment(
     return score_texts(texts, lexicon, modifiers, carry=carry)
 
 
-def title_sentiment(posts: DataFrame, lexicon: DataFrame, modifiers: DataFrame) -> DataFrame:
+def title_sentiment(
+    posts: DataFrame, lexicon: DataFrame, modifiers: DataFrame, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Sentiment of the title alone, as used for feeds; an empty title scores zero throughout."""
-    texts = posts.select("post_id", F.col("title").alias("_text"))
-    return score_texts(texts, lexicon, modifiers, blank_neutral=0.0)
+    texts = posts.select("post_id", *carry, F.col("title").alias("_text"))
+    return score_texts(texts, lexicon, modifiers, blank_neutral=0.0, carry=carry)
 
 
 def nested(scores: DataFrame) -> DataFrame:

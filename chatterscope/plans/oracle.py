@@ -9,7 +9,7 @@ from chatterscope import resources as rs
 from chatterscope.constants import (
     CUSTOM_STOPWORDS, FEEDS, MAX_FEATURES, MIN_DOCS, STOP_ENTITIES, TOP_ENTITIES, TOP_KEYWORDS,
 )
-from chatterscope.functions.text import ENTITY_WORD, PUNCTUATION
+from chatterscope.functions.text import ENTITY_TOKEN, ENTITY_WORD, PUNCTUATION
 
 
 def _text(value: str) -> str:
@@ -311,7 +311,7 @@ _score("text_scores", "1")
 _score("title_scores", "0")
 
 # Entities of the rows of a part named "texts" (post_id, txt)
-_WORD = _text(ENTITY_WORD)
+_WORD, _TOKEN = _text(ENTITY_WORD), _text(ENTITY_TOKEN)
 part("gazetteer", "", rf"""
     SELECT DISTINCT regexp_extract_all(phrase, {_WORD}) AS g, entity_type,
            array_to_string(list_transform(regexp_extract_all(lower(trim(phrase)), '\p{{L}}+|[^\p{{L}}]+'),
@@ -322,7 +322,7 @@ part("gazetteer", "", rf"""
 part("spans", "texts gazetteer", f"""
     SELECT post_id, i AS s, i + len(g) AS e, entity_text, entity_type
     FROM (SELECT post_id, w, unnest(range(1, len(w) + 1)) AS i
-          FROM (SELECT post_id, regexp_extract_all(coalesce(txt, ''), {_WORD}) AS w FROM texts))
+          FROM (SELECT post_id, regexp_extract_all(coalesce(txt, ''), {_TOKEN}) AS w FROM texts))
     JOIN gazetteer ON w[i] = g[1] AND w[i:i + len(g) - 1] = g
 """)
 part("mentions", "spans", """
@@ -378,7 +378,7 @@ ORACLE: dict[str, str] = {
     "read_posts": sql("raw_posts", f"""
         SELECT * EXCLUDE (created_utc), CAST({EPOCH} AS DOUBLE) AS created_epoch FROM raw_posts"""),
     "normalize_post": sql("raw_posts", """
-        SELECT post_id, source, subreddit, title, nullif(left(body, 2000), '') AS body,
+        SELECT post_id, source, subreddit, title, nullif(body, '') AS body,
                coalesce(author, '[deleted]') AS author, url, score, num_comments,
                CAST(date_trunc('second', created_utc) AS TIMESTAMP) AS created_utc FROM raw_posts"""),
     "select_listing": sql("raw_posts", """
@@ -398,10 +398,16 @@ ORACLE: dict[str, str] = {
     "rss_key": sql("items", f"""
         SELECT url AS link, {ITEM_KEY} AS post_id, left(url, 20) AS legacy_key FROM items"""),
     "feed_topic_join": sql("items feeds", """
-        SELECT feed, topic, count(*) AS items FROM items JOIN feeds USING (feed) GROUP BY ALL"""),
+        SELECT feed, topic, url AS link FROM items LEFT JOIN feeds USING (feed)"""),
+    "rss_pipeline": sql("feed_posts title_scores", """
+        SELECT post_id, subreddit, trim(title) AS title, created_utc, compound, positive, negative, neutral, label
+        FROM feed_posts JOIN title_scores USING (post_id)""",
+                        ("items", f"SELECT {ITEM_KEY} AS post_id, trim(title) AS txt FROM items")),
+    "quarantine_rows": """
+        SELECT 'title is null' AS violations, count(*) AS rows FROM pages WHERE page_id % 5 = 0
+        UNION ALL SELECT 'does not parse', count(*) FROM pages WHERE page_id % 7 = 0""",
     "scan_tables": sql("wide", """
-        SELECT CAST(created_utc AS DATE) AS dt, subreddit, count(*) AS posts FROM wide
-        WHERE created_utc >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY ALL"""),
+        SELECT CAST(created_utc AS DATE) AS dt, subreddit, count(*) AS posts FROM wide GROUP BY ALL"""),
     "union_sources": sql("raw_posts feed_posts", """
         SELECT post_id, source, subreddit, title, body, created_utc FROM raw_posts UNION ALL
         SELECT post_id, source, subreddit, title, NULL, created_utc FROM feed_posts"""),
@@ -424,7 +430,7 @@ ORACLE: dict[str, str] = {
                  CASE WHEN title IS NULL THEN 'title is null' END,
                  CASE WHEN length(url) > 20 THEN 'post_id is longer than 20' END],
                  lambda x: x IS NOT NULL), '; ') AS violations
-        FROM (SELECT url, nullif(regexp_extract(html, '<title>([^<]{0,40})</title>', 1), '') AS title
+        FROM (SELECT url, CASE WHEN page_id % 5 <> 0 THEN regexp_extract(html, '<title>([^<]*)</title>', 1) END AS title
               FROM pages)""",
     "fk_semi": sql("scores", """
         SELECT post_id, label, CASE WHEN post_id IN (SELECT 'd' || doc_id FROM documents)
@@ -549,6 +555,8 @@ ORACLE: dict[str, str] = {
     "entity_counts": sql("mention_counts", "SELECT * FROM mention_counts", ON_POSTS),
     "gazetteer_entities": sql("found", "SELECT * FROM found",
                               ("", "SELECT 'd' || doc_id AS post_id, text AS txt FROM documents")),
+    "lexicon_sentiment_repeats": sql("text_scores", "SELECT * FROM text_scores", ON_SENTIMENT),
+    "entity_repeats": sql("found", "SELECT * FROM found", ON_POSTS),
     "extract_from_posts": sql("found", "SELECT * FROM found", ON_POSTS),
     "entity_cleanup": sql("raw_posts", rf"""
         SELECT * FROM (

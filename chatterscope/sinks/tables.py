@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from chatterscope.operators.toplists import top_n_per_group
 from chatterscope.schemas import DEFAULTS, KEYS, MAX_LENGTHS, SCHEMAS
+from chatterscope.session import scratch_dir
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -62,8 +63,22 @@ def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def upsert_daily_summary(summary: DataFrame, path: str) -> None:
-    """Inserts the days of ``summary`` or replaces them whole."""
-    overwrite_partitions(summary, path, "summary_date")
+    """Inserts the rows of ``summary`` or replaces those of the same day and subreddit.
+
+    Other rows of the touched days are carried over. What the days become is stored first, as they
+    are read and replaced.
+    """
+    spark = summary.sparkSession
+    merged_path = scratch_dir(spark, "summary")
+    old = read_table(spark, path, summary.schema).alias("old")
+    new = summary.alias("new")
+    days = summary.select("summary_date").distinct()
+    same = (F.col("old.summary_date") == F.col("new.summary_date")) & F.col("old.subreddit").eqNullSafe(
+        F.col("new.subreddit")
+    )
+    kept = old.join(days, "summary_date", "left_semi").alias("old").join(new, same, "left_anti")
+    kept.select(summary.columns).unionByName(summary).write.parquet(merged_path)
+    overwrite_partitions(spark.read.schema(summary.schema).parquet(merged_path), path, "summary_date")
 
 
 def write_keyword_trends(trends: DataFrame, path: str) -> None:
@@ -76,14 +91,17 @@ def with_defaults(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(filled) if filled else df
 
 
-def validate_contract(df: DataFrame, table: str) -> DataFrame:
-    """Fills defaults and adds ``violations``: what breaks the table's rules, empty if nothing."""
+def validate_contract(df: DataFrame, table: str, lengths: bool = True) -> DataFrame:
+    """Fills defaults and adds ``violations``: what breaks the table's rules, empty if nothing.
+
+    ``lengths`` checks the longest accepted strings too, which only a database column needs.
+    """
     filled = with_defaults(df, table)
     required = [f.name for f in SCHEMAS[table].fields if not f.nullable and f.name in df.columns]
     checks = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in required]
     checks += [
         F.when(F.length(c) > n, F.lit(f"{c} is longer than {n}"))
-        for c, n in MAX_LENGTHS[table].items() if c in df.columns
+        for c, n in MAX_LENGTHS[table].items() if lengths and c in df.columns
     ]
     return filled.withColumn(
         "violations", F.filter(F.array(*checks), lambda found: found.isNotNull())

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from chatterscope.constants import (
-    BODY_CHARS, DEFAULT_TARGETS, DELETED_AUTHOR, LISTING_LIMIT,
+    DEFAULT_TARGETS, DELETED_AUTHOR, LISTING_LIMIT,
 )
+from chatterscope.functions.times import epoch_of, from_epoch
 from chatterscope.operators.toplists import top_n_per_group
 from chatterscope.schemas import LANDED_POST
 
@@ -26,7 +27,7 @@ def _columns():
 
 def read_posts(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Landed posts as delivered. Lines that do not parse keep their text in ``_corrupt_record``."""
-    return _reader(spark.read.option("ignoreCorruptFiles", "true"), path, fmt)
+    return _reader(spark.read, path, fmt)
 
 
 def stream_posts(
@@ -46,10 +47,17 @@ def parsed(landed: DataFrame) -> DataFrame:
     return landed.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
-def normalize_post(landed: DataFrame, body_chars: int | None = BODY_CHARS) -> DataFrame:
+def unparsed(landed: DataFrame) -> DataFrame:
+    """The text of the lines that did not parse, in a column ``line``."""
+    if "_corrupt_record" not in landed.columns:
+        return landed.select(F.lit(None).cast("string").alias("line")).where(F.lit(False))
+    return landed.where(F.col("_corrupt_record").isNotNull()).select(F.col("_corrupt_record").alias("line"))
+
+
+def normalize_post(landed: DataFrame, body_chars: int | None = None) -> DataFrame:
     """Landed posts in the stored shape.
 
-    ``body_chars`` is the stored length of a body; ``None`` keeps bodies whole.
+    Bodies are kept whole unless ``body_chars`` sets the length to cut them to.
     """
     body = F.col("body") if body_chars is None else F.left(F.col("body"), F.lit(body_chars))
     return landed.select(
@@ -57,7 +65,7 @@ def normalize_post(landed: DataFrame, body_chars: int | None = BODY_CHARS) -> Da
         F.nullif(body, F.lit("")).alias("body"),
         F.coalesce("author", F.lit(DELETED_AUTHOR)).alias("author"),
         "url", "score", "num_comments",
-        F.timestamp_seconds("created_epoch").cast("timestamp_ntz").alias("created_utc"),
+        from_epoch(F.col("created_epoch")).alias("created_utc"),
     )
 
 
@@ -67,7 +75,7 @@ def select_listing(posts: DataFrame, sort: str = "new", limit: int = LISTING_LIM
     "hot" is ranked by the published log-score-plus-age formula and is an approximation.
     """
     score = F.col("score")
-    age = F.unix_timestamp(F.col("created_utc").cast("timestamp")) / 45000
+    age = epoch_of(F.col("created_utc")) / 45000
     orders = {
         "new": F.desc("created_utc"),
         "top": F.desc("score"),

@@ -18,7 +18,6 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("xml")
         .option("rowTag", "item")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("ignoreCorruptFiles", "true")
         .schema(schema)
         .load(path)
     )
@@ -42,20 +41,48 @@ def rss_key(items: DataFrame) -> DataFrame:
 
 
 def feed_topic_join(items: DataFrame, feed_map: DataFrame) -> DataFrame:
-    return items.join(small(feed_map.select("feed", "topic")), "feed")
+    """Items with the topic of their feed; null for a feed that is not in the map."""
+    return items.join(small(feed_map.select("feed", "topic")), "feed", "left")
+
+
+_DATES = r"(?i)^(?:[a-z]{3},\s*)?(\d{1,2}) ([a-z]{3}) (\d{4}) (\d{2}:\d{2}(?::\d{2})?) ?([a-z]{1,4}|[+-]\d{2}:?\d{2})?$"
+_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?) ?(Z|[+-]\d{2}:?\d{2})?$"
+_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+#: Hours from UTC of the zone names that the mail format knows.
+_ZONES = {"gmt": 0, "ut": 0, "utc": 0, "z": 0, "est": -5, "edt": -4, "cst": -6, "cdt": -5, "mst": -7, "mdt": -6, "pst": -8, "pdt": -7}
 
 
 def published_at() -> Column:
-    """The item's own date, for example "Tue, 02 Jan 2024 10:00:00 GMT"; null if it has none."""
-    return F.try_to_timestamp(
-        F.substring("pubDate", 6, 64), F.lit("dd MMM yyyy HH:mm:ss z")
-    ).cast("timestamp_ntz")
+    """The item's own date in UTC, in the mail format or as ISO; null if it has none that is known.
+
+    The weekday, seconds and zone may be missing; without a zone it is taken as UTC.
+    """
+    date = F.trim("pubDate")
+
+    def group(pattern: str, n: int) -> Column:
+        return F.nullif(F.regexp_extract(date, pattern, n), F.lit(""))
+
+    month = F.nullif(F.array_position(F.array(*map(F.lit, _MONTHS)), F.lower(group(_DATES, 2))), F.lit(0))
+    mail = F.concat_ws("-", group(_DATES, 3), F.lpad(month, 2, "0"), F.lpad(group(_DATES, 1), 2, "0"))
+    day = F.coalesce(group(_ISO, 1), F.when(month.isNotNull(), mail))
+    clock = F.coalesce(group(_ISO, 2), group(_DATES, 4))
+    zone = F.lower(F.coalesce(group(_ISO, 3), group(_DATES, 5), F.lit("utc")))
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    offset = (digits.substr(1, 2).try_cast("int") * 60 + digits.substr(3, 2).try_cast("int")) * F.when(zone.startswith("-"), -1).otherwise(1)
+    named = F.lit(None).cast("int")
+    for name, hours in _ZONES.items():
+        named = F.when(zone == name, hours * 60).otherwise(named)
+    minutes = F.coalesce(named, offset)
+    return F.concat_ws(" ", day, clock).try_cast("timestamp_ntz") - F.make_dt_interval(mins=minutes)
 
 
 def items_to_posts(
     items: DataFrame, feed_map: DataFrame, as_of, use_published: bool = False
 ) -> DataFrame:
-    """Feed items as posts. ``created_utc`` is the time of collection unless asked otherwise."""
+    """Feed items as posts. ``created_utc`` is the time of collection unless asked otherwise.
+
+    The items of a feed that is not in the map are kept under the feed's name.
+    """
     collected = timestamp(as_of)
     created = F.coalesce(published_at(), collected) if use_published else collected
     return (
@@ -63,7 +90,7 @@ def items_to_posts(
         .select(
             "post_id",
             F.lit("rss").alias("source"),
-            F.col("topic").alias("subreddit"),
+            F.coalesce("topic", "feed").alias("subreddit"),
             F.coalesce("title", F.lit("")).alias("title"),
             created.alias("created_utc"),
         )

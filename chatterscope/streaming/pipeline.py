@@ -14,7 +14,7 @@ from chatterscope import resources
 from chatterscope.operators.broadcasts import small
 from chatterscope.operators.entities import extract_from_posts
 from chatterscope.operators.keywords import keyword_trends
-from chatterscope.operators.sentiment import lexicon_sentiment
+from chatterscope.operators.sentiment import lexicon_sentiment, title_sentiment
 from chatterscope.operators.summaries import daily_summary
 from chatterscope.schemas import (
     EXTRACTED_ENTITIES, KEYWORD_TRENDS, RAW_POSTS, SENTIMENT_SCORES,
@@ -23,7 +23,8 @@ from chatterscope.sinks.tables import (
     append_new, overwrite_partitions, quarantined, read_table, upsert_daily_summary, valid,
     validate_contract, write_keyword_trends,
 )
-from chatterscope.sources.posts import normalize_post, parsed
+from chatterscope.sources.posts import normalize_post, parsed, unparsed
+from chatterscope.sources.rss import items_to_posts
 
 logger = logging.getLogger(__name__)
 
@@ -81,10 +82,12 @@ def run_batch(
     tables: Tables,
     sides: SideTables,
     body_chars: int | None = None,
+    lengths: bool = False,
 ) -> None:
     """Brings all tables up to date with one batch of landed posts.
 
-    Every step overwrites partitions that it derives from stored rows, so a batch that is run again
+    Lines that do not parse and posts that break the contract go to the quarantine, with the
+    reason; ``lengths`` counts overlong strings among these. Every step overwrites partitions that it derives from stored rows, so a batch that is run again
     after a crash, at any point, ends in the same tables. ``batch`` must name the batch uniquely.
     """
     if landed.isEmpty():
@@ -92,10 +95,11 @@ def run_batch(
         return
     started = time.monotonic()
     spark = landed.sparkSession
-    checked = validate_contract(normalize_post(parsed(landed), body_chars), "raw_posts")
-    overwrite_partitions(
-        quarantined(checked).withColumn("batch", F.lit(batch)), tables.path("quarantine"), "batch"
+    checked = validate_contract(normalize_post(parsed(landed), body_chars), "raw_posts", lengths)
+    refused = quarantined(checked).unionByName(
+        unparsed(landed).withColumn("violations", F.array(F.lit("does not parse"))), allowMissingColumns=True
     )
+    overwrite_partitions(refused.withColumn("batch", F.lit(batch)), tables.path("quarantine"), "batch")
     others = tables.raw_posts(spark).where(F.col("batch") != batch)
     added = append_new(
         valid(checked), others, ["post_id"], [F.col("created_utc"), F.col("title"), F.col("body")]
@@ -131,6 +135,42 @@ def run_batch(
     logger.info("batch %s done in %.1f s", batch, time.monotonic() - started)
 
 
+def run_rss_batch(
+    items: DataFrame,
+    batch: str,
+    tables: Tables,
+    sides: SideTables,
+    feed_map: DataFrame,
+    as_of,
+    use_published: bool = False,
+) -> None:
+    """Feed items to stored posts and the sentiment of their titles.
+
+    Known items are skipped, so delivering a feed again adds nothing. Items that do not parse go to
+    the quarantine. A batch that is repeated replaces its own rows.
+    """
+    spark = items.sparkSession
+    posts = items_to_posts(parsed(items), feed_map, as_of, use_published)
+    missing = [f for f in RAW_POSTS.fields if f.name not in (*posts.columns, "collected_at")]
+    whole = posts.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    checked = validate_contract(whole, "raw_posts", lengths=False)
+    refused = quarantined(checked).unionByName(
+        unparsed(items).withColumn("violations", F.array(F.lit("does not parse"))), allowMissingColumns=True
+    )
+    overwrite_partitions(refused.withColumn("batch", F.lit(batch)), tables.path("quarantine"), "batch")
+    others = tables.raw_posts(spark).where(F.col("batch") != batch)
+    added = append_new(valid(checked), others, ["post_id"], [F.col("created_utc"), F.col("title")])
+    overwrite_partitions(
+        added.withColumns({"dt": F.to_date("created_utc"), "batch": F.lit(batch)}),
+        tables.path("raw_posts"), "dt", "batch",
+    )
+    new = tables.raw_posts(spark).where(F.col("batch") == batch)
+    overwrite_partitions(
+        title_sentiment(new, sides.lexicon, sides.modifiers, carry=("dt", "batch")),
+        tables.path("sentiment_scores"), "dt", "batch",
+    )
+
+
 def start_pipeline(
     posts: DataFrame,
     root: str,
@@ -138,6 +178,7 @@ def start_pipeline(
     sides: SideTables | None = None,
     every: str | None = None,
     body_chars: int | None = None,
+    lengths: bool = False,
 ) -> StreamingQuery:
     """Starts the job on a stream of landed posts.
 
@@ -150,7 +191,7 @@ def start_pipeline(
     def on_batch(landed: DataFrame, number: int) -> None:
         # Batch numbers restart with a new checkpoint; its stored id tells the runs apart.
         stream = spark.read.json(f"{checkpoint}/metadata", "id string").first()["id"]
-        run_batch(landed, f"{stream}-{number:012d}", tables, sides, body_chars)
+        run_batch(landed, f"{stream}-{number:012d}", tables, sides, body_chars, lengths)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

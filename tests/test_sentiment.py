@@ -21,9 +21,9 @@ def compound(s):
 
 def test_labels(score):
     good, bad, plain = score(
-        "This is absolutely amazing and I love it!",
-        "This is terrible, I hate everything about it.",
-        "The meeting is at 3pm on Tuesday.",
+        "What an amazing view, we love the harbour!",
+        "An awful ferry; everybody would hate that seat.",
+        "The ferry leaves at nine on Mondays.",
     )
     assert good.label == "positive" and good.compound > 0.05
     assert bad.label == "negative" and bad.compound < -0.05
@@ -38,7 +38,7 @@ def test_blank_texts(score):
 
 
 def test_range_and_sum(score):
-    for r in score("Something happened today.", "Test sentence for pipeline.", "best " * 500, "worst! " * 90):
+    for r in score("A ferry came in.", "Nothing was said of the harbour.", "best " * 500, "worst! " * 90):
         assert -1 <= r.compound <= 1
         assert abs(r.positive + r.negative + r.neutral - 1) < 0.01
 
@@ -84,3 +84,10 @@ def test_large_lexicon_is_not_broadcast(spark):
     wide = spark.range(50).withColumnRenamed("id", "term")
     assert is_small(wide, 50) and not is_small(wide, 49)
     assert "ResolvedHint" not in small(wide, max_rows=49)._jdf.queryExecution().logical().toString()
+
+
+def test_repeated_rows_are_scored_once_and_texts_apart(spark):
+    rows = spark.createDataFrame([("p", "good day")] * 3 + [("p", "bad day"), ("q", "good day")], "post_id string, _text string")
+    got = se.score_texts(rows, rs.lexicon(spark), rs.modifiers(spark)).collect()
+    single = compound(1.9)
+    assert sorted((r.post_id, r.compound) for r in got) == [("p", compound(-2.5)), ("p", single), ("q", single)]

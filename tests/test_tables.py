@@ -41,6 +41,15 @@ def test_upsert_replaces_only_its_days(spark, tmp_path):
     assert got == {("2024-01-01", "s", 1), ("2024-01-02", None, 5)}
 
 
+def test_upsert_keeps_other_rows_of_its_days(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    day = F.lit("2024-01-01").cast("date")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "subreddit string, total_posts int").select(day.alias("summary_date"), "*")
+    sk.upsert_daily_summary(rows, path)
+    sk.upsert_daily_summary(rows.where("subreddit = 'b' or subreddit is null").withColumn("total_posts", F.lit(9)), path)
+    assert {(r.subreddit, r.total_posts) for r in spark.read.parquet(path).collect()} == {("a", 1), ("b", 9), (None, 9)}
+
+
 def test_contract(spark):
     posts = spark.createDataFrame(
         [("a", "rss", "t", None, AT), ("b" * 21, "rss", None, 3, AT), ("c", None, "t", 1, None)],
@@ -48,6 +57,7 @@ def test_contract(spark):
     checked = sk.validate_contract(posts, "raw_posts")
     assert [(r.post_id, r.score) for r in sk.valid(checked).collect()] == [("a", 0)]
     bad = {r.post_id[0]: r.violations for r in sk.quarantined(checked).collect()}
+    assert sk.quarantined(sk.validate_contract(posts, "raw_posts", lengths=False)).count() == 2
     assert bad == {"b": ["title is null", "post_id is longer than 20"], "c": ["source is null", "created_utc is null"]}
 
 
@@ -113,6 +123,39 @@ def test_feeds(spark, tmp_path):
     assert [r.created_utc for r in rss.read_rss(spark, str(tmp_path), rs.feed_map(spark), AT).collect()] == [AT] * 3
 
 
+@pytest.mark.parametrize("date, expected", [
+    ("Tue, 02 Jan 2024 10:00:00 GMT", AT.replace(day=2, hour=10)), ("2 Jan 2024 10:00 +0200", AT.replace(day=2, hour=8)),
+    ("Tue, 02 Jan 2024 10:00:00 -0530", dt.datetime(2024, 1, 2, 15, 30)), ("02 jan 2024 10:00:00 EST", AT.replace(day=2, hour=15)),
+    ("2024-01-02T10:00:00Z", AT.replace(day=2, hour=10)), ("2024-01-02 10:00:00+01:00", AT.replace(day=2, hour=9)),
+    ("2024-01-02T10:00", AT.replace(day=2, hour=10)), ("yesterday", None), ("31 Foo 2024 10:00 GMT", None), (None, None), ("", None)])
+def test_publication_dates(spark, date, expected):
+    assert spark.createDataFrame([(date,)], "pubDate string").select(rss.published_at()).first()[0] == expected
+
+
+def test_items_of_unknown_feeds_are_kept(spark):
+    items = fx.rss_items(spark, D).withColumn("feed", F.lit("new feed"))
+    posts = rss.items_to_posts(items, rs.feed_map(spark), AT)
+    assert posts.count() == items.count() and {r.subreddit for r in posts.select("subreddit").distinct().collect()} == {"new feed"}
+
+
+def test_session_zone_changes_nothing(spark):
+    from chatterscope.functions import times
+    rows = spark.createDataFrame([(0.0, "2024-03-10 02:30:15"), (1704103200.5, "2024-11-03 01:59:59.5")], "e double, t string")
+    rows = rows.select("e", F.col("t").cast("timestamp_ntz").alias("t"))
+    own = rows.select(times.from_epoch(F.col("e")), times.hour_of(F.col("t")), times.day_of(F.col("t")), times.epoch_of(F.col("t")))
+    expected = [
+        (dt.datetime(1970, 1, 1), dt.datetime(2024, 3, 10, 2), dt.datetime(2024, 3, 10), 1710037815),
+        (dt.datetime(2024, 1, 1, 10, 0, 0, 500000), dt.datetime(2024, 11, 3, 1), dt.datetime(2024, 11, 3), 1730599199)]
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [tuple(r) for r in own.collect()] == expected
+            posts = ps.normalize_post(fx.landed_posts(spark, D)).join(fx.raw_posts(spark, D).select("post_id", F.col("created_utc").alias("own")), "post_id")
+            assert posts.where("created_utc != own - make_dt_interval(0, 0, 0, extract(second from own) - second(own))").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_sources_add_up_with_their_duplicates(spark):
     a = spark.createDataFrame([("a", "t", "b")], "post_id string, title string, body string")
     both = ps.union_sources(a, a.drop("body"))
