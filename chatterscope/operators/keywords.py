@@ -13,8 +13,10 @@ from chatterscope.constants import (
 )
 from chatterscope.functions.arrays import repeats, run_starts, unnest, unnest_structs
 from chatterscope.functions.numbers import round_half_up
-from chatterscope.functions.text import bigrams, clean, drop_words, keep_words, post_text, words
+from chatterscope.functions.text import bigrams, clean, keep_words, post_text, words
 from chatterscope.functions.times import hour_of
+from chatterscope.operators.broadcasts import small
+from chatterscope.operators.toplists import top_n_per_group
 from chatterscope.resources import english_stopwords
 
 BUCKET = ["subreddit", "hour_bucket"]
@@ -55,28 +57,18 @@ def word_frequency(posts: DataFrame) -> DataFrame:
     )
 
 
-def _tokens(cleaned: DataFrame, english: list[str]) -> DataFrame:
-    """Per post the words that small buckets count (``_tokens``) and the words that TF-IDF
-    sees (``_kept``), both in order."""
-    tokens = cleaned.select(
-        *BUCKET, "post_id", keep_words(F.col("cleaned"), CUSTOM_STOPWORDS).alias("_tokens")
-    )
-    return tokens.select("*", drop_words(F.col("_tokens"), english).alias("_kept"))
-
-
 def term_stats(cleaned: DataFrame, english: list[str]) -> DataFrame:
     """Total count and number of posts of each term per bucket, in one pass over the texts.
 
-    Holds the words (English stop words too, which small buckets count), the pairs of words that
-    are no stop words, and under the empty term the number of posts of the bucket. Pairs are
-    built after the removal, so they bridge removed words.
+    Holds the words that are no stop words, their pairs, and under the empty term the number of
+    posts of the bucket. Pairs are built after the removal, so they bridge removed words.
 
     Each post emits its distinct terms and apart from them its repeats. Both combine on the map
     side, and no shuffle by post is needed to count posts.
     """
-    terms = _tokens(cleaned, english).select(
-        *BUCKET,
-        F.sort_array(F.concat(F.array(F.lit("")), "_tokens", bigrams(F.col("_kept")))).alias("_terms"),
+    kept = cleaned.select(*BUCKET, keep_words(F.col("cleaned"), [*CUSTOM_STOPWORDS, *english]).alias("_kept"))
+    terms = kept.select(
+        *BUCKET, F.sort_array(F.concat(F.array(F.lit("")), "_kept", bigrams(F.col("_kept")))).alias("_terms")
     )
     return (
         terms.select(
@@ -98,32 +90,22 @@ def _ranking() -> WindowSpec:
     )
 
 
-def leading_terms(
-    stats: DataFrame, english: list[str], max_features: int, top_n: int
-) -> DataFrame:
-    """The terms of each bucket that can matter, with the bucket's number of posts.
-
-    One ranking serves both kinds of buckets. The ``max_features`` largest terms that are no
-    English stop words lie within the first ``max_features + len(english)``. The ``top_n`` largest
-    single words lie within the first ``top_n * (top_n + 1)``: a pair ahead of such a word is
-    more frequent, so both its words are among the ``top_n`` as well.
+def leading_terms(stats: DataFrame, max_features: int) -> DataFrame:
+    """The ``max_features`` leading terms of each bucket, with the bucket's number of posts.
 
-    Each task hands on at most that many rows of a bucket, so a hot bucket is small from here on.
+    Each task hands on at most that many rows of a bucket, so a hot bucket is small from here on,
+    however long the stop lists are.
     """
-    limit = max(max_features + len(english), top_n * (top_n + 1))
     whole = Window.partitionBy("hour_bucket", "subreddit")
     return (
         stats.withColumn("_rank", F.row_number().over(_ranking()))
-        .where(F.col("_rank") <= limit + 1)
+        .where(F.col("_rank") <= max_features + 1)
         .withColumn("posts", F.max(F.when(F.col("term") == "", F.col("count"))).over(whole))
-        # Always true. It makes both uses of these rows need the same columns and so share a shuffle.
-        .where((F.col("term") != "") & (F.col("df") > 0))
+        .where(F.col("term") != "")
     )
 
 
-def vocabulary(
-    leading: DataFrame, english: list[str], max_features: int = MAX_FEATURES, min_docs: int = MIN_DOCS
-) -> DataFrame:
+def vocabulary(leading: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """One row per large bucket with the terms TF-IDF weighs: their names, counts and idfs.
 
     Plain arrays, as Spark would otherwise take a field out of an array of structs again for every
@@ -131,9 +113,7 @@ def vocabulary(
     """
     idf = F.log((1 + F.col("posts")) / (1 + F.col("df"))) + 1
     terms = (
-        leading.where((F.col("posts") >= min_docs) & ~F.col("term").isin(english))
-        .withColumn("_rank", F.row_number().over(_ranking()))
-        .where(F.col("_rank") <= max_features)
+        leading.where(F.col("posts") >= min_docs)
         .groupBy("hour_bucket", "subreddit", "posts")
         .agg(F.collect_list(F.struct("term", "count", idf.alias("idf"))).alias("_vocab"))
     )
@@ -236,19 +216,6 @@ def _best_with_frequency(buckets: DataFrame, top_n: int) -> DataFrame:
     return unnest_structs(ordered, BUCKET, best)
 
 
-def _by_frequency(leading: DataFrame, top_n: int, min_docs: int) -> DataFrame:
-    """The most frequent single words of small buckets, ties by name."""
-    return (
-        leading.where((F.col("posts") < min_docs) & ~F.col("term").contains(" "))
-        .withColumn("_rank", F.row_number().over(_ranking()))
-        .where(F.col("_rank") <= top_n)
-        .select(
-            *BUCKET, F.col("term").alias("keyword"), F.col("count").alias("frequency"),
-            F.col("count").cast("double").alias("tfidf_score"),
-        )
-    )
-
-
 def tfidf_keywords(
     posts: DataFrame,
     stopwords: list[str] | None = None,
@@ -259,20 +226,27 @@ def tfidf_keywords(
     """The ``top_n`` terms by mean normalised TF-IDF of each bucket of at least ``min_docs`` posts."""
     english = english_stopwords() if stopwords is None else list(stopwords)
     cleaned = bucketed(posts)
-    leading = leading_terms(term_stats(cleaned, english), english, max_features, top_n)
-    vocab = vocabulary(leading, english, max_features, min_docs)
+    vocab = vocabulary(leading_terms(term_stats(cleaned, english), max_features), min_docs)
     return _tfidf(cleaned, vocab, english, top_n)
 
 
 def frequency_keywords(
     posts: DataFrame, top_n: int = TOP_KEYWORDS, min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """The ``top_n`` words by count of each bucket of fewer than ``min_docs`` posts.
+    """The ``top_n`` words by count of each bucket of fewer than ``min_docs`` posts, ties by name.
 
-    Only the short custom stop list applies here.
+    Only the short custom stop list applies here. Bucket sizes come first, so the texts of large
+    buckets are not taken apart.
     """
-    leading = leading_terms(term_stats(bucketed(posts), []), [], 0, top_n)
-    return _by_frequency(leading, top_n, min_docs)
+    sizes = post_buckets(posts, min_docs).where(~F.col("uses_tfidf") & F.col("hour_bucket").isNotNull())
+    texts = bucketed(posts).join(small(sizes.select(*BUCKET)), BUCKET, "left_semi")
+    counts = (
+        unnest(texts, BUCKET, keep_words(F.col("cleaned"), CUSTOM_STOPWORDS))
+        .groupBy(*BUCKET, F.col("item").alias("keyword"))
+        .agg(F.count(F.lit(1)).alias("frequency"))
+    )
+    best = top_n_per_group(counts, BUCKET, [F.desc("frequency"), F.col("keyword")], top_n).drop("rank")
+    return best.withColumn("tfidf_score", F.col("frequency").cast("double"))
 
 
 def keyword_trends(
@@ -286,12 +260,8 @@ def keyword_trends(
 
     ``is_trending`` is written as false; the trend view derives the flag.
     """
-    english = english_stopwords() if stopwords is None else list(stopwords)
-    cleaned = bucketed(posts)
-    leading = leading_terms(term_stats(cleaned, english), english, max_features, top_n)
-    vocab = vocabulary(leading, english, max_features, min_docs)
     return (
-        _tfidf(cleaned, vocab, english, top_n)
-        .unionByName(_by_frequency(leading, top_n, min_docs))
+        tfidf_keywords(posts, stopwords, top_n, max_features, min_docs)
+        .unionByName(frequency_keywords(posts, top_n, min_docs))
         .withColumn("is_trending", F.lit(False))
     )

@@ -48,10 +48,15 @@ def parsed(landed: DataFrame) -> DataFrame:
 
 
 def unparsed(landed: DataFrame) -> DataFrame:
-    """The text of the lines that did not parse, in a column ``line``."""
+    """The lines that did not parse, their text in a column ``line``, with what was read of the title.
+
+    Spark refuses to read broken lines alone from raw files, hence the second column.
+    """
+    title = F.col("title").cast("string").alias("title")
     if "_corrupt_record" not in landed.columns:
-        return landed.select(F.lit(None).cast("string").alias("line")).where(F.lit(False))
-    return landed.where(F.col("_corrupt_record").isNotNull()).select(F.col("_corrupt_record").alias("line"))
+        return landed.select(F.lit(None).cast("string").alias("line"), title).where(F.lit(False))
+    broken = landed.where(F.col("_corrupt_record").isNotNull())
+    return broken.select(F.col("_corrupt_record").alias("line"), title)
 
 
 def normalize_post(landed: DataFrame, body_chars: int | None = None) -> DataFrame:

@@ -48,7 +48,7 @@ def rows(df):
 
 def test_three_posts(spark):
     titles = [
-        "OpenAI releases new AI model https://x.io/a,b",
+        "A model of the harbour model https://x.io/a,b",
         "The model model debate heats up",
         "New model beats the old model on reasoning tasks",
     ]
@@ -82,10 +82,10 @@ def test_only_stop_words_no_rows(spark):
 
 
 def test_subreddits_apart(spark):
-    both = posts_of(spark, ["robots rise"]).union(posts_of(spark, ["market rally"], "stocks"))
+    both = posts_of(spark, ["ferries leave"]).union(posts_of(spark, ["harbour dues"], "stocks"))
     got = kw.keyword_trends(both).collect()
     assert {(r.subreddit, r.keyword) for r in got} == {
-        ("technology", "robots"), ("technology", "rise"), ("stocks", "market"), ("stocks", "rally")}
+        ("technology", "ferries"), ("technology", "leave"), ("stocks", "harbour"), ("stocks", "dues")}
 
 
 def test_small_bucket_counts_words_and_keeps_english_ones(spark):
@@ -110,8 +110,9 @@ def test_missing_subreddit_is_unknown(spark):
 
 
 def test_hot_bucket_is_cut_down_before_it_meets_in_one_task(spark):
-    plan = kw.keyword_trends(posts_of(spark, ["robots rise"] * 3))._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 606, Partial" in plan
+    stop = [f"stop{k}" for k in range(2000)]
+    plan = kw.keyword_trends(posts_of(spark, ["robots rise"] * 3), stop)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 501, Partial" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
