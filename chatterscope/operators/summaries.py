@@ -85,10 +85,8 @@ def sentiment_gauge(posts: DataFrame, sentiment: DataFrame, as_of, hours: int =
 
 
 def pct_of_total(counts: DataFrame, column: str) -> DataFrame:
-    """Adds each row's share of the total. Meant for aggregated rows (here: three labels)."""
-    return counts.withColumn(
-        "percentage", percent(F.col(column), F.sum(column).over(Window.partitionBy()))
-    )
+    """Adds each row's share of the total, which is summed in the tasks and joined as one number."""
+    return counts.withColumn("percentage", percent(F.col(column), counts.agg(F.sum(column)).scalar()))
 
 
 def entity_surge(entities: DataFrame, posts: DataFrame, sentiment: DataFrame) -> DataFrame:
@@ -161,6 +159,7 @@ def daily_summary(
     """
     if as_of is not None:
         posts = on_day(posts, "created_utc", as_of)
+        keywords = None if keywords is None else on_day(keywords, "hour_bucket", as_of)
     days = (
         posts_join_sentiment(
             posts.select("post_id", "subreddit", "created_utc"),

@@ -387,7 +387,11 @@ ORACLE: dict[str, str] = {
                    ORDER BY created_utc DESC, post_id) AS rank FROM raw_posts
           UNION ALL
           SELECT *, 'top' AS listing, row_number() OVER (PARTITION BY subreddit
-                   ORDER BY score DESC, post_id) AS rank FROM raw_posts)
+                   ORDER BY score DESC, post_id) AS rank FROM raw_posts
+          UNION ALL
+          SELECT *, 'hot' AS listing, row_number() OVER (PARTITION BY subreddit
+                   ORDER BY log10(greatest(abs(score), 1)) * sign(score) + epoch(date_trunc('second', created_utc)) / 45000 DESC,
+                   post_id) AS rank FROM raw_posts)
         WHERE rank <= 100"""),
     "read_targets": sql("raw_posts", """
         SELECT post_id, subreddit, created_utc, score, rank FROM (
@@ -593,3 +597,5 @@ ORACLE: dict[str, str] = {
         WHERE hour_bucket + INTERVAL 1 HOUR <= date_trunc('millisecond', as_of) - INTERVAL 2 HOURS"""),
     "late_posts": sql("keyword_rows", "SELECT * FROM keyword_rows"),
 }
+ORACLE["stream_dedup"] = ORACLE["stream_dedup_posts"]
+ORACLE["stream_hourly_sentiment"] = ORACLE["stream_hourly_sentiment_closed"]

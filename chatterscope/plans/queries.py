@@ -76,7 +76,7 @@ def normalize_post(spark, d):
 def select_listing(spark, d):
     posts = fx.raw_posts(spark, d).select("post_id", "subreddit", "score", "created_utc")
     return ps.union_sources(*[
-        ps.select_listing(posts, sort).withColumn("listing", F.lit(sort)) for sort in ("new", "top")
+        ps.select_listing(posts, sort).withColumn("listing", F.lit(sort)) for sort in ("new", "top", "hot")
     ])
 
 
@@ -646,3 +646,7 @@ def late_posts(spark, d):
         stream = ps.stream_posts(spark, landed)
         start_pipeline(stream, root, f"{root}-checkpoint").awaitTermination()
     return Tables(root).keyword_trends(spark).drop("dt")
+
+
+REGISTRY["stream_dedup"] = stream_dedup_posts
+REGISTRY["stream_hourly_sentiment"] = stream_hourly_sentiment_closed
