@@ -18,6 +18,8 @@ from chatterscope.llm.scratch import BROADCAST_ROWS, small_side, unused, written
 from chatterscope.llm.stars import crowded, star_components
 
 MIN_WORDS, MAX_BITS, BLOCKS, SIMILARITY = 5, 2, 4, 0.9
+#: Words of fewer characters are mostly function words, which make all lines of a language alike.
+VOTING_CHARS = 4
 #: Bits of the SimHash, and of the counter of votes for each; a long holds three counters.
 BITS, LANE = 63, 21
 VOTES = 1 | 1 << LANE | 1 << 2 * LANE
@@ -26,8 +28,18 @@ LONG_LINE = 10_000
 
 
 def words_of(line: Column) -> Column:
-    """Lower-case runs of letters and digits: the normalised line, as an array."""
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
+    """Runs of letters, digits and whatever is not ASCII, of a lower-case line: the normalised line, as an array."""
+    return F.array_remove(F.split(line, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+
+
+def _lines(texts: DataFrame) -> DataFrame:
+    """(doc_id, at, line): lower-case lines, numbered from 0 in their document."""
+    return texts.select("doc_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("at", "line"))
+
+
+def _with_words(lines: DataFrame) -> DataFrame:
+    """Adds the words in place of the line. Exploding an array of one keeps Spark from working them out at every use."""
+    return lines.withColumn("words", F.explode(F.array(words_of(F.col("line"))))).drop("line")
 
 
 def _keys() -> list[Column]:
@@ -38,20 +50,25 @@ def _keys() -> list[Column]:
 def _signed(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, at, k1, k2, simhash) of every line of enough words, numbered from 0 in its document.
 
-    Each word of four characters or more votes for the bits of its hash. A long holds the votes for three bits, 21 bits
-    each, and they are summed in the task before they are shuffled. A line of over two million such words gets a SimHash
+    Each word of `VOTING_CHARS` characters or more votes for the bits of its hash. A long holds the votes for three bits, 21 bits
+    each, and they are summed in the task before they are shuffled. A line of over a million such words gets a SimHash
     that says nothing of its likeness; it is compared for equality like all others.
     """
-    parts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = parts.select("doc_id", "at", words_of(F.col("line")).alias("words")).where(F.size("words") >= min_words)
-    words = lines.select("doc_id", "at", *_keys(), F.explode("words").alias("word"))
-    h = F.when(F.length("word") >= 4, F.xxhash64("word"))
+    lines = _with_words(_lines(docs)).where(F.size("words") >= min_words)
+    # The keys come first: in one select with the explode they would be worked out again for each word.
+    keyed = lines.select("doc_id", "at", *_keys(), "words")
+    words = keyed.select("doc_id", "at", "k1", "k2", F.posexplode("words").alias("place", "word"))
+    # Short words don't vote; the first stays in any case, so that its line does.
+    words = words.where((F.col("place") == 0) | (F.length("word") >= VOTING_CHARS))
+    h = F.when(F.length("word") >= VOTING_CHARS, F.xxhash64("word"))
     votes = words.select("doc_id", "at", "k1", "k2", h.alias("h")).groupBy("doc_id", "at", "k1", "k2").agg(
         F.count("h").alias("n"), *[F.expr(f"sum(shiftrightunsigned(h, {k}) & {VOTES}L)").alias(f"v{k}") for k in range(LANE)]
     )
-    bits = [f"if(2 * (shiftrightunsigned(v{k % LANE}, {k // LANE * LANE}) & {(1 << LANE) - 1}L) > n, {1 << k}L, 0L)" for k in range(BITS)]
+    # A counter with this much added overflows into its top bit if more than half of the words voted for its bit.
+    half = F.expr(f"({1 << LANE - 1}L - n div 2 - 1) * {VOTES}L").alias("half")
+    bits = [f"shiftleft(shiftrightunsigned(v{k} + half, {LANE - 1}) & {VOTES}L, {k})" for k in range(LANE)]
     simhash = F.when(F.col("n") > 0, F.expr(" | ".join(bits)))
-    return votes.select("doc_id", "at", "k1", "k2", simhash.alias("simhash"))
+    return votes.select("*", half).select("doc_id", "at", "k1", "k2", simhash.alias("simhash"))
 
 
 def _block_keys(simhash: Column, max_bits: int, blocks: int) -> Column:
@@ -70,8 +87,12 @@ def _block_keys(simhash: Column, max_bits: int, blocks: int) -> Column:
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
     most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
-    # Spark's limit is a constant; the difference in length rules out most of what it would have to go through.
-    near = F.when(F.abs(F.length(a) - F.length(b)) > most, False).otherwise(F.levenshtein(a, b) <= most)
+    # Replacing the words that differ place by place bounds the distance; mostly that decides.
+    pa, pb = F.split(a, " "), F.split(b, " ")
+    changed = F.zip_with(pa, pb, lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y))))
+    bound = F.aggregate(changed, F.lit(0), lambda total, n: total + n)
+    replaced = (F.size(pa) == F.size(pb)) & (bound <= most)
+    near = F.when(replaced, True).otherwise(F.call_function("levenshtein", a, b, most) >= 0)  # below zero beyond the limit
     wa, wb = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
     same = F.size(F.array_intersect(wa, wb))
     return F.when(longest <= LONG_LINE, near).otherwise(same >= similarity * (F.size(wa) + F.size(wb) - same))
@@ -102,8 +123,7 @@ def removals(
     worth = worth.select("id").unionByName(worth.select("hub.id")).distinct()
     wanted = written(spark, worth.select("id.doc_id", "id.at", "id.k1"), "wanted-lines")
     holding = texts.join(small_side(written(spark, wanted.select("doc_id").distinct(), "wanted-docs")), "doc_id", "left_semi")
-    own = holding.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).join(small_side(wanted), ["doc_id", "at"])
-    own = own.select("doc_id", "at", "k1", words_of(F.col("line")).alias("words"))
+    own = _with_words(_lines(holding).join(small_side(wanted), ["doc_id", "at"]))
     lines = own.where(F.xxhash64("words") == F.col("k1")).select(F.struct("doc_id", "at", "k1").alias("id"), F.array_join("words", " ").alias("norm"))
     lines = written(spark, lines.dropDuplicates(["id"]), "candidate-lines")
 
@@ -112,7 +132,7 @@ def removals(
         both = left.join(lines.select(F.col("id").alias("b"), F.col("norm").alias("norm_b")), "b")
         return both.select("a", "b", _similar(F.col("norm_a"), F.col("norm_b"), similarity).alias("linked"), F.lit(None).cast("double").alias("d"))
 
-    parts = star_components(spark, buckets, possible, verify)
+    parts = star_components(spark, buckets, possible, verify, second_hub=False)
     groups = distinct.join(parts.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")
     groups = groups.select("k1", "k2", F.coalesce("component", "id").alias("stays"))
     gone = every.join(groups, ["k1", "k2"]).where(F.struct("doc_id", "at", "k1") != F.col("stays"))

@@ -6,7 +6,8 @@
 2. Bands of the signature are bucket keys. In a bucket every class is compared with one hub only, so a bucket of n
    classes gives n - 1 candidates. Candidates are confirmed on full sets.
 3. A bucket whose classes are in several components after that may still hide a link between two that are no hubs;
-   `stars` finds it, ruling pairs out by sizes and by the triangle inequality of the Jaccard distance.
+   `stars` finds it, ruling pairs out by sizes, by shingles that one of them alone has, and by the triangle inequality
+   of the Jaccard distance.
 
 At a similarity of 0.8, five rows in a band and 32 bands miss a pair with probability 3e-6, at 0.85 with 7e-9.
 """
@@ -128,16 +129,25 @@ def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, set_hi long, set_lo long, shingles array<long>")
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    """Whether sets of these sizes can be similar enough at all."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _may_link(a: Column, b: Column, percent: int) -> Column:
+    """Whether sets can be similar enough, by their sizes `n` and how many of their shingles `common` another may have."""
+    most = F.least(a["common"], b["common"])
+    return (100 + percent) * most >= percent * (a["n"] + b["n"])
+
+
+def _shared_shingles(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, info) by the ids' own shingles: those that no other of them has can't be common."""
+    own = sets.join(ids, "id").select("id", F.size("shingles").cast("long").alias("n"), "shingles")
+    single = own.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("times"), F.min("id").alias("id"))
+    single = single.where("times = 1").groupBy("id").agg(F.count("*").alias("single"))
+    return own.join(single, "id", "left").select("id", F.struct("n", (F.col("n") - F.coalesce("single", F.lit(0))).alias("common")).alias("info"))
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with their distance and whether they are linked, by the full sets. The hub of many pairs is b; Spark splits its join."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("_a")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("_b")), "b")
-    sized = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).alias("same"), (F.col("info_a") + F.col("info_b")).alias("total"))
+    sized = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).alias("same"), (F.col("info_a.n") + F.col("info_b.n")).alias("total"))
     union = F.col("total") - F.col("same")
     return sized.select("a", "b", (100 * F.col("same") >= percent * union).alias("linked"), (1 - F.col("same") / union).alias("d"))
 
@@ -161,16 +171,17 @@ def near_duplicates(
     member = full.join(classes, same).select("doc_id", "id")
 
     keyed = signed.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", *same]).dropDuplicates(["doc_id"])
-    keyed = keyed.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("key"))
-    buckets = crowded(spark, keyed.withColumnRenamed("n", "info"))
+    sizes = F.struct("n", F.col("n").alias("common")).alias("info")
+    buckets = crowded(spark, keyed.select(F.col("doc_id").alias("id"), sizes, F.explode("bands").alias("key")))
     everyone = buckets.select("id").distinct()
     texts = docs.selectExpr("cast(doc_id as long) id", "text").join(everyone, "id")
     sets = set_rows(texts, shingle).join(classes.select("id", *same), ["id", *same]).dropDuplicates(["id"])
     sets = written(spark, sets.select("id", "shingles"), "sets")
 
     parts = star_components(
-        spark, buckets, lambda a, b: _sizes_fit(a, b, percent), lambda pairs: _compared(pairs, sets, percent), reach=(100 - percent) / 100
-    )
+        spark, buckets, lambda a, b: _may_link(a, b, percent), lambda pairs: _compared(pairs, sets, percent),
+        reach=(100 - percent) / 100, tighter=lambda ids: _shared_shingles(ids, sets),
+    )
     found = member.join(parts.withColumnRenamed("node", "id"), "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     rows = signed.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce(component, "doc_id").alias("component_id"))

@@ -27,8 +27,8 @@ def crowded(spark: SparkSession, keyed: DataFrame) -> DataFrame:
     """
     counts = written(spark, keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "crowded-keys")
     rows = written(spark, keyed.join(small_side(counts), "key"), "bucket-rows")
-    hubs = rows.groupBy("key").agg(F.min(F.struct("id", "info")).alias("hub"))
-    return written(spark, rows.join(hubs, "key"), "buckets")
+    hubs = written(spark, rows.groupBy("key").agg(F.min(F.struct("id", "info")).alias("hub")), "hubs")
+    return written(spark, rows.join(small_side(hubs), "key"), "buckets")
 
 
 def _pairs(rows: DataFrame, one: Column, other: Column, possible: Possible) -> DataFrame:
@@ -37,11 +37,21 @@ def _pairs(rows: DataFrame, one: Column, other: Column, possible: Possible) -> D
     return pairs.where(F.col("a") != F.col("b")).where(possible(F.col("info_a"), F.col("info_b"))).dropDuplicates(["a", "b"])
 
 
-def star_components(spark: SparkSession, buckets: DataFrame, possible: Possible, verify: Verify, reach: float | None = None) -> DataFrame:
+def star_components(
+    spark: SparkSession,
+    buckets: DataFrame,
+    possible: Possible,
+    verify: Verify,
+    reach: float | None = None,
+    tighter: Callable[[DataFrame], DataFrame] | None = None,
+    second_hub: bool = True,
+) -> DataFrame:
     """(node, component) of all rows with a link; component is the smallest id.
 
     reach: the largest distance of linked rows, if `d` obeys the triangle inequality; it rules out pairs whose distances
-    to their hub differ by more.
+    to their hub differ by more. tighter: from the ids (column id) that are left for the last comparison, a table (id,
+    info) that allows no less than their info does, given that they are compared with each other only. second_hub: False
+    goes to that comparison at once, which is cheaper where `possible` leaves few pairs.
     """
     row, hub = F.struct("id", "info"), F.col("hub")
     done = written(spark, verify(_pairs(buckets, row, hub, possible)), "verified")
@@ -49,25 +59,31 @@ def star_components(spark: SparkSession, buckets: DataFrame, possible: Possible,
 
     def still_open() -> DataFrame:
         """Rows of buckets of three or more that lie in several components, with a second hub."""
-        own = buckets.where("size > 2").join(parts.withColumnRenamed("node", "id"), "id", "left")
-        own = own.select("key", "id", "info", F.col("hub.id").alias("hub_id"), F.coalesce("component", "id").alias("part"))
-        second = F.min(F.struct(F.xxhash64("id", "key").alias("order"), "id", "info", "part")).alias("other")
-        several = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), second)
-        return written(spark, own.join(several.where("low < high").drop("low", "high"), "key"), "open")
-
-    rest = still_open()
-    if rest.isEmpty():
-        return parts
-    more = _pairs(rest.where("part != other.part"), row, F.struct("other.id", "other.info"), possible)
-    more = written(spark, verify(more.join(done, ["a", "b"], "left_anti")), "verified")
-    done = done.unionByName(more)
-    parts = written(spark, components(spark, done.where("linked")), "components")
+        own = buckets.where("size > 2").join(small_side(parts).withColumnRenamed("node", "id"), "id", "left")
+        own = written(spark, own.select("key", "id", "info", F.col("hub.id").alias("hub_id"), F.coalesce("component", "id").alias("part")), "parted")
+        several = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+        rows = written(spark, own.join(small_side(written(spark, several, "several")), "key"), "open-rows")
+        second = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("order"), "id", "info", "part")).alias("other"))
+        return written(spark, rows.join(small_side(written(spark, second, "second-hubs")), "key"), "open")
 
     rest = still_open()
     if rest.isEmpty():
         return parts
+    if second_hub:
+        more = _pairs(rest.where("part != other.part"), row, F.struct("other.id", "other.info"), possible)
+        more = written(spark, verify(more.join(done, ["a", "b"], "left_anti")), "verified")
+        done = done.unionByName(more)
+        parts = written(spark, components(spark, done.where("linked")), "components")
+
+        rest = still_open()
+        if rest.isEmpty():
+            return parts
     near = done.select(F.col("a").alias("id"), F.col("b").alias("hub_id"), "d")
-    rest = written(spark, rest.drop("other").where("id != hub_id").join(near, ["id", "hub_id"], "left"), "rest")
+    rest = rest.drop("other").where("id != hub_id").join(near, ["id", "hub_id"], "left")
+    if tighter is not None:
+        tight = written(spark, tighter(rest.select("id").distinct()), "tighter")
+        rest = rest.drop("info").join(tight, "id")
+    rest = written(spark, rest, "rest")
     x, y = rest.alias("x"), rest.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
     fits = possible(F.col("x.info"), F.col("y.info"))

@@ -8,7 +8,7 @@ from chatterscope.llm.line_dedup import line_report, removals, without_repeated_
 
 
 def normal(line):
-    return [w for w in re.split(r"[^\w]|_", line.lower()) if w]
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", line.lower()) if w]
 
 
 def simhash(words):
