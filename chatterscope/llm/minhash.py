@@ -181,6 +181,7 @@ def near_duplicates(
     parts = star_components(
         spark, buckets, lambda a, b: _may_link(a, b, percent), lambda pairs: _compared(pairs, sets, percent),
         reach=(100 - percent) / 100, tighter=lambda ids: _shared_shingles(ids, sets),
+        centre=lambda info: -info["common"] / info["n"],  # the text nearest to what all of them share
     )
     found = member.join(parts.withColumnRenamed("node", "id"), "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))

@@ -1,7 +1,7 @@
 """Groups of linked rows found through shared buckets, without listing all pairs of a bucket.
 
 In a bucket every row is compared with one hub. Only a bucket whose rows then lie in several components may still hide a
-link; its rows get a second, random hub, and at last every pair across components that is still possible. So no linked
+link; its rows get a second hub, and at last every pair across components that is still possible. So no linked
 pair that shares a bucket is lost, while a bucket of n alike rows costs n comparisons.
 """
 
@@ -44,13 +44,15 @@ def star_components(
     verify: Verify,
     reach: float | None = None,
     tighter: Callable[[DataFrame], DataFrame] | None = None,
+    centre: Callable[[Column], Column] | None = None,
     second_hub: bool = True,
 ) -> DataFrame:
     """(node, component) of all rows with a link; component is the smallest id.
 
     reach: the largest distance of linked rows, if `d` obeys the triangle inequality; it rules out pairs whose distances
-    to their hub differ by more. tighter: from the ids (column id) that are left for the last comparison, a table (id,
-    info) that allows no less than their info does, given that they are compared with each other only. second_hub: False
+    to their hub differ by more. tighter: from the ids (column id) of rows in open buckets, a table (id, info) that allows no
+    less than their info does, given that they are compared with each other only. centre: the row with the least value
+    of it, by that info, is the second hub; a random one otherwise. second_hub: False
     goes to that comparison at once, which is cheaper where `possible` leaves few pairs.
     """
     row, hub = F.struct("id", "info"), F.col("hub")
@@ -63,7 +65,11 @@ def star_components(
         own = written(spark, own.select("key", "id", "info", F.col("hub.id").alias("hub_id"), F.coalesce("component", "id").alias("part")), "parted")
         several = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
         rows = written(spark, own.join(small_side(written(spark, several, "several")), "key"), "open-rows")
-        second = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("order"), "id", "info", "part")).alias("other"))
+        if tighter is not None:
+            tight = written(spark, tighter(rows.select("id").distinct()), "tighter")
+            rows = written(spark, rows.drop("info").join(small_side(tight), "id"), "tight-rows")
+        order = F.xxhash64("id", "key").cast("double") if centre is None else centre(F.col("info"))
+        second = rows.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id", "info", "part")).alias("other"))
         return written(spark, rows.join(small_side(written(spark, second, "second-hubs")), "key"), "open")
 
     rest = still_open()
@@ -80,9 +86,6 @@ def star_components(
             return parts
     near = done.select(F.col("a").alias("id"), F.col("b").alias("hub_id"), "d")
     rest = rest.drop("other").where("id != hub_id").join(near, ["id", "hub_id"], "left")
-    if tighter is not None:
-        tight = written(spark, tighter(rest.select("id").distinct()), "tighter")
-        rest = rest.drop("info").join(tight, "id")
     rest = written(spark, rest, "rest")
     x, y = rest.alias("x"), rest.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
