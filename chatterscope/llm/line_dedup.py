@@ -1,15 +1,14 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
+"""Fuzzy line deduplication: hashes of words as candidates, edit similarity, one occurrence per connected group.
 
-Lines are normalised and reduced to distinct ones. Two are linked if their SimHashes of 63 bits differ in at most `MAX_BITS`
-bits and their edit similarity reaches a threshold; of `BLOCKS` blocks of the hash, some `BLOCKS - MAX_BITS` are then
-equal, so every choice of that many blocks is a bucket key of about 32 bits and no such pair is missed. Lines connected by
-links form a group, of which the first occurrence in the corpus stays. Built-in functions only. Texts stay where they
-are, unless so many lines have candidates that these can't be broadcast.
+Lines are normalised and reduced to distinct ones. Two are linked if their edit similarity reaches a threshold.
+Candidates share the least hashes of their words under four of `MINIMA` orders. A SimHash can't find them: a changed word
+flips 9 of its 63 bits in a line of 8 words, and blocks that stay equal then are too short to be keys. Lines connected by links form a group, of which the first occurrence in the corpus
+stays. Built-in functions only. Texts stay where they are, unless so many lines have candidates that these can't be broadcast.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+import random
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,19 +16,21 @@ from pyspark.sql import functions as F
 from chatterscope.llm.scratch import BROADCAST_ROWS, small_side, unused, written
 from chatterscope.llm.stars import crowded, star_components
 
-MIN_WORDS, MAX_BITS, BLOCKS, SIMILARITY = 5, 2, 4, 0.9
-#: Words of fewer characters are mostly function words, which make all lines of a language alike.
-VOTING_CHARS = 4
-#: Bits of the SimHash, and of the counter of votes for each; a long holds three counters.
-BITS, LANE = 63, 21
-VOTES = 1 | 1 << LANE | 1 << 2 * LANE
+MIN_WORDS, SIMILARITY = 5, 0.9
 #: Beyond this many characters, edit similarity is that of the sets of words, as edit distance costs the square.
 LONG_LINE = 10_000
+#: Orders of the words' hashes, and places of the orders that make a key, counted from each order on. Two keys share one at most.
+MINIMA, ROWS = 13, (0, 1, 3, 9)
+#: Words of fewer characters are mostly function words, which lines of a language share; they come after three quarters of the hashes.
+LONG_CHARS, MASK = 4, (1 << 31) - 1
+#: Each order is that of the hashes after an exclusive or with a fixed number.
+ORDERS = [random.Random(9 + k).getrandbits(31) for k in range(MINIMA)]
+_APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(line: Column) -> Column:
     """Runs of letters, digits and whatever is not ASCII, of a lower-case line: the normalised line, as an array."""
-    return F.array_remove(F.split(line, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+    return F.array_remove(F.split(line, _APART), "")
 
 
 def _lines(texts: DataFrame) -> DataFrame:
@@ -48,40 +49,26 @@ def _keys() -> list[Column]:
 
 
 def _signed(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, at, k1, k2, simhash) of every line of enough words, numbered from 0 in its document.
+    """(doc_id, at, k1, k2, size, minima) of every line of enough words, numbered from 0 in its document.
 
-    Each word of `VOTING_CHARS` characters or more votes for the bits of its hash. A long holds the votes for three bits, 21 bits
-    each, and they are summed in the task before they are shuffled. A line of over a million such words gets a SimHash
-    that says nothing of its likeness; it is compared for equality like all others.
+    minima: under each order, the least hash of a word. They are found in the task before they are shuffled.
     """
-    lines = _with_words(_lines(docs)).where(F.size("words") >= min_words)
+    lines = _with_words(_lines(docs))
+    norm = F.array_join("words", " ")
+    lines = lines.where(F.size("words") >= min_words)
     # The keys come first: in one select with the explode they would be worked out again for each word.
-    keyed = lines.select("doc_id", "at", *_keys(), "words")
-    words = keyed.select("doc_id", "at", "k1", "k2", F.posexplode("words").alias("place", "word"))
-    # Short words don't vote; the first stays in any case, so that its line does.
-    words = words.where((F.col("place") == 0) | (F.length("word") >= VOTING_CHARS))
-    h = F.when(F.length("word") >= VOTING_CHARS, F.xxhash64("word"))
-    votes = words.select("doc_id", "at", "k1", "k2", h.alias("h")).groupBy("doc_id", "at", "k1", "k2").agg(
-        F.count("h").alias("n"), *[F.expr(f"sum(shiftrightunsigned(h, {k}) & {VOTES}L)").alias(f"v{k}") for k in range(LANE)]
-    )
-    # A counter with this much added overflows into its top bit if more than half of the words voted for its bit.
-    half = F.expr(f"({1 << LANE - 1}L - n div 2 - 1) * {VOTES}L").alias("half")
-    bits = [f"shiftleft(shiftrightunsigned(v{k} + half, {LANE - 1}) & {VOTES}L, {k})" for k in range(LANE)]
-    simhash = F.when(F.col("n") > 0, F.expr(" | ".join(bits)))
-    return votes.select("*", half).select("doc_id", "at", "k1", "k2", simhash.alias("simhash"))
-
-
-def _block_keys(simhash: Column, max_bits: int, blocks: int) -> Column:
-    """One key for every choice of blocks that stay equal if at most `max_bits` bits differ."""
-    width = -(-BITS // blocks)
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - max_bits)):
-        mask = 0
-        for b in chosen:
-            for bit in range(b * width, min(BITS, (b + 1) * width)):
-                mask |= 1 << bit
-        keys.append(F.xxhash64(F.lit(number), simhash.bitwiseAND(F.lit(mask).cast("long"))))
-    return F.array(*keys)
+    keyed = lines.select("doc_id", "at", *_keys(), F.length(norm).alias("size"), "words")
+    words = keyed.select("doc_id", "at", "k1", "k2", "size", F.explode("words").alias("word"))
+    words = words.withColumn("h", F.hash("word").bitwiseAND(F.lit(MASK))).withColumn("short", F.length("word") < LONG_CHARS)
+    order = lambda x: F.col("h").bitwiseXOR(F.lit(x))
+    late = lambda h: F.shiftright(h, 2).bitwiseOR(F.lit(MASK - (MASK >> 2)))
+    least = [F.min(F.when(F.col("short"), late(order(x))).otherwise(order(x))).alias(f"m{k}") for k, x in enumerate(ORDERS)]
+    signed = words.groupBy("doc_id", "at", "k1", "k2", "size").agg(*least)
+    return signed.select("doc_id", "at", "k1", "k2", "size", F.array(*[f"m{k}" for k in range(MINIMA)]).alias("minima"))
+
+
+def _bucket_keys(minima: Column) -> Column:
+    return F.array(*[F.xxhash64(F.lit(k), *[minima[(k + r) % MINIMA] for r in ROWS]) for k in range(MINIMA)])
 
 
 def _similar(a: Column, b: Column, similarity: float) -> Column:
@@ -98,9 +85,7 @@ def _similar(a: Column, b: Column, similarity: float) -> Column:
     return F.when(longest <= LONG_LINE, near).otherwise(same >= similarity * (F.size(wa) + F.size(wb) - same))
 
 
-def removals(
-    spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS, similarity: float = SIMILARITY
-) -> DataFrame:
+def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, removed): numbers of the lines that go, sorted, for documents that lose any.
 
     Lines of fewer than `min_words` words, blank ones among them, always stay. Of lines that repeat or nearly repeat,
@@ -109,14 +94,13 @@ def removals(
     """
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = written(spark, _signed(texts, min_words), "lines")
-    distinct = every.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "k1")).alias("id"), F.first("simhash").alias("simhash"))
+    distinct = every.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "k1")).alias("id"), F.first("size").alias("info"), F.first("minima").alias("minima"))
     distinct = written(spark, distinct, "distinct-lines")
 
     def possible(a: Column, b: Column) -> Column:
-        return F.bit_count(a.bitwiseXOR(b)) <= max_bits
+        return F.abs(a - b) <= F.floor(F.greatest(a, b) * (1 - similarity) + 1e-9)  # each edit changes the length by one at most
 
-    keyed = distinct.where("simhash is not null")
-    keyed = keyed.select("id", F.col("simhash").alias("info"), F.explode(_block_keys(F.col("simhash"), max_bits, blocks)).alias("key"))
+    keyed = distinct.select("id", "info", F.explode(_bucket_keys(F.col("minima"))).alias("key"))
     buckets = crowded(spark, keyed)
     # Only rows that may be compared are worth their text: near to the hub, or in a bucket of three or more.
     worth = buckets.where((F.col("size") > 2) | ((F.col("id") != F.col("hub.id")) & possible(F.col("info"), F.col("hub.info"))))
@@ -130,6 +114,7 @@ def removals(
     def verify(pairs: DataFrame) -> DataFrame:
         left = pairs.join(lines.select(F.col("id").alias("a"), F.col("norm").alias("norm_a")), "a")
         both = left.join(lines.select(F.col("id").alias("b"), F.col("norm").alias("norm_b")), "b")
+        both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few bytes, but long to compare
         return both.select("a", "b", _similar(F.col("norm_a"), F.col("norm_b"), similarity).alias("linked"), F.lit(None).cast("double").alias("d"))
 
     parts = star_components(spark, buckets, possible, verify, second_hub=False)

@@ -88,3 +88,39 @@ def test_empty_and_repeated_rows(spark, make_docs):
     line = "one two three four five six"
     rows = line_report(spark, make_docs([(1, line), (1, line), (2, line), (None, line)])).collect()
     assert sorted((r.doc_id or -1, r.n_removed) for r in rows) == [(-1, 0), (1, 0), (1, 0), (2, 1)]
+
+
+def alike(docs, min_words=5, similarity=0.9):
+    """Lines that go by edit similarity alone, whatever finds the pairs."""
+    lines = [(i, at, " ".join(w)) for i, t in docs if t for at, line in enumerate(t.split("\n")) if len(w := re.findall(r"[^\W_]+", line.lower())) >= min_words]
+    low = {t: t for _, _, t in lines}
+
+    def root(t):
+        while low[t] != t:
+            t = low[t]
+        return t
+
+    for a, b in combinations(low, 2):
+        most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+        if abs(len(a) - len(b)) <= most and distance(a, b) <= most:
+            low[root(b)] = root(a)
+    first = {}
+    return {(i, at) for i, at, t in sorted(lines) if first.setdefault(root(t), (i, at)) != (i, at)}
+
+
+def gone(spark, docs):
+    return {(r.doc_id, at) for r in removals(spark, docs).collect() for at in r.removed}
+
+
+def test_lines_with_a_changed_word_are_found(spark, make_docs):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+    docs = []
+    for k in range(60):
+        words = [word() for _ in range(rng.randrange(10, 40))]
+        docs.append((2 * k, " ".join(words)))
+        words[rng.randrange(len(words))] = word()
+        docs.append((2 * k + 1, " ".join(words)))
+    expected, got = alike(docs), gone(spark, make_docs(docs))
+    assert len(expected) > 50 and got <= expected
+    assert len(got) >= 0.95 * len(expected)
