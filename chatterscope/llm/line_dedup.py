@@ -25,11 +25,11 @@ MINIMA, ROWS = 13, (0, 1, 3, 9)
 LONG_CHARS, MASK = 4, (1 << 31) - 1
 #: Each order is that of the hashes after an exclusive or with a fixed number.
 ORDERS = [random.Random(9 + k).getrandbits(31) for k in range(MINIMA)]
-_APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_APART = r"[^\p{L}\p{N}]+"
 
 
 def words_of(line: Column) -> Column:
-    """Runs of letters, digits and whatever is not ASCII, of a lower-case line: the normalised line, as an array."""
+    """Runs of letters and digits of a lower-case line: the normalised line, as an array."""
     return F.array_remove(F.split(line, _APART), "")
 
 

@@ -124,3 +124,11 @@ def test_lines_with_a_changed_word_are_found(spark, make_docs):
     expected, got = alike(docs), gone(spark, make_docs(docs))
     assert len(expected) > 50 and got <= expected
     assert len(got) >= 0.95 * len(expected)
+
+
+def test_typographic_marks_do_not_keep_copies(spark, make_docs):
+    plain = 'he said "one word" and went-off to another place, quickly'
+    marked = "he said “one word” and went—off to another place。 quickly…"
+    short = "we go on to the end of it"
+    docs = [(1, plain), (2, marked), (3, short), (4, short.replace(" on ", " on—")), (5, "déjà vu à la carte"), (6, "déjà vu «à la» carte")]
+    assert gone(spark, make_docs(docs)) == {(2, 0), (4, 0), (6, 0)} == alike(docs)
