@@ -1,7 +1,7 @@
 """Fuzzy line deduplication: hashes of words as candidates, edit similarity, one occurrence per connected group.
 
-Lines are normalised and reduced to distinct ones. Two are linked if their edit similarity reaches a threshold.
-Candidates share the least hashes of their words under four of `MINIMA` orders. A SimHash can't find them: a changed word
+Lines are normalised and reduced to distinct ones. Two are linked if their edit similarity reaches a threshold, at every
+length. Candidates share the least hashes of their words under four of `MINIMA` orders. A SimHash can't find them: a changed word
 flips 9 of its 63 bits in a line of 8 words, and blocks that stay equal then are too short to be keys. Lines connected by links form a group, of which the first occurrence in the corpus
 stays. Built-in functions only. Texts stay where they are, unless so many lines have candidates that these can't be broadcast.
 """
@@ -17,8 +17,6 @@ from chatterscope.llm.scratch import BROADCAST_ROWS, small_side, unused, written
 from chatterscope.llm.stars import crowded, star_components
 
 MIN_WORDS, SIMILARITY = 5, 0.9
-#: Beyond this many characters, edit similarity is that of the sets of words, as edit distance costs the square.
-LONG_LINE = 10_000
 #: Orders of the words' hashes, and places of the orders that make a key, counted from each order on. Two keys share one at most.
 MINIMA, ROWS = 13, (0, 1, 3, 9)
 #: Words of fewer characters are mostly function words, which lines of a language share; they come after three quarters of the hashes.
@@ -71,6 +69,11 @@ def _bucket_keys(minima: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(k), *[minima[(k + r) % MINIMA] for r in ROWS]) for k in range(MINIMA)])
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """How many elements two arrays that differ begin with alike."""
+    return F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int") - 1
+
+
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
     most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
@@ -79,10 +82,12 @@ def _similar(a: Column, b: Column, similarity: float) -> Column:
     changed = F.zip_with(pa, pb, lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y))))
     bound = F.aggregate(changed, F.lit(0), lambda total, n: total + n)
     replaced = (F.size(pa) == F.size(pb)) & (bound <= most)
-    near = F.when(replaced, True).otherwise(F.call_function("levenshtein", a, b, most) >= 0)  # below zero beyond the limit
-    wa, wb = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
-    same = F.size(F.array_intersect(wa, wb))
-    return F.when(longest <= LONG_LINE, near).otherwise(same >= similarity * (F.size(wa) + F.size(wb) - same))
+    # What both begin and end with is left out, but for a word each, so that the blank between words is counted.
+    p, q = _alike(pa, pb), _alike(F.reverse(pa), F.reverse(pb))
+    p = F.greatest(p - 1, F.lit(0))
+    q = F.greatest(F.least(q, F.least(F.size(pa), F.size(pb)) - p) - 1, F.lit(0))
+    ra, rb = (F.array_join(F.slice(x, p + 1, F.size(x) - p - q), " ") for x in (pa, pb))
+    return F.when(replaced, True).otherwise(F.call_function("levenshtein", ra, rb, most) >= 0)  # below zero beyond the limit
 
 
 def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:

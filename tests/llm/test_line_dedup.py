@@ -132,3 +132,12 @@ def test_typographic_marks_do_not_keep_copies(spark, make_docs):
     short = "we go on to the end of it"
     docs = [(1, plain), (2, marked), (3, short), (4, short.replace(" on ", " on—")), (5, "déjà vu à la carte"), (6, "déjà vu «à la» carte")]
     assert gone(spark, make_docs(docs)) == {(2, 0), (4, 0), (6, 0)} == alike(docs)
+
+
+def test_long_lines_are_measured_like_short_ones(spark, make_docs):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(2500)]
+    other, near = words[1250:] + words[:1250], [*words[:700], "instead", *words[702:1900], *words[1901:], "end"]
+    docs = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(near)), (4, "x " + " ".join(words[1:-1])), (5, " ".join(words[:5])), (6, "z " + " ".join(words[:5]))]
+    assert len(docs[0][1]) > 10_000
+    assert gone(spark, make_docs(docs)) == {(3, 0), (4, 0), (6, 0)}
