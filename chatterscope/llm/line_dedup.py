@@ -1,9 +1,10 @@
 """Fuzzy line deduplication: hashes of words as candidates, edit similarity, one occurrence per connected group.
 
 Lines are normalised and reduced to distinct ones. Two are linked if their edit similarity reaches a threshold, at every
-length. Candidates share the least hashes of their words under four of `MINIMA` orders. A SimHash can't find them: a changed word
-flips 9 of its 63 bits in a line of 8 words, and blocks that stay equal then are too short to be keys. Lines connected by links form a group, of which the first occurrence in the corpus
-stays. Built-in functions only. Texts stay where they are, unless so many lines have candidates that these can't be broadcast.
+length. Candidates share the least hashes of their words under four of `MINIMA` orders. A SimHash can't find them: a
+changed word flips 9 of its 63 bits in a line of 8 words, and blocks that stay equal then are too short to be keys. Lines
+connected by links form a group, of which the first occurrence in the corpus stays. Built-in functions only. Texts stay
+where they are, unless so many lines have candidates that these can't be broadcast.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ MINIMA, ROWS = 13, (0, 1, 3, 9)
 LONG_CHARS, MASK = 4, (1 << 31) - 1
 #: Each order is that of the hashes after an exclusive or with a fixed number.
 ORDERS = [random.Random(9 + k).getrandbits(31) for k in range(MINIMA)]
+#: Scripts without blanks, in which each character counts as a word.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 _APART = r"[^\p{L}\p{N}]+"
 
 
@@ -31,6 +34,12 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(line, _APART), "")
 
 
+def _units(norm: Column, words: Column) -> Column:
+    """The words, or in scripts without blanks the characters."""
+    unspaced = (F.octet_length(norm) > F.length(norm)) & norm.rlike(f"[{UNSPACED}]")
+    return F.when(unspaced, F.array_remove(F.split(norm, f" |(?<=[{UNSPACED}])|(?=[{UNSPACED}])"), "")).otherwise(words)
+
+
 def _lines(texts: DataFrame) -> DataFrame:
     """(doc_id, at, line): lower-case lines, numbered from 0 in their document."""
     return texts.select("doc_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("at", "line"))
@@ -47,22 +56,22 @@ def _keys() -> list[Column]:
 
 
 def _signed(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, at, k1, k2, size, minima) of every line of enough words, numbered from 0 in its document.
+    """(doc_id, at, k1, k2, size, minima) of every line with words, numbered from 0 in its document.
 
-    minima: under each order, the least hash of a word. They are found in the task before they are shuffled.
+    minima: under each order, the least hash of a word; null for lines of too few. They are found in the task before they are shuffled.
     """
     lines = _with_words(_lines(docs))
     norm = F.array_join("words", " ")
-    lines = lines.where(F.size("words") >= min_words)
+    lines = lines.where(F.size("words") > 0).select("*", F.explode(F.array(_units(norm, F.col("words")))).alias("units"))
     # The keys come first: in one select with the explode they would be worked out again for each word.
-    keyed = lines.select("doc_id", "at", *_keys(), F.length(norm).alias("size"), "words")
-    words = keyed.select("doc_id", "at", "k1", "k2", "size", F.explode("words").alias("word"))
+    keyed = lines.select("doc_id", "at", *_keys(), F.length(norm).alias("size"), "units", F.size("units").alias("n"))
+    words = keyed.select("doc_id", "at", "k1", "k2", "size", "n", F.explode(F.when(F.col("n") >= min_words, F.col("units")).otherwise(F.array(F.lit("")))).alias("word"))
     words = words.withColumn("h", F.hash("word").bitwiseAND(F.lit(MASK))).withColumn("short", F.length("word") < LONG_CHARS)
     order = lambda x: F.col("h").bitwiseXOR(F.lit(x))
     late = lambda h: F.shiftright(h, 2).bitwiseOR(F.lit(MASK - (MASK >> 2)))
     least = [F.min(F.when(F.col("short"), late(order(x))).otherwise(order(x))).alias(f"m{k}") for k, x in enumerate(ORDERS)]
-    signed = words.groupBy("doc_id", "at", "k1", "k2", "size").agg(*least)
-    return signed.select("doc_id", "at", "k1", "k2", "size", F.array(*[f"m{k}" for k in range(MINIMA)]).alias("minima"))
+    signed = words.groupBy("doc_id", "at", "k1", "k2", "size", "n").agg(*least)
+    return signed.select("doc_id", "at", "k1", "k2", "size", F.when(F.col("n") >= min_words, F.array(*[f"m{k}" for k in range(MINIMA)])).alias("minima"))
 
 
 def _bucket_keys(minima: Column) -> Column:
@@ -93,8 +102,8 @@ def _similar(a: Column, b: Column, similarity: float) -> Column:
 def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, removed): numbers of the lines that go, sorted, for documents that lose any.
 
-    Lines of fewer than `min_words` words, blank ones among them, always stay. Of lines that repeat or nearly repeat,
-    the one of the smallest doc_id, then the first there, stays. Null and empty texts and rows without a doc_id lose
+    Lines without words always stay. Lines of fewer than `min_words` words, or characters in scripts without blanks, go only
+    if they repeat one exactly. Of lines that repeat or nearly repeat, the one of the smallest doc_id, then the first there, stays. Null and empty texts and rows without a doc_id lose
     nothing; rows that repeat a doc_id and text lose the same lines.
     """
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -105,7 +114,7 @@ def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, s
     def possible(a: Column, b: Column) -> Column:
         return F.abs(a - b) <= F.floor(F.greatest(a, b) * (1 - similarity) + 1e-9)  # each edit changes the length by one at most
 
-    keyed = distinct.select("id", "info", F.explode(_bucket_keys(F.col("minima"))).alias("key"))
+    keyed = distinct.where("minima is not null").select("id", "info", F.explode(_bucket_keys(F.col("minima"))).alias("key"))
     buckets = crowded(spark, keyed)
     # Only rows that may be compared are worth their text: near to the hub, or in a bucket of three or more.
     worth = buckets.where((F.col("size") > 2) | ((F.col("id") != F.col("hub.id")) & possible(F.col("info"), F.col("hub.info"))))

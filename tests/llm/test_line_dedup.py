@@ -141,3 +141,9 @@ def test_long_lines_are_measured_like_short_ones(spark, make_docs):
     docs = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(near)), (4, "x " + " ".join(words[1:-1])), (5, " ".join(words[:5])), (6, "z " + " ".join(words[:5]))]
     assert len(docs[0][1]) > 10_000
     assert gone(spark, make_docs(docs)) == {(3, 0), (4, 0), (6, 0)}
+
+
+def test_short_lines_and_scripts_without_blanks(spark, make_docs):
+    chinese = "今天的天气非常好我们决定一起去公园散步看花"
+    docs = [(1, f"home\nabout us\n\n--\n{chinese}"), (2, "Home!\nabout  us\n\n--\nabout it"), (3, chinese), (4, chinese.replace("散", "跑") + "。")]
+    assert gone(spark, make_docs(docs)) == {(2, 0), (2, 1), (3, 0), (4, 0)}
