@@ -122,7 +122,8 @@ _DOMAINS = frozenset("com org net edu gov mil info biz io ai dev app uk de fr es
 #: An address with its at sign or a dot disguised. A bare "at" needs a "dot" that is spelled out as well.
 _DISGUISED = re.compile(rf"(?<![A-Za-z0-9])({_NAME}(?:{_DOT}{_NAME})*)({_AT})({_NAME}(?:{_DOT}{_NAME})*{_DOT}[A-Za-z]{{2,}})(?![A-Za-z0-9])", re.I)
 _MARKED = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]", re.I)
-_MARK_HINT = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\sdot\s", re.I)
+#: Every disguise above has one of these. An @ next to white space is one as well.
+_MARK_HINT = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\sdot\s|\s@|@\s", re.I)
 _DOTS = re.compile(_DOT, re.I)
 _BRACKET_DOT = re.compile(r"(?<=[0-9])\s*(?:[\[({]\s*(?:dot|\.)\s*[\])}]|\sdot\s)\s*(?=[0-9])", re.I)
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from chatterscope.llm.pii import KINDS, all_spans, luhn, personal_data
+from chatterscope.llm.pii import _BRACKET_DOT, _MARK_HINT, KINDS, _address_edits, all_spans, luhn, personal_data
 
 PLAIN = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -69,3 +69,19 @@ def test_disguised_identifiers_are_found_where_they_stand(text, kind, shown):
 ])
 def test_clean_texts_have_no_spans(text):
     assert all_spans(text)[1] == []
+
+
+@pytest.mark.parametrize("shown", ["john @ example.com", "john @example.com", "john@ example.com", "john\n@ example.com"])
+def test_blanks_around_the_at_sign_need_no_other_disguise(shown):
+    for more in ("", " 1–2", " a b"):
+        text = f"write {shown} now{more}"
+        assert ("email", shown) in {(f.kind, text[f.start : f.end]) for f in all_spans(text)[1]}
+
+
+def test_the_hint_holds_wherever_an_address_is_rewritten():
+    rng = random.Random(3)
+    parts = ["jane", "example", "org", "co", " ", "\n", "@", "at", "dot", ".", "[", "]", "(", ")", "<", ">", "{", "}"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(4, 16))) for _ in range(40_000)]
+    texts += [f"jane{a}{at}{b}example{c}{dot}{d}org" for at in ("at", "@", "[at]", "(@)") for dot in ("dot", ".", "[dot]") for a in ("", " ", "\n") for b in ("", " ") for c in ("", " ") for d in ("", " ")]
+    edited = [t for t in texts if _address_edits(t) or _BRACKET_DOT.search(t)]
+    assert len(edited) > 100 and all(_MARK_HINT.search(t) for t in edited)
