@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatterscope.llm.decontamination import contamination
+from chatterscope.llm.hard_negatives import hard_negatives
 from chatterscope.llm.language_id import identify
 from chatterscope.llm.line_dedup import line_report
 from chatterscope.llm.minhash import near_duplicates
 from chatterscope.llm.packing import pack
+from chatterscope.llm.periodic_runs import periodic_runs
 from chatterscope.llm.pii import personal_data
 from chatterscope.llm.quality_rules import STOP_WORDS, quality_rules
 from chatterscope.llm.secret_ledger import secrets
+from chatterscope.llm.simhash_anchors import simhash_duplicates
 from chatterscope.llm.toxicity import toxicity
 from chatterscope.llm.url_filter import judge
 
@@ -189,3 +193,103 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
     AND coalesce(n_stop / n_words >= 0.02, true) AND coalesce(n_dup_lines / n_lines <= 0.3, true)
     AND coalesce(n_bullet / n_lines <= 0.9, true) AND coalesce(n_ellipsis / n_lines <= 0.3, true) AS kept
 FROM b"""
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # A whole number in place of a non-finite one would hide it.
+    finite = F.transform("embedding", lambda x: F.when(~F.isnan(x) & (F.abs(x) < float("inf")), F.floor(256 * x.cast("double")).cast("double")))
+    return hard_negatives(spark, rows.select("vec_id", label.alias("label"), finite.alias("vector")), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5"""
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    # Only texts that are to be rewritten are split here; the explode keeps Spark from splitting anew for each word.
+    split = docs.select("*", F.explode(F.array(F.when((F.col("h") % 10 == 0) & F.col("text").isNotNull(), words))).alias("w"))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    sized = split.where("w is null or size(w) = 0").select("doc_id", "text").unionByName(
+        split.where("size(w) > 0").select("doc_id", "w", g.alias("g"), n.alias("n"), (g % n).cast("int").alias("a"))
+        .select("doc_id", "w", "a", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p"))
+        .select("doc_id", F.array_join(F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get(F.col("w"), F.col("a") + (i - F.col("a")) % F.col("p")))), " ").alias("text"))
+    )
+    found = periodic_runs(sized)
+    longest = F.try_element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), F.lit(1))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = found.select("doc_id", "runs", "collapsed", longest.alias("best"), lines.alias("lines"))
+    length, period = -F.col("best.l"), F.col("best.p")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _periods_sql() -> str:
+    """Candidate periods in SQL: how far away the same block of L words is next, L / 2 < period <= L, for L up to 8192."""
+    levels = ["l1 AS (SELECT doc_id, i, dense_rank() OVER (PARTITION BY doc_id ORDER BY x) AS c FROM pos)"]
+    found = []
+    for k in range(1, 14):
+        size, half = 2**k, 2 ** (k - 1)
+        levels.append(f"""l{size} AS (
+  SELECT doc_id, i, dense_rank() OVER (PARTITION BY doc_id ORDER BY c, f) AS c
+  FROM (SELECT doc_id, i, c, coalesce(lead(c, {half}) OVER (PARTITION BY doc_id ORDER BY i), 0) AS f FROM l{half}))""")
+        low = 1 if size == 2 else half + 1
+        found.append(f"""SELECT DISTINCT doc_id, q FROM (
+  SELECT doc_id, lead(i) OVER (PARTITION BY doc_id, c ORDER BY i) - i AS q FROM l{size}) WHERE q BETWEEN {low} AND {size}""")
+    return ",\n".join([*levels, f"cand AS ({' UNION '.join(found)})"])
+
+
+ORACLE["op13_periodic_runs"] = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda acc, c: list_reduce(range(0, 8), lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END), xor(acc, c)),
+      4294967295)) AS h
+  FROM documents),
+s AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS again, h // 10 AS g FROM d),
+t AS (SELECT *, CASE WHEN again THEN g % n ELSE n END AS a, CASE WHEN again THEN 1 + (n - g % n) // (3 + g % 8) ELSE 1 END AS p FROM s),
+pos AS (
+  SELECT doc_id, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] AS x
+  FROM (SELECT doc_id, w, a, p, unnest(range(0, n)) AS i FROM t)),
+{_periods_sql()},
+same AS (
+  SELECT doc_id, q, x.i, x.i - row_number() OVER (PARTITION BY doc_id, q ORDER BY x.i) AS island
+  FROM cand JOIN l1 x USING (doc_id) JOIN l1 y USING (doc_id) WHERE y.i = x.i + q AND x.c = y.c),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM same GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM stretch GROUP BY doc_id, s, l),
+per AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min({{'s': s, 'l': l, 'q': q}}, {{'l': -l, 's': s, 'q': q}}) AS b,
+    string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, l, q) AS lines
+  FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS collapsed FROM pos ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.l::BIGINT AS length, b.q::BIGINT AS period,
+  (1000 * b.l // b.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)"""
