@@ -233,13 +233,12 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
     # Only texts that are to be rewritten are split here; the explode keeps Spark from splitting anew for each word.
     split = docs.select("*", F.explode(F.array(F.when((F.col("h") % 10 == 0) & F.col("text").isNotNull(), words))).alias("w"))
-    g, n = F.floor(F.col("h") / 10), F.size("w")
-    sized = split.where("w is null or size(w) = 0").select("doc_id", "text").unionByName(
-        split.where("size(w) > 0").select("doc_id", "w", g.alias("g"), n.alias("n"), (g % n).cast("int").alias("a"))
-        .select("doc_id", "w", "a", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p"))
-        .select("doc_id", F.array_join(F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get(F.col("w"), F.col("a") + (i - F.col("a")) % F.col("p")))), " ").alias("text"))
-    )
-    found = periodic_runs(sized)
+    g, n = F.floor(F.col("h") / 10), F.when(F.size("w") > 0, F.size("w"))
+    first = split.select("doc_id", "text", "w", g.alias("g"), n.alias("n"), (g % n).cast("int").alias("a"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p")
+    ready = first.select("doc_id", "text", "w", "n", "a", period)
+    again = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get(F.col("w"), F.col("a") + (i - F.col("a")) % F.col("p"))))
+    found = periodic_runs(ready.select("doc_id", F.when(F.col("n").isNull(), F.col("text")).otherwise(F.array_join(again, " ")).alias("text")))
     longest = F.try_element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), F.lit(1))
     lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
     best = found.select("doc_id", "runs", "collapsed", longest.alias("best"), lines.alias("lines"))
