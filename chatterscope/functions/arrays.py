@@ -21,6 +21,14 @@ def unnest_structs(df: DataFrame, keep: list[str], array: Column) -> DataFrame:
     return outer.select(*keep, F.inline("_items"))
 
 
+def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is worked out once per row, however often it is looked into.
+
+    Spark would otherwise put the expression into a lambda that uses the column, and evaluate it there for every item.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def repeats(ordered: str) -> Column:
     """The items of a sorted array column beyond the first of each kind.
 

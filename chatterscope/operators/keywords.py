@@ -6,12 +6,12 @@ inside each post, combined on the map side by (bucket, term), and only then shuf
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from chatterscope.constants import (
     CUSTOM_STOPWORDS, MAX_FEATURES, MIN_DOCS, TOP_KEYWORDS, UNKNOWN_SUBREDDIT,
 )
-from chatterscope.functions.arrays import repeats, run_starts, unnest, unnest_structs
+from chatterscope.functions.arrays import repeats, run_starts, settled, unnest, unnest_structs
 from chatterscope.functions.numbers import round_half_up
 from chatterscope.functions.text import bigrams, clean, keep_words, post_text, words
 from chatterscope.functions.times import hour_of
@@ -21,6 +21,9 @@ from chatterscope.resources import english_stopwords
 
 BUCKET = ["subreddit", "hour_bucket"]
 
+#: Weights of terms are added up as whole numbers of this part.
+SCORE_UNITS = 1e9
+
 
 def bucketed(posts: DataFrame) -> DataFrame:
     """Posts with their bucket and cleaned text; posts without a time belong to no bucket.
@@ -57,21 +60,28 @@ def word_frequency(posts: DataFrame) -> DataFrame:
     )
 
 
-def term_stats(cleaned: DataFrame, english: list[str]) -> DataFrame:
-    """Total count and number of posts of each term per bucket, in one pass over the texts.
+def word_counts(posts: DataFrame, stopwords: list[str] | None = None) -> DataFrame:
+    """Total count and number of posts of each word that is no stop word, per bucket.
 
-    Holds the words that are no stop words, their pairs, and under the empty term the number of
-    posts of the bucket. Pairs are built after the removal, so they bridge removed words.
+    Under the empty word it holds the number of posts. Rows of several batches of posts are made one by
+    ``merged_counts``, so a stored table of them is all that a late post has to be added to.
 
-    Each post emits its distinct terms and apart from them its repeats. Both combine on the map
+    Each post emits its distinct words and apart from them its repeats. Both combine on the map
     side, and no shuffle by post is needed to count posts.
     """
-    kept = cleaned.select(*BUCKET, keep_words(F.col("cleaned"), [*CUSTOM_STOPWORDS, *english]).alias("_kept"))
-    terms = kept.select(
-        *BUCKET, F.sort_array(F.concat(F.array(F.lit("")), "_kept", bigrams(F.col("_kept")))).alias("_terms")
-    )
+    english = english_stopwords() if stopwords is None else list(stopwords)
+    return _counted(_kept(bucketed(posts), english), F.concat(F.array(F.lit("")), "_kept"))
+
+
+def _kept(cleaned: DataFrame, english: list[str]) -> DataFrame:
+    return settled(cleaned, "_kept", keep_words(F.col("cleaned"), [*CUSTOM_STOPWORDS, *english])).select(*BUCKET, "_kept")
+
+
+def _counted(posts: DataFrame, terms: Column) -> DataFrame:
+    """How often each term occurs per bucket, and in how many posts."""
+    ordered = posts.select(*BUCKET, F.sort_array(terms).alias("_terms"))
     return (
-        terms.select(
+        ordered.select(
             *BUCKET,
             F.posexplode(F.array(F.array_distinct("_terms"), repeats("_terms")))
             .alias("_again", "_part"),
@@ -82,66 +92,126 @@ def term_stats(cleaned: DataFrame, english: list[str]) -> DataFrame:
     )
 
 
+def merged_counts(parts: DataFrame) -> DataFrame:
+    """Counts of several batches of posts as one."""
+    return parts.groupBy(*BUCKET, "term").agg(F.sum("count").alias("count"), F.sum("df").alias("df"))
+
+
 def _ranking() -> WindowSpec:
-    """Terms of a bucket, most frequent first; among equals single words first, then by name.
-    The empty term leads."""
+    """Terms of a bucket, most frequent first, then by name. The empty term leads."""
     return Window.partitionBy("hour_bucket", "subreddit").orderBy(
-        F.desc(F.col("term") == ""), F.desc("count"), F.col("term").contains(" "), "term"
+        F.desc(F.col("term") == ""), F.desc("count"), "term"
     )
 
 
-def leading_terms(stats: DataFrame, max_features: int) -> DataFrame:
-    """The ``max_features`` leading terms of each bucket, with the bucket's number of posts.
+def leading_words(counts: DataFrame, max_features: int, min_docs: int) -> DataFrame:
+    """One row per large bucket: its number of posts, its leading words, and which words pairs are made of.
+
+    Among equals single words rank before pairs. So a pair that does not occur more often than the last of
+    ``max_features`` words can't be in the vocabulary, nor can one with a word that does not. ``pairable`` has a bit
+    for the hash of each word that does. It is null if the bucket has fewer words, where any pair may count.
 
     Each task hands on at most that many rows of a bucket, so a hot bucket is small from here on,
     however long the stop lists are.
     """
     whole = Window.partitionBy("hour_bucket", "subreddit")
-    return (
-        stats.withColumn("_rank", F.row_number().over(_ranking()))
+    ranked = (
+        counts.withColumn("_rank", F.row_number().over(_ranking()))
         .where(F.col("_rank") <= max_features + 1)
         .withColumn("posts", F.max(F.when(F.col("term") == "", F.col("count"))).over(whole))
-        .where(F.col("term") != "")
+        .where((F.col("term") != "") & (F.col("posts") >= min_docs))
+    )
+    rows = ranked.groupBy("hour_bucket", "subreddit", "posts").agg(
+        F.collect_list(F.struct("term", "count", "df")).alias("words"),
+        F.max(F.when(F.col("_rank") == max_features + 1, F.col("count"))).alias("least"),
     )
+    common = F.transform(F.filter("words", lambda w: w["count"] > F.col("least")), lambda w: _bit(w["term"]))
+
+    def lane(i):
+        own = F.filter("_bits", lambda bit: F.shiftright(bit, 6) == i)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda all_, bit: all_.bitwiseOR(_one_at(bit)))
+
+    lanes = F.transform(F.sequence(F.lit(0), F.lit(_LANES - 1)), lane)
+    rows = settled(rows, "_bits", common)
+    return rows.withColumn("pairable", F.when(F.col("least").isNotNull(), lanes)).drop("_bits")
+
+
+#: Longs in the bit set of a bucket's words.
+_LANES = 64
+
+
+def _bit(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(64 * _LANES)).cast("int")
 
 
-def vocabulary(leading: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _one_at(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit % 64)
+
+
+def pair_counts(cleaned: DataFrame, leading: DataFrame, english: list[str], max_features: int) -> DataFrame:
+    """One row per large bucket with the pairs of words that may be in its vocabulary, ``max_features`` at most.
+
+    Pairs are built after the removal of stop words, so they bridge removed words. Only those that can still enter
+    are built and shuffled, with a few whose words share the bit of another; these rank behind all words.
+    """
+    sides = leading.select(F.struct(*BUCKET).alias("_bucket"), "pairable")
+    kept = _kept_in_buckets(cleaned, sides, english, "pairable")
+    def known(word, bit):
+        return F.when(F.get("pairable", F.shiftright(bit, 6)).bitwiseAND(_one_at(bit)) != 0, word)
+
+    hashed = settled(kept, "_bits", F.when(F.col("pairable").isNotNull(), F.transform("_kept", _bit)))
+    words = F.coalesce(F.zip_with("_kept", "_bits", known), F.col("_kept"))
+    pairs = hashed.select(*BUCKET, words.alias("_word"))
+    counts = _counted(settled(pairs, "_pairs", bigrams(F.col("_word"))), F.col("_pairs"))
+    by_count = Window.partitionBy("hour_bucket", "subreddit").orderBy(F.desc("count"), "term")
+    ranked = counts.withColumn("_rank", F.row_number().over(by_count)).where(F.col("_rank") <= max_features)
+    return ranked.groupBy("hour_bucket", "subreddit").agg(F.collect_list(F.struct("term", "count", "df")).alias("pairs"))
+
+
+def vocabulary(leading: DataFrame, pairs: DataFrame, max_features: int) -> DataFrame:
     """One row per large bucket with the terms TF-IDF weighs: their names, counts and idfs.
 
     Plain arrays, as Spark would otherwise take a field out of an array of structs again for every
     term that looks into it.
     """
-    idf = F.log((1 + F.col("posts")) / (1 + F.col("df"))) + 1
-    terms = (
-        leading.where(F.col("posts") >= min_docs)
-        .groupBy("hour_bucket", "subreddit", "posts")
-        .agg(F.collect_list(F.struct("term", "count", idf.alias("idf"))).alias("_vocab"))
-    )
+    both = leading.select(*BUCKET, "posts", "words").join(pairs, BUCKET, "left")
+
+    def ranked(terms: str, pair: bool) -> Column:
+        return F.transform(terms, lambda t: F.struct(
+            (-t["count"]).alias("order"), F.lit(pair).alias("pair"), t["term"].alias("term"),
+            (F.log((1 + F.col("posts")) / (1 + t["df"])) + 1).alias("idf"),
+        ))
+
+    every = F.concat(ranked("words", False), F.when(F.col("pairs").isNull(), F.array()).otherwise(ranked("pairs", True)))
+    terms = both.select(*BUCKET, "posts", F.slice(F.sort_array(every), 1, max_features).alias("_vocab"))
     return terms.select(
         *BUCKET, "posts",
         F.col("_vocab.term").alias("names"),
-        F.col("_vocab.count").alias("counts"),
+        F.transform("_vocab.order", lambda n: -n).alias("counts"),
         F.col("_vocab.idf").alias("idfs"),
     )
 
 
+def _kept_in_buckets(cleaned: DataFrame, sides: DataFrame, english: list[str], *carried: str) -> DataFrame:
+    """The words of the posts of some buckets, next to columns of their bucket.
+
+    Posts meet the row of their bucket as whole rows: words are shuffled once, and both joins of the job read the
+    same shuffle. A hot bucket is split by Spark's skew join, as its other side is a single row. The bucket as a struct
+    is a key of its own. It makes Spark shuffle both sides for the join, which is what its skew join can split, and
+    shuffle again for the sums after it, so that a hot bucket stays spread over many tasks until it is added up.
+    """
+    rows = _kept(cleaned, english).select(F.struct(*BUCKET).alias("_bucket"), *BUCKET, "_kept")
+    return rows.join(sides.hint("merge"), "_bucket").select(*BUCKET, *carried, "_kept")
+
+
 def _tfidf(cleaned: DataFrame, vocab: DataFrame, english: list[str], top_n: int) -> DataFrame:
     """Scores the vocabulary of each large bucket.
 
-    Posts meet the vocabulary of their bucket as whole rows: a text is shuffled once at most, and a
-    hot bucket is split by Spark's skew join, as its other side is a single row. Weights and
-    norm are worked out inside the post, from the few terms it shares with the vocabulary, so
+    Weights and norm are worked out inside the post, from the few terms it shares with the vocabulary, so
     what follows is a sum that combines on the map side.
     """
-    # The bucket as a struct is a key of its own. It makes Spark shuffle both sides for the join, which
-    # is what its skew join can split, and shuffle again for the sums below, so that a hot bucket
-    # stays spread over many tasks until it is added up.
-    bucket = F.struct(*BUCKET).alias("_bucket")
-    sides = vocab.select(bucket, "names", "idfs")
-    kept = cleaned.select("*", bucket).join(sides, "_bucket").select(
-        *BUCKET, "names", "idfs",
-        keep_words(F.col("cleaned"), [*CUSTOM_STOPWORDS, *english]).alias("_kept"),
-    )
+    sides = vocab.select(F.struct(*BUCKET).alias("_bucket"), "names", "idfs")
+    kept = _kept_in_buckets(cleaned, sides, english, "names", "idfs")
     terms = kept.select(
         *BUCKET, "names", "idfs",
         F.sort_array(F.concat("_kept", bigrams(F.col("_kept")))).alias("_terms"),
@@ -177,7 +247,7 @@ def _tfidf(cleaned: DataFrame, vocab: DataFrame, english: list[str], top_n: int)
             weights.select(*BUCKET, "_weights", norm.alias("_norm")), [*BUCKET, "_norm"], F.col("_weights")
         )
         .groupBy(*BUCKET, "k")
-        .agg(F.sum(F.col("w") / F.col("_norm")).alias("sum"))
+        .agg(F.sum(F.round(F.col("w") / F.col("_norm") * SCORE_UNITS).cast("long")).alias("sum"))
         .groupBy(*BUCKET)
         .agg(F.collect_list(F.struct("k", "sum")).alias("_sums"))
     )
@@ -185,7 +255,8 @@ def _tfidf(cleaned: DataFrame, vocab: DataFrame, english: list[str], top_n: int)
 
 
 def _best_with_frequency(buckets: DataFrame, top_n: int) -> DataFrame:
-    """The best terms of each bucket by mean score, ties by name, with their frequency.
+    """The best terms of each bucket by mean score, ties by name, with their frequency. Scores are whole units, so
+    that neither order nor rounding depends on the order in which posts are added up.
 
     Frequency is the sum of the bucket-wide counts of a term's words. These are in the vocabulary
     whenever a pair of them is: a word is at least as frequent as its pairs and ranks first among
@@ -194,11 +265,11 @@ def _best_with_frequency(buckets: DataFrame, top_n: int) -> DataFrame:
     scored = F.transform(
         "_sums",
         lambda s: F.struct(
-            F.round(-s["sum"] / F.col("posts"), 8).alias("order"),
+            (-s["sum"]).alias("order"),
             F.get("names", s["k"] - 1).alias("term"),
         ),
     )
-    ordered = buckets.select(*BUCKET, "names", "counts", F.slice(F.sort_array(scored), 1, top_n).alias("_best"))
+    ordered = buckets.select(*BUCKET, "posts", "names", "counts", F.slice(F.sort_array(scored), 1, top_n).alias("_best"))
 
     def count_of(word):
         return F.get("counts", F.array_position("names", word).cast("int") - 1)
@@ -210,7 +281,7 @@ def _best_with_frequency(buckets: DataFrame, top_n: int) -> DataFrame:
             F.aggregate(
                 F.split(entry["term"], " "), F.lit(0).cast("long"), lambda sum_, w: sum_ + count_of(w)
             ).alias("frequency"),
-            round_half_up(-entry["order"], 4).alias("tfidf_score"),
+            round_half_up(-entry["order"] / F.col("posts") / SCORE_UNITS, 4).alias("tfidf_score"),
         ),
     )
     return unnest_structs(ordered, BUCKET, best)
@@ -222,12 +293,17 @@ def tfidf_keywords(
     top_n: int = TOP_KEYWORDS,
     max_features: int = MAX_FEATURES,
     min_docs: int = MIN_DOCS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """The ``top_n`` terms by mean normalised TF-IDF of each bucket of at least ``min_docs`` posts."""
+    """The ``top_n`` terms by mean normalised TF-IDF of each bucket of at least ``min_docs`` posts.
+
+    ``counts`` are the ``word_counts`` of these posts, if they are known already.
+    """
     english = english_stopwords() if stopwords is None else list(stopwords)
     cleaned = bucketed(posts)
-    vocab = vocabulary(leading_terms(term_stats(cleaned, english), max_features), min_docs)
-    return _tfidf(cleaned, vocab, english, top_n)
+    leading = leading_words(word_counts(posts, english) if counts is None else counts, max_features, min_docs)
+    pairs = pair_counts(cleaned, leading, english, max_features)
+    return _tfidf(cleaned, vocabulary(leading, pairs, max_features), english, top_n)
 
 
 def frequency_keywords(
@@ -255,13 +331,14 @@ def keyword_trends(
     top_n: int = TOP_KEYWORDS,
     max_features: int = MAX_FEATURES,
     min_docs: int = MIN_DOCS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Keyword rows of all buckets, by TF-IDF or by count depending on the bucket's size.
 
     ``is_trending`` is written as false; the trend view derives the flag.
     """
     return (
-        tfidf_keywords(posts, stopwords, top_n, max_features, min_docs)
+        tfidf_keywords(posts, stopwords, top_n, max_features, min_docs, counts)
         .unionByName(frequency_keywords(posts, top_n, min_docs))
         .withColumn("is_trending", F.lit(False))
     )

@@ -188,13 +188,14 @@ part("weights", "tf vocab", """
 part("best", "weights", f"""
     SELECT * FROM (
       SELECT *, row_number() OVER (PARTITION BY subreddit, hour_bucket ORDER BY score DESC, term) AS pos
-      FROM (SELECT subreddit, hour_bucket, term, round(sum(w / norm) / any_value(posts), 8) AS score
+      FROM (SELECT subreddit, hour_bucket, term, sum(CAST(round(w / norm * 1e9::DOUBLE) AS BIGINT)) AS score,
+                   any_value(posts) AS posts
             FROM weights GROUP BY ALL))
     WHERE pos <= {TOP_KEYWORDS}
 """)
 part("tfidf", "best all_words", f"""
     SELECT subreddit, hour_bucket, term AS keyword, CAST(sum(frequency) AS BIGINT) AS frequency,
-           {rounded('any_value(score)', 4)} AS tfidf_score
+           {rounded('CAST(any_value(score) AS DOUBLE) / any_value(posts) / 1e9::DOUBLE', 4)} AS tfidf_score
     FROM (SELECT *, unnest(string_split(term, ' ')) AS word FROM best)
     JOIN all_words USING (subreddit, hour_bucket, word) GROUP BY subreddit, hour_bucket, term
 """)

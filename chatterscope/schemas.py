@@ -32,6 +32,9 @@ KEYWORD_TRENDS = _schema(
     ("frequency", _L, False), ("tfidf_score", _D, True), ("is_trending", _B, True),
     ("recorded_at", _TS, True),
 )
+WORD_COUNTS = _schema(
+    ("subreddit", _S, False), ("hour_bucket", _TS, False), ("term", _S, False), ("count", _L, False), ("df", _L, False),
+)
 DAILY_SUMMARY = _schema(
     ("summary_date", _DATE, False), ("subreddit", _S, True), ("total_posts", _L, True),
     ("avg_sentiment", _D, True), ("positive_pct", _D, True), ("negative_pct", _D, True),

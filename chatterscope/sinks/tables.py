@@ -82,8 +82,9 @@ def upsert_daily_summary(summary: DataFrame, path: str) -> None:
 
 
 def write_keyword_trends(trends: DataFrame, path: str) -> None:
-    """Replaces the days of ``trends``; the caller passes whole days."""
-    overwrite_partitions(trends.withColumn("dt", F.to_date("hour_bucket")), path, "dt")
+    """Replaces the hours of ``trends`` and leaves all others as they are; the caller passes whole hours."""
+    hours = {"dt": F.to_date("hour_bucket"), "hr": F.hour("hour_bucket")}
+    overwrite_partitions(trends.withColumns(hours), path, "dt", "hr")
 
 
 def with_defaults(df: DataFrame, table: str) -> DataFrame:

@@ -13,11 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from chatterscope import resources
 from chatterscope.operators.broadcasts import small
 from chatterscope.operators.entities import extract_from_posts
-from chatterscope.operators.keywords import keyword_trends
+from chatterscope.operators.keywords import keyword_trends, merged_counts, word_counts
 from chatterscope.operators.sentiment import lexicon_sentiment, title_sentiment
 from chatterscope.operators.summaries import daily_summary
 from chatterscope.schemas import (
-    EXTRACTED_ENTITIES, KEYWORD_TRENDS, RAW_POSTS, SENTIMENT_SCORES,
+    EXTRACTED_ENTITIES, KEYWORD_TRENDS, RAW_POSTS, SENTIMENT_SCORES, WORD_COUNTS,
 )
 from chatterscope.sinks.tables import (
     append_new, overwrite_partitions, quarantined, read_table, upsert_daily_summary, valid,
@@ -29,6 +29,7 @@ from chatterscope.sources.rss import items_to_posts
 logger = logging.getLogger(__name__)
 
 _PARTITIONS = [T.StructField("dt", T.DateType()), T.StructField("batch", T.StringType())]
+_HOUR = T.StructField("hr", T.IntegerType())
 
 
 def _stored(schema: T.StructType, *drop: str) -> T.StructType:
@@ -38,7 +39,8 @@ def _stored(schema: T.StructType, *drop: str) -> T.StructType:
 @dataclass
 class Tables:
     """Folder layout. Posts and their children are partitioned by day and batch, so a repeated
-    batch replaces its own rows and a day is read without its neighbours."""
+    batch replaces its own rows and a day is read without its neighbours. Word counts and keywords are partitioned by hour too,
+    as a post that comes late changes its hour alone."""
 
     root: str
 
@@ -58,8 +60,13 @@ class Tables:
 
     def keyword_trends(self, spark: SparkSession) -> DataFrame:
         fields = [f for f in KEYWORD_TRENDS.fields if f.name != "recorded_at"]
-        schema = T.StructType([*fields, T.StructField("dt", T.DateType())])
-        return read_table(spark, self.path("keyword_trends"), schema)
+        schema = T.StructType([*fields, T.StructField("dt", T.DateType()), _HOUR])
+        return read_table(spark, self.path("keyword_trends"), schema).drop("hr")
+
+    def word_counts(self, spark: SparkSession) -> DataFrame:
+        """What each batch added to the words of an hour; ``merged_counts`` makes them the hour's."""
+        schema = T.StructType([*WORD_COUNTS.fields, _PARTITIONS[0], _HOUR, _PARTITIONS[1]])
+        return read_table(spark, self.path("word_counts"), schema)
 
     def daily_summary(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path("daily_summary"))
@@ -121,10 +128,11 @@ def run_batch(
         tables.path("extracted_entities"), "dt", "batch",
     )
 
-    # Late posts change the buckets of their own day, so touched days are worked out again.
+    refresh_keywords(spark, new, batch, tables)
+
+    # Late posts change the summary of their own day, so touched days are added up again, from narrow tables.
     days = small(new.select("dt").distinct())
     touched = posts.join(days, "dt", "left_semi")
-    write_keyword_trends(keyword_trends(touched), tables.path("keyword_trends"))
     scores = tables.sentiment_scores(spark).join(days, "dt", "left_semi")
     entities = tables.extracted_entities(spark).join(days, "dt", "left_semi")
     keywords = tables.keyword_trends(spark).join(days, "dt", "left_semi")
@@ -135,6 +143,21 @@ def run_batch(
     logger.info("batch %s done in %.1f s", batch, time.monotonic() - started)
 
 
+def refresh_keywords(spark: SparkSession, new: DataFrame, batch: str, tables: Tables) -> None:
+    """Brings the keywords of the hours of new stored posts up to date, and of these alone.
+
+    The words of the new posts are counted and stored next to those of earlier batches; the hours' totals are sums of
+    these rows. Only the texts of the touched hours are read again, for pairs and weights.
+    """
+    hour = F.hour("created_utc").alias("hr")
+    counts = word_counts(new).withColumns({"dt": F.to_date("hour_bucket"), "hr": F.hour("hour_bucket"), "batch": F.lit(batch)})
+    overwrite_partitions(counts, tables.path("word_counts"), "dt", "hr", "batch")
+    hours = small(new.select("dt", hour).distinct())
+    totals = merged_counts(tables.word_counts(spark).join(hours, ["dt", "hr"], "left_semi"))
+    texts = tables.raw_posts(spark).withColumn("hr", hour).join(hours, ["dt", "hr"], "left_semi")
+    write_keyword_trends(keyword_trends(texts, counts=totals), tables.path("keyword_trends"))
+
+
 def run_rss_batch(
     items: DataFrame,
     batch: str,

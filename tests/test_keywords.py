@@ -38,7 +38,7 @@ def by_hand(titles, max_features=500, top_n=20):
         for t, w in weights.items():
             scores[t] += w / norm
     words = Counter(" ".join(cleaned).split())
-    best = sorted(vocab, key=lambda t: (-round(scores[t] / n, 8), t))[:top_n]
+    best = sorted(vocab, key=lambda t: (-round(scores[t], 8), t))[:top_n]
     return {(t, sum(words[w] for w in t.split()), round(scores[t] / n, 4)) for t in best}
 
 
@@ -130,5 +130,29 @@ def test_hot_bucket_can_be_split_in_the_join_and_is_summed_before_it_meets(spark
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin [_bucket], [_bucket]" in plan
-    assert plan.count("Exchange hashpartitioning(_bucket,") == 2
+    # One row per bucket for pairs and one for the vocabulary meet the same shuffle of the posts.
+    assert plan.count("Exchange hashpartitioning(_bucket,") == 2 * plan.count("SortMergeJoin [_bucket], [_bucket]") > 2
     assert "Exchange hashpartitioning(subreddit, hour_bucket, k" in plan
+
+
+@pytest.mark.parametrize("features", [3, 8, 15])
+def test_pairs_that_cannot_enter_are_not_built(spark, features):
+    """Frequent and rare words mixed, so that pairs of rare ones fall out before they are counted."""
+    rng = random.Random(features)
+    names = [a + b for a in ("bar", "fen", "gol", "hut", "kim", "lum") for b in ("da", "lo", "mi", "nu", "ra")]
+    weights = [1 / (k + 1) ** 1.5 for k in range(len(names))]
+    titles = [" ".join(rng.choices(names, weights, k=rng.randint(1, 50))) for _ in range(12)]
+    posts = posts_of(spark, titles)
+    leading = kw.leading_words(kw.word_counts(posts), features, 3)
+    pairs = kw.pair_counts(kw.bucketed(posts), leading, rs.english_stopwords(), 10_000).first().pairs
+    every = {p for t in titles for p in map(" ".join, zip(t.split(), t.split()[1:]))}
+    assert len({p.term for p in pairs}) < 0.8 * len(every)
+    assert rows(kw.tfidf_keywords(posts, max_features=features, top_n=5)) == by_hand(titles, features, 5)
+
+
+def test_counts_of_batches_make_the_same_keywords(spark):
+    titles = ["ferry harbour ferry", "harbour dues", "ferry leaves harbour", "storm harbour", "ferry storm"]
+    posts = posts_of(spark, titles)
+    parts = [kw.word_counts(posts.where(f"post_id {where} 'technology2'")) for where in ("<", ">=")]
+    merged = kw.merged_counts(parts[0].unionByName(parts[1]))
+    assert rows(kw.tfidf_keywords(posts, counts=merged)) == rows(kw.tfidf_keywords(posts)) == by_hand(titles)

@@ -83,3 +83,32 @@ def test_stream_dedup(spark, tmp_path):
            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     run.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 200
+
+
+def _files(folder):
+    return {f.relative_to(folder).as_posix(): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_a_late_hour_rewrites_that_hour_alone(spark, tmp_path):
+    """Only the hour of the late posts gets new keyword files, and its rows are as if all had come at once."""
+    tables, sides = pl.Tables(str(tmp_path / "t")), pl.SideTables.shipped(spark)
+    rows = [(f"p{h}-{k}", "web", "s", f"ferry harbour number{k} word{h}", None, None, None, 1, 0, h * 3600.0 + k, None)
+            for h in (1, 2, 3, 26) for k in range(4)]
+    landed = spark.createDataFrame(rows, ps.LANDED_POST)
+    late = "created_epoch >= 7202 and created_epoch < 10800"
+    pl.run_batch(landed.where(f"not ({late})"), "b0", tables, sides)
+    before = _files(tmp_path / "t" / "keyword_trends")
+    counts = _files(tmp_path / "t" / "word_counts")
+    pl.run_batch(landed.where(late), "b1", tables, sides)
+    after = _files(tmp_path / "t" / "keyword_trends")
+    own = "dt=1970-01-01/hr=2/"
+    assert len(before) == 4 and {f: t for f, t in after.items() if not f.startswith(own)} == {
+        f: t for f, t in before.items() if not f.startswith(own)}
+    assert not {f for f in after if f.startswith(own)} & set(before)
+    assert {f: t for f, t in _files(tmp_path / "t" / "word_counts").items() if "batch=b1" not in f} == counts
+    expected = kw.keyword_trends(ps.normalize_post(ps.parsed(landed)))
+    got = tables.keyword_trends(spark).drop("dt").select(expected.columns)
+    assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 0
+    # Words that were counted before come from the stored counts, not from texts.
+    totals = kw.merged_counts(tables.word_counts(spark).where("hr = 2"))
+    assert {(r.term, r["count"], r.df) for r in totals.collect()} >= {("", 4, 4), ("ferry", 4, 4)}
