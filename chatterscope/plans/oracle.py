@@ -598,5 +598,6 @@ ORACLE: dict[str, str] = {
         WHERE hour_bucket + INTERVAL 1 HOUR <= date_trunc('millisecond', as_of) - INTERVAL 2 HOURS"""),
     "late_posts": sql("keyword_rows", "SELECT * FROM keyword_rows"),
 }
+ORACLE["stream_dedup_exact"] = ORACLE["stream_dedup_posts"]
 ORACLE["stream_dedup"] = ORACLE["stream_dedup_posts"]
 ORACLE["stream_hourly_sentiment"] = ORACLE["stream_hourly_sentiment_closed"]

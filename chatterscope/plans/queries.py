@@ -19,7 +19,7 @@ from chatterscope.operators import (
 from chatterscope.session import scratch_dir
 from chatterscope.sinks import tables as sk
 from chatterscope.sources import posts as ps, rss
-from chatterscope.streaming.live import stream_dedup, stream_hourly_sentiment
+from chatterscope.streaming.live import start_exact_dedup, stream_dedup, stream_hourly_sentiment
 from chatterscope.streaming.pipeline import SideTables, Tables, run_batch, run_rss_batch, start_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def _by_hour(spark, d):
     return su.sentiment_by_hour(fx.wide_posts(spark, d), fx.sentiment(spark, d))
 
 
+def _tables(spark) -> Tables:
+    """New tables for a query; few keys need few buckets."""
+    return Tables(scratch_dir(spark, "tables"), key_buckets=4)
+
+
 def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows already stored and rows still arriving, by a hash of the key; they overlap."""
     part = F.conv(F.left(F.md5("post_id"), F.lit(4)), 16, 10).cast("long") % 4
@@ -108,7 +113,7 @@ def feed_topic_join(spark, d):
 @query
 def rss_pipeline(spark, d):
     """Landed feeds to stored posts and title scores, all items delivered twice."""
-    path, tables = scratch_dir(spark, "feeds"), Tables(scratch_dir(spark, "tables"))
+    path, tables = scratch_dir(spark, "feeds"), _tables(spark)
     fx.rss_items(spark, d).write.partitionBy("feed").format("xml").option("rowTag", "item").option(
         "rootTag", "channel"
     ).save(path)
@@ -123,7 +128,7 @@ def rss_pipeline(spark, d):
 @query
 def quarantine_rows(spark, d):
     """Pages landed as posts, some without a title and some as lines that do not parse, by reason."""
-    path, tables = scratch_dir(spark, "landed"), Tables(scratch_dir(spark, "tables"))
+    path, tables = scratch_dir(spark, "landed"), _tables(spark)
     pages = fx.table(spark, d, "pages")
     posts = F.to_json(F.struct(
         F.concat(F.lit("p"), F.col("page_id")).alias("post_id"), F.lit("web").alias("source"),
@@ -600,10 +605,10 @@ def _work_off(stream: DataFrame, path: str) -> None:
 @query
 def hourly_pipeline(spark, d):
     """Landed files worked off in two batches; the resulting daily summary."""
-    landed, root = _land(spark, d, "landed"), scratch_dir(spark, "tables")
+    landed, tables = _land(spark, d, "landed"), _tables(spark)
     stream = ps.stream_posts(spark, landed, files_per_batch=1)
-    start_pipeline(stream, root, f"{root}-checkpoint").awaitTermination()
-    return Tables(root).daily_summary(spark)
+    start_pipeline(stream, tables.root, f"{tables.root}-checkpoint", tables=tables).awaitTermination()
+    return tables.daily_summary(spark)
 
 
 @query
@@ -617,6 +622,20 @@ def stream_dedup_posts(spark, d):
     return spark.read.parquet(out)
 
 
+@query
+def stream_dedup_exact(spark, d):
+    """The later half of the posts, then the earlier half weeks behind the watermark, then all of them again; every
+    post comes out once."""
+    landed, out = scratch_dir(spark, "landed"), scratch_dir(spark, "once")
+    posts = fx.landed_posts(spark, d)
+    early = F.col("created_epoch") < posts.agg(F.avg("created_epoch")).scalar()
+    for part in (posts.where(~early), posts.where(early), posts):
+        part.write.mode("append").json(landed)
+        arriving = ps.normalize_post(ps.parsed(ps.stream_posts(spark, landed))).select("post_id", "subreddit", "created_utc")
+        start_exact_dedup(arriving, out, f"{out}-checkpoint", key_buckets=4).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 def _scored_stream(spark, d, name: str) -> DataFrame:
     path = scratch_dir(spark, name)
     su.posts_join_sentiment(
@@ -638,14 +657,14 @@ def stream_hourly_sentiment_closed(spark, d):
 def late_posts(spark, d):
     """Posts that arrive day by day backwards, so all but the first day are late; the pipeline's
     keyword rows come out as if they had arrived in order."""
-    landed, root = scratch_dir(spark, "landed"), scratch_dir(spark, "tables")
+    landed, tables = scratch_dir(spark, "landed"), _tables(spark)
     posts = fx.landed_posts(spark, d)
     first = F.col("created_epoch") < posts.agg(F.avg("created_epoch")).scalar()
     for part in (~first, first):
         posts.where(part).repartition(1, "post_id").write.mode("append").json(landed)
         stream = ps.stream_posts(spark, landed)
-        start_pipeline(stream, root, f"{root}-checkpoint").awaitTermination()
-    return Tables(root).keyword_trends(spark).drop("dt")
+        start_pipeline(stream, tables.root, f"{tables.root}-checkpoint", tables=tables).awaitTermination()
+    return tables.keyword_trends(spark).drop("dt")
 
 
 REGISTRY["stream_dedup"] = stream_dedup_posts

@@ -6,7 +6,7 @@ import logging
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,12 +19,14 @@ from chatterscope.operators.summaries import daily_summary
 from chatterscope.schemas import (
     EXTRACTED_ENTITIES, KEYWORD_TRENDS, RAW_POSTS, SENTIMENT_SCORES, WORD_COUNTS,
 )
+from chatterscope.sinks.keys import KeyIndex
 from chatterscope.sinks.tables import (
-    append_new, overwrite_partitions, quarantined, read_table, upsert_daily_summary, valid,
+    first_per_key, overwrite_partitions, quarantined, read_table, upsert_daily_summary, valid,
     validate_contract, write_keyword_trends,
 )
 from chatterscope.sources.posts import normalize_post, parsed, unparsed
 from chatterscope.sources.rss import items_to_posts
+from chatterscope.streaming.batches import start_batches
 
 logger = logging.getLogger(__name__)
 
@@ -39,10 +41,11 @@ def _stored(schema: T.StructType, *drop: str) -> T.StructType:
 @dataclass
 class Tables:
     """Folder layout. Posts and their children are partitioned by day and batch, so a repeated
-    batch replaces its own rows and a day is read without its neighbours. Word counts and keywords are partitioned by hour too,
+    batch replaces its own rows and a day is read without its neighbours. Keywords are partitioned by hour,
     as a post that comes late changes its hour alone."""
 
     root: str
+    key_buckets: int = 64
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -63,10 +66,16 @@ class Tables:
         schema = T.StructType([*fields, T.StructField("dt", T.DateType()), _HOUR])
         return read_table(spark, self.path("keyword_trends"), schema).drop("hr")
 
+    def post_keys(self, spark: SparkSession) -> KeyIndex:
+        """The index of the stored posts' keys, made first for tables that have none yet."""
+        index = KeyIndex(self.path("post_keys"), buckets=self.key_buckets)
+        if not index.exists(spark):
+            index.build(self.raw_posts(spark))
+        return index
+
     def word_counts(self, spark: SparkSession) -> DataFrame:
         """What each batch added to the words of an hour; ``merged_counts`` makes them the hour's."""
-        schema = T.StructType([*WORD_COUNTS.fields, _PARTITIONS[0], _HOUR, _PARTITIONS[1]])
-        return read_table(spark, self.path("word_counts"), schema)
+        return read_table(spark, self.path("word_counts"), T.StructType([*WORD_COUNTS.fields, *_PARTITIONS]))
 
     def daily_summary(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path("daily_summary"))
@@ -107,18 +116,9 @@ def run_batch(
         unparsed(landed).withColumn("violations", F.array(F.lit("does not parse"))), allowMissingColumns=True
     )
     overwrite_partitions(refused.withColumn("batch", F.lit(batch)), tables.path("quarantine"), "batch")
-    others = tables.raw_posts(spark).where(F.col("batch") != batch)
-    added = append_new(
-        valid(checked), others, ["post_id"], [F.col("created_utc"), F.col("title"), F.col("body")]
-    )
-    overwrite_partitions(
-        added.withColumns({"dt": F.to_date("created_utc"), "batch": F.lit(batch)}),
-        tables.path("raw_posts"), "dt", "batch",
-    )
-
     # From here on everything reads the stored posts, also after the loss of an executor.
+    new = store_new_posts(valid(checked), batch, tables, [F.col("created_utc"), F.col("title"), F.col("body")])
     posts = tables.raw_posts(spark)
-    new = posts.where(F.col("batch") == batch)
     overwrite_partitions(
         lexicon_sentiment(new, sides.lexicon, sides.modifiers, carry=("dt", "batch")),
         tables.path("sentiment_scores"), "dt", "batch",
@@ -143,6 +143,24 @@ def run_batch(
     logger.info("batch %s done in %.1f s", batch, time.monotonic() - started)
 
 
+def store_new_posts(posts: DataFrame, batch: str, tables: Tables, order: list[Column]) -> DataFrame:
+    """Stores the posts whose keys no other batch has brought, the first of each, and returns what is stored of this batch.
+
+    Known keys come from the index of keys, so the stored posts are not scanned. A batch that is repeated, after a crash at any
+    point, stores the same rows.
+    """
+    spark = posts.sparkSession
+    index = tables.post_keys(spark)
+    added = first_per_key(posts, ["post_id"], order).join(index.known(posts, batch), "post_id", "left_anti")
+    overwrite_partitions(
+        added.withColumns({"dt": F.to_date("created_utc"), "batch": F.lit(batch)}),
+        tables.path("raw_posts"), "dt", "batch",
+    )
+    new = tables.raw_posts(spark).where(F.col("batch") == batch)
+    index.add(new, batch)
+    return new
+
+
 def refresh_keywords(spark: SparkSession, new: DataFrame, batch: str, tables: Tables) -> None:
     """Brings the keywords of the hours of new stored posts up to date, and of these alone.
 
@@ -150,10 +168,11 @@ def refresh_keywords(spark: SparkSession, new: DataFrame, batch: str, tables: Ta
     these rows. Only the texts of the touched hours are read again, for pairs and weights.
     """
     hour = F.hour("created_utc").alias("hr")
-    counts = word_counts(new).withColumns({"dt": F.to_date("hour_bucket"), "hr": F.hour("hour_bucket"), "batch": F.lit(batch)})
-    overwrite_partitions(counts, tables.path("word_counts"), "dt", "hr", "batch")
+    counts = word_counts(new).withColumns({"dt": F.to_date("hour_bucket"), "batch": F.lit(batch)})
+    overwrite_partitions(counts, tables.path("word_counts"), "dt", "batch")
     hours = small(new.select("dt", hour).distinct())
-    totals = merged_counts(tables.word_counts(spark).join(hours, ["dt", "hr"], "left_semi"))
+    stored = tables.word_counts(spark).withColumn("hr", F.hour("hour_bucket"))
+    totals = merged_counts(stored.join(hours, ["dt", "hr"], "left_semi"))
     texts = tables.raw_posts(spark).withColumn("hr", hour).join(hours, ["dt", "hr"], "left_semi")
     write_keyword_trends(keyword_trends(texts, counts=totals), tables.path("keyword_trends"))
 
@@ -170,9 +189,9 @@ def run_rss_batch(
     """Feed items to stored posts and the sentiment of their titles.
 
     Known items are skipped, so delivering a feed again adds nothing. Items that do not parse go to
-    the quarantine. A batch that is repeated replaces its own rows.
+    the quarantine. A batch that is repeated replaces its own rows, and those of no batch of posts of the same name.
     """
-    spark = items.sparkSession
+    spark, batch = items.sparkSession, f"rss-{batch}"
     posts = items_to_posts(parsed(items), feed_map, as_of, use_published)
     missing = [f for f in RAW_POSTS.fields if f.name not in (*posts.columns, "collected_at")]
     whole = posts.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
@@ -181,13 +200,7 @@ def run_rss_batch(
         unparsed(items).withColumn("violations", F.array(F.lit("does not parse"))), allowMissingColumns=True
     )
     overwrite_partitions(refused.withColumn("batch", F.lit(batch)), tables.path("quarantine"), "batch")
-    others = tables.raw_posts(spark).where(F.col("batch") != batch)
-    added = append_new(valid(checked), others, ["post_id"], [F.col("created_utc"), F.col("title")])
-    overwrite_partitions(
-        added.withColumns({"dt": F.to_date("created_utc"), "batch": F.lit(batch)}),
-        tables.path("raw_posts"), "dt", "batch",
-    )
-    new = tables.raw_posts(spark).where(F.col("batch") == batch)
+    new = store_new_posts(valid(checked), batch, tables, [F.col("created_utc"), F.col("title")])
     overwrite_partitions(
         title_sentiment(new, sides.lexicon, sides.modifiers, carry=("dt", "batch")),
         tables.path("sentiment_scores"), "dt", "batch",
@@ -202,6 +215,7 @@ def start_pipeline(
     every: str | None = None,
     body_chars: int | None = None,
     lengths: bool = False,
+    tables: Tables | None = None,
 ) -> StreamingQuery:
     """Starts the job on a stream of landed posts.
 
@@ -209,17 +223,9 @@ def start_pipeline(
     example, ``every="60 minutes"`` it stays up.
     """
     spark = posts.sparkSession
-    tables, sides = Tables(root), sides or SideTables.shipped(spark)
-
-    def on_batch(landed: DataFrame, number: int) -> None:
-        # Batch numbers restart with a new checkpoint; its stored id tells the runs apart.
-        stream = spark.read.json(f"{checkpoint}/metadata", "id string").first()["id"]
-        run_batch(landed, f"{stream}-{number:012d}", tables, sides, body_chars, lengths)
-
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        posts.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    tables, sides = tables or Tables(root), sides or SideTables.shipped(spark)
+
+    def on_batch(landed: DataFrame, name: str) -> None:
+        run_batch(landed, name, tables, sides, body_chars, lengths)
+
+    return start_batches(posts, checkpoint, on_batch, every)

@@ -110,5 +110,5 @@ def test_a_late_hour_rewrites_that_hour_alone(spark, tmp_path):
     got = tables.keyword_trends(spark).drop("dt").select(expected.columns)
     assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 0
     # Words that were counted before come from the stored counts, not from texts.
-    totals = kw.merged_counts(tables.word_counts(spark).where("hr = 2"))
+    totals = kw.merged_counts(tables.word_counts(spark).where("hour(hour_bucket) = 2"))
     assert {(r.term, r["count"], r.df) for r in totals.collect()} >= {("", 4, 4), ("ferry", 4, 4)}
