@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +86,41 @@ def test_words_far_into_the_text_are_found(extract):
     ("gpt-5 pro-max", "Gpt-5 Pro-Max"), ("MCDONALD'S", "Mcdonald'S"), ("éLAN vital", "Élan Vital"), ("", "")])
 def test_title_case(spark, text, expected):
     assert spark.range(1).select(title_case(F.lit(text))).first()[0] == expected == text.title()
+
+
+def _naive(text, phrases):
+    words = re.findall(r"\w+(?:[-&'.]\w+)*|[.!?]+(?:\s|$)|[\r\n]+", text)
+    spans = {(i, i + len(p)) for p in phrases for i in range(len(words)) if words[i : i + len(p)] == p}
+    return sorted(s for s in spans if not any(a <= s[0] and s[1] <= b and (a, b) != s for a, b in spans))
+
+
+def test_phrases_of_all_lengths_equal_a_naive_search(spark):
+    rng = random.Random(4)
+    names = [f"W{k}" for k in range(9)]
+    phrases = [[rng.choice(names) for _ in range(n)] for n in (1, 2, 2, 3, 3, 4, 5, 7, 8, 9, 16, 17, 33, 50)]
+    texts = []
+    for k in range(60):
+        parts = [" ".join(rng.choice(phrases)[: rng.choice([None, None, 3])]) for _ in range(rng.randrange(6))]
+        texts.append((f"p{k}", " ".join([*parts, *rng.choices(names, k=rng.randrange(9))])))
+    table = spark.createDataFrame([(" ".join(p), "ORG") for p in phrases], "phrase string, entity_type string")
+    found = {}
+    for r in en.mentions(spark.createDataFrame(texts, "post_id string, _text string"), table).collect():
+        found.setdefault(r.post_id, set()).add((r.start, r.end))
+    assert {k: sorted(v) for k, v in found.items()} == {k: v for k, t in texts if (v := _naive(t, phrases))}
+
+
+def test_a_long_phrase_does_not_widen_other_rows(spark):
+    """Words are followed as far as some phrase goes on like them, not as far as the longest phrase."""
+    long = " ".join(f"L{k}" for k in range(50))
+    text = "Acme met Foo Bar and Foo alone, then L0 L1 and L0 L1 L2 L3 other " + "nothing " * 200 + long
+    texts = spark.createDataFrame([("a", text)], "post_id string, _text string")
+    phrases = en._phrases(spark.createDataFrame([("Acme", "ORG"), ("Foo Bar", "ORG"), (long, "ORG")], "phrase string, entity_type string"))
+    rows = {(r.start, r._next[0], len(r._next)) for r in en._begun(texts, phrases, 50, 3).collect()}
+    assert {(w, n) for _, w, n in rows} == {("Acme", 1), ("Foo", 3), ("Foo", 1), ("L0", 3), ("L0", 7), ("L0", 50)}
+
+
+def test_a_crowded_trie_stays_exact(spark, monkeypatch):
+    monkeypatch.setattr(en, "TRIE_BITS", 64)
+    table = spark.createDataFrame([(f"Name{k} Part{k}", "ORG") for k in range(300)], "phrase string, entity_type string")
+    texts = spark.createDataFrame([("a", "Name5 Part5, Name6 Part7 and Name299 Part299")], "post_id string, _text string")
+    assert {r.entity_text for r in en.mentions(texts, table).collect()} == {"Name5 Part5", "Name299 Part299"}
