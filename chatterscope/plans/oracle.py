@@ -440,9 +440,12 @@ ORACLE: dict[str, str] = {
     "fk_semi": sql("scores", """
         SELECT post_id, label, CASE WHEN post_id IN (SELECT 'd' || doc_id FROM documents)
                THEN 'valid' ELSE 'orphan' END AS state FROM scores"""),
-    "delete_posts_cascade": """
-        SELECT count(*) AS rows, unnest(['posts', 'sentiment', 'entities']) AS name
-        FROM events WHERE event_type <> 'error'""",
+    "delete_posts_cascade": sql("wide scores entity_rows", """
+        SELECT name, post_id, item FROM wide JOIN (
+          SELECT 'raw_posts' AS name, post_id, subreddit AS item FROM wide
+          UNION ALL SELECT 'sentiment_scores', post_id, label FROM scores
+          UNION ALL SELECT 'extracted_entities', post_id, entity_text FROM entity_rows) USING (post_id)
+        WHERE subreddit <> 'error'"""),
     # Projections and filters
     "combined_text": sql("raw_posts", f"""
         SELECT post_id, {SENTIMENT_TEXT} AS sentiment_text, {POST_TEXT} AS post_text FROM raw_posts"""),

@@ -20,7 +20,7 @@ from chatterscope.session import scratch_dir
 from chatterscope.sinks import tables as sk
 from chatterscope.sources import posts as ps, rss
 from chatterscope.streaming.live import start_exact_dedup, stream_dedup, stream_hourly_sentiment
-from chatterscope.streaming.pipeline import SideTables, Tables, run_batch, run_rss_batch, start_pipeline
+from chatterscope.streaming.pipeline import SideTables, Tables, delete_stored_posts, run_batch, run_rss_batch, start_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -258,13 +258,21 @@ def fk_semi(spark, d):
 
 @query
 def delete_posts_cascade(spark, d):
-    deleted = fx.wide_posts(spark, d).where("subreddit = 'error'")
-    posts, scores, entities = sk.delete_posts_cascade(
-        deleted, fx.wide_posts(spark, d), fx.sentiment(spark, d), fx.entities(spark, d)
-    )
+    """Posts, scores and entities stored by day and batch, less the posts of one subreddit: the rows that remain."""
+    tables = _tables(spark)
+    posts = fx.wide_posts(spark, d)
+    batch = F.when(F.col("subreddit") == "error", F.lit("b1")).when(F.hour("created_utc") < 12, F.lit("b2")).otherwise(F.lit("b3"))
+    # Each third of the other posts shares its batch with those to be deleted.
+    batch = F.when(F.col("title").endswith("3}"), F.lit("b1")).otherwise(batch)
+    own = posts.select("post_id", F.to_date("created_utc").alias("dt"), batch.alias("batch"))
+    stored = {"raw_posts": posts, "sentiment_scores": fx.sentiment(spark, d), "extracted_entities": fx.entities(spark, d)}
+    for name, rows in stored.items():
+        sk.overwrite_partitions(rows.join(own, "post_id"), tables.path(name), "dt", "batch")
+    delete_stored_posts(posts.where("subreddit = 'error'"), tables)
+    items = {"raw_posts": "subreddit", "sentiment_scores": "label", "extracted_entities": "entity_text"}
     return ps.union_sources(*[
-        t.agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(n))
-        for n, t in (("posts", posts), ("sentiment", scores), ("entities", entities))
+        spark.read.parquet(tables.path(name)).select(F.lit(name).alias("name"), "post_id", F.col(item).alias("item"))
+        for name, item in items.items()
     ])
 
 

@@ -103,13 +103,19 @@ class KeyIndex:
         name = self._table(rows.sparkSession, generation)
         rows.repartition(self.buckets, self.column).write.insertInto(name)
 
-    def compact(self, spark: SparkSession, last: str) -> None:
+    def forget(self, keys: DataFrame) -> None:
+        """Takes keys out, so that they count as new once they come again."""
+        self.compact(keys.sparkSession, BASE, without=keys)
+
+    def compact(self, spark: SparkSession, last: str, without: DataFrame | None = None) -> None:
         """Makes the files of a bucket one. Keys of all batches but the last, which alone can be repeated, become the base's.
 
         The next generation is written whole before it counts; after a crash the former one still does.
         """
         now = self._generation(spark)
         rows = spark.table(self._table(spark, now))
+        if without is not None:
+            rows = rows.join(without.select(self.column), self.column, "left_anti")
         whose = F.when(F.max((F.col("batch") != last).cast("int")) == 1, F.lit(BASE)).otherwise(F.lit(last))
         for kind in ("keys", "filters"):
             remove(spark, self._folder(kind, now + 1))  # of an attempt that was lost

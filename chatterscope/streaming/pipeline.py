@@ -19,6 +19,7 @@ from chatterscope.operators.summaries import daily_summary
 from chatterscope.schemas import (
     EXTRACTED_ENTITIES, KEYWORD_TRENDS, RAW_POSTS, SENTIMENT_SCORES, WORD_COUNTS,
 )
+from chatterscope.sinks.cascade import delete_posts
 from chatterscope.sinks.keys import KeyIndex
 from chatterscope.sinks.tables import (
     first_per_key, overwrite_partitions, quarantined, read_table, upsert_daily_summary, valid,
@@ -161,6 +162,15 @@ def store_new_posts(posts: DataFrame, batch: str, tables: Tables, order: list[Co
     return new
 
 
+def delete_stored_posts(deleted: DataFrame, tables: Tables) -> list[tuple]:
+    """Deletes posts, their scores and entities, and forgets their keys; daily rows and keywords stay as they were counted."""
+    spark = deleted.sparkSession
+    touched = delete_posts(spark, deleted, *map(tables.path, ("raw_posts", "sentiment_scores", "extracted_entities")))
+    if touched:
+        tables.post_keys(spark).forget(deleted)
+    return touched
+
+
 def refresh_keywords(spark: SparkSession, new: DataFrame, batch: str, tables: Tables) -> None:
     """Brings the keywords of the hours of new stored posts up to date, and of these alone.
 
