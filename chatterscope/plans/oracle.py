@@ -599,6 +599,13 @@ ORACLE: dict[str, str] = {
     "stream_hourly_sentiment_closed": sql("by_hour wide_now", """
         SELECT by_hour.* FROM by_hour, wide_now
         WHERE hour_bucket + INTERVAL 1 HOUR <= date_trunc('millisecond', as_of) - INTERVAL 2 HOURS"""),
+    "stream_metrics": sql("raw_posts", """
+        , t AS (SELECT date_trunc('second', created_utc) AS made FROM raw_posts),
+          m AS (SELECT avg(epoch(made)) AS middle FROM t),
+          a AS (SELECT count(*) AS n, max(made) - INTERVAL 2 HOURS AS mark FROM t, m WHERE epoch(made) >= middle)
+        SELECT 1::BIGINT AS batch, n AS attempted, n AS inserted, 0::BIGINT AS dropped_late FROM a
+        UNION ALL
+        SELECT 2, count(*), 0, count(*) FILTER (made <= mark) FROM t, a""".lstrip()),
     "late_posts": sql("keyword_rows", "SELECT * FROM keyword_rows"),
 }
 ORACLE["stream_dedup_exact"] = ORACLE["stream_dedup_posts"]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chatterscope import fixtures as fx, resources as rs
 from chatterscope.functions import text as tx
@@ -20,6 +20,7 @@ from chatterscope.session import scratch_dir
 from chatterscope.sinks import tables as sk
 from chatterscope.sources import posts as ps, rss
 from chatterscope.streaming.live import start_exact_dedup, stream_dedup, stream_hourly_sentiment
+from chatterscope.streaming.metrics import ATTEMPTED, INSERTED, MetricsListener, counted, stored_metrics
 from chatterscope.streaming.pipeline import SideTables, Tables, delete_stored_posts, run_batch, run_rss_batch, start_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +645,31 @@ def stream_dedup_exact(spark, d):
     return spark.read.parquet(out).drop("batch")
 
 
+@query
+def stream_metrics(spark, d):
+    """Counts of two micro-batches: the later half of the posts, then all of them, most of which come too late."""
+    landed, out, path = (scratch_dir(spark, name) for name in ("landed", "once", "metrics"))
+    posts = fx.landed_posts(spark, d)
+    late = F.col("created_epoch") < posts.agg(F.avg("created_epoch")).scalar()
+    listener = MetricsListener(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        for part in (posts.where(~late), posts):
+            part.write.mode("append").json(landed)
+            arriving = counted(ps.normalize_post(ps.parsed(ps.stream_posts(spark, landed))), ATTEMPTED)
+            kept = counted(stream_dedup(arriving), INSERTED)
+            run = kept.writeStream.format("parquet").option("path", out).option(
+                "checkpointLocation", f"{out}-checkpoint"
+            ).trigger(availableNow=True).start()
+            listener.flush(run)
+    finally:
+        spark.streams.removeListener(listener)
+    # Batches without rows only move the watermark on.
+    found = stored_metrics(spark, path).where("attempted > 0 and duration_ms >= 0")
+    number = F.row_number().over(Window.partitionBy("query").orderBy("batch_id")).cast("long")
+    return found.select(number.alias("batch"), "attempted", "inserted", "dropped_late")
+
+
 def _scored_stream(spark, d, name: str) -> DataFrame:
     path = scratch_dir(spark, name)
     su.posts_join_sentiment(
