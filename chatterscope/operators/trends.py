@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chatterscope.constants import ROLLING_ROWS, SPIKE_FACTOR
 from chatterscope.functions.numbers import alert_band, round_half_up
 from chatterscope.functions.times import recent
+from chatterscope.operators.orders import timeline_order
 
 
 # A series holds one row per hour, so its length is bounded by the hours on record
@@ -163,7 +164,5 @@ def keyword_timeline(trending: DataFrame, as_of, keywords=None, days: int = 7) -
     return (
         slicers(recent(trending, "hour_bucket", as_of, days=days), keywords)
         .select("subreddit", "keyword", "hour_bucket", "frequency", "spike_ratio", "is_trending")
-        .orderBy(
-            F.desc("hour_bucket"), F.desc_nulls_first("spike_ratio"), "subreddit", "keyword"
-        )
+        .orderBy(*timeline_order())
     )

@@ -545,6 +545,21 @@ ORACLE: dict[str, str] = {
     "keyword_timeline": sql("tk tk_now", """
         SELECT subreddit, keyword, hour_bucket, frequency, spike_ratio, is_trending FROM tk, tk_now
         WHERE hour_bucket >= as_of - INTERVAL 7 DAYS AND keyword = 'u1'"""),
+    "trend_view_order": sql("tk", """
+        SELECT *, row_number() OVER (ORDER BY hour_bucket DESC, spike_ratio DESC NULLS LAST, subreddit, keyword)
+                  AS position FROM tk"""),
+    "timeline_order": sql("tk", """
+        SELECT subreddit, keyword, hour_bucket, frequency, spike_ratio, is_trending, row_number() OVER (
+                 ORDER BY hour_bucket DESC, spike_ratio DESC NULLS FIRST, subreddit, keyword) AS position
+        FROM tk WHERE hour_bucket >= TIMESTAMP '2024-01-03 00:00:00' - INTERVAL 7 DAYS"""),
+    "display_orders": sql("by_hour wide_now scores", """
+        SELECT item, value, tile, position FROM (
+          SELECT 'gauge' AS tile, label AS item, n AS value, row_number() OVER (ORDER BY n DESC, label) AS position
+          FROM (SELECT label, count(*) AS n FROM scores JOIN wide USING (post_id), wide_now
+                WHERE created_utc >= as_of - INTERVAL 24 HOURS GROUP BY label)
+          UNION ALL
+          SELECT 'line', subreddit, total_posts, row_number() OVER (ORDER BY hour_bucket, subreddit)
+          FROM by_hour, wide_now WHERE hour_bucket >= as_of - INTERVAL 7 DAYS)"""),
     "top_n_per_group": sql("trends", """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subreddit
                          ORDER BY frequency DESC, hour_bucket DESC, keyword) AS rank FROM trends)

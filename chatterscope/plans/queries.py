@@ -14,7 +14,7 @@ from chatterscope.functions import text as tx
 from chatterscope.functions.numbers import alert_band
 from chatterscope.functions.times import latest, on_day, recent
 from chatterscope.operators import (
-    entities as en, keywords as kw, plugins, sentiment as se, summaries as su, toplists, trends as tr,
+    entities as en, keywords as kw, orders, plugins, sentiment as se, summaries as su, toplists, trends as tr,
 )
 from chatterscope.session import scratch_dir
 from chatterscope.sinks import tables as sk
@@ -478,6 +478,32 @@ def keyword_timeline(spark, d):
     return tr.keyword_timeline(_tk(spark, d), _tk_as_of(spark, d), ["u1"])
 
 
+@query
+def trend_view_order(spark, d):
+    """The trend view as it is shown, with places: hours without a ratio come last in their hour."""
+    return orders.with_positions(_tk(spark, d), orders.trend_view_order())
+
+
+@query
+def timeline_order(spark, d):
+    """The week's keyword lines as they are shown, with places: hours without a ratio come first in their hour."""
+    line = tr.keyword_timeline(_tk(spark, d), F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"))
+    return orders.with_positions(line, orders.timeline_order())
+
+
+@query
+def display_orders(spark, d):
+    """The gauge by count and the sentiment line by hour, with places."""
+    posts, scores = fx.wide_posts(spark, d), fx.sentiment(spark, d)
+    gauge = su.sentiment_gauge(posts, scores, _as_of(posts)).select(F.col("label").alias("item"), F.col("count").alias("value"))
+    line = su.sentiment_line(posts, scores, _as_of(posts))
+    line = line.select("hour_bucket", F.col("subreddit").alias("item"), F.col("total_posts").alias("value"))
+    return ps.union_sources(
+        orders.with_positions(gauge, [F.desc("value"), F.col("item")]).withColumn("tile", F.lit("gauge")),
+        orders.with_positions(line, [F.col("hour_bucket"), F.col("item")]).drop("hour_bucket").withColumn("tile", F.lit("line")),
+    )
+
+
 @query
 def top_n_per_group(spark, d):
     order = [F.desc("frequency"), F.desc("hour_bucket"), F.col("keyword")]
