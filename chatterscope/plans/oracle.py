@@ -408,6 +408,21 @@ ORACLE: dict[str, str] = {
         SELECT post_id, subreddit, trim(title) AS title, created_utc, compound, positive, negative, neutral, label
         FROM feed_posts JOIN title_scores USING (post_id)""",
                         ("items", f"SELECT {ITEM_KEY} AS post_id, trim(title) AS txt FROM items")),
+    "rss_stream": sql("feed_posts title_scores", f"""
+        SELECT post_id, subreddit, trim(feed_posts.title) AS title,
+               CASE WHEN page_id % 6 = 5 THEN feed_posts.created_utc
+                    ELSE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(page_id AS INTEGER)) END AS created_utc,
+               compound, positive, negative, neutral, label
+        FROM feed_posts JOIN title_scores USING (post_id)
+        JOIN (SELECT page_id, {ITEM_KEY} AS post_id FROM pages) USING (post_id)""",
+                      ("items", f"SELECT {ITEM_KEY} AS post_id, trim(title) AS txt FROM items")),
+    "isolated_sources": sql("raw_posts items", """
+        SELECT 'json' AS kind, post_id AS key, NULL AS reason FROM raw_posts
+        UNION ALL SELECT 'json', NULL, 'does not parse' FROM pages WHERE page_id % 7 = 0
+        UNION ALL SELECT 'parquet', post_id, NULL FROM raw_posts
+        UNION ALL SELECT 'parquet', NULL, 'no readable parquet file'
+        UNION ALL SELECT 'xml', url, NULL FROM items
+        UNION ALL SELECT 'xml', NULL, 'does not parse'"""),
     "quarantine_rows": """
         SELECT 'title is null' AS violations, count(*) AS rows FROM pages WHERE page_id % 5 = 0
         UNION ALL SELECT 'does not parse', count(*) FROM pages WHERE page_id % 7 = 0""",

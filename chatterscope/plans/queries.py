@@ -18,10 +18,12 @@ from chatterscope.operators import (
 )
 from chatterscope.session import scratch_dir
 from chatterscope.sinks import tables as sk
+from chatterscope.schemas import LANDED_POST, RSS_ITEM
 from chatterscope.sources import posts as ps, rss
+from chatterscope.sources.isolated import read_isolated
 from chatterscope.streaming.live import start_exact_dedup, stream_dedup, stream_hourly_sentiment
 from chatterscope.streaming.metrics import ATTEMPTED, INSERTED, MetricsListener, counted, stored_metrics
-from chatterscope.streaming.pipeline import SideTables, Tables, delete_stored_posts, run_batch, run_rss_batch, start_pipeline
+from chatterscope.streaming.pipeline import SideTables, Tables, delete_stored_posts, run_batch, run_rss_batch, start_feeds, start_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -126,6 +128,64 @@ def rss_pipeline(spark, d):
     return posts.join(tables.sentiment_scores(spark).drop("dt", "batch"), "post_id")
 
 
+def _dated_items(spark, d):
+    """Feed items with a date of their own, in one of five spellings; every sixth has none that is known."""
+    made = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("page_id"))
+
+    def later(hours, pattern):
+        return F.date_format(made + F.make_dt_interval(hours=F.lit(hours)), pattern)
+
+    spelled = F.array(
+        F.concat(later(0, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")), F.concat(later(1, "d MMM yyyy HH:mm"), F.lit(" +0100")),
+        F.concat(later(0, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")), F.concat(later(-5, "yyyy-MM-dd HH:mm"), F.lit("-05:00")),
+        F.concat(later(-4, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" EDT")), F.lit("soon"),
+    )
+    pages = fx.table(spark, d, "pages").select(F.col("url").alias("link"), F.get(spelled, (F.col("page_id") % 6).cast("int")).alias("pubDate"))
+    return fx.rss_items(spark, d).join(pages, "link")
+
+
+@query
+def rss_stream(spark, d):
+    """Feeds with dates, landed twice and worked off as a stream into the tables that a stream of posts shares."""
+    path, tables = scratch_dir(spark, "feeds"), _tables(spark)
+    for _ in range(2):
+        _dated_items(spark, d).write.mode("append").partitionBy("feed").format("xml").option("rowTag", "item").option(
+            "rootTag", "channel"
+        ).save(path)
+        start_feeds(
+            rss.stream_items(spark, path), tables.root, f"{tables.root}-feeds", rs.feed_map(spark), "2024-01-31 00:00:00",
+            use_published=True, tables=tables,
+        ).awaitTermination()
+    posts = tables.raw_posts(spark).select("post_id", "subreddit", "title", "created_utc")
+    return posts.join(tables.sentiment_scores(spark).drop("dt", "batch"), "post_id")
+
+
+@query
+def isolated_sources(spark, d):
+    """Posts as lines and as Parquet and feeds as XML, each with something broken among it: what is read, and why the rest is not."""
+    lines, columns, feeds = (scratch_dir(spark, name) for name in ("lines", "columns", "feeds"))
+    posts = fx.landed_posts(spark, d)
+    posts.write.json(lines)
+    pages = fx.table(spark, d, "pages")
+    pages.where("page_id % 7 = 0").select(F.concat(F.lit('{"post_id": '), F.col("page_id"), F.lit(" oops"))).write.mode("append").text(lines)
+    posts.write.parquet(f"{columns}/whole")
+    one = pages.where("page_id = 0")
+    one.select(F.lit("PAR1 and no more")).coalesce(1).write.text(f"{columns}/broken")
+    items = fx.rss_items(spark, d).drop("feed")
+    items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(f"{feeds}/whole")
+    one.select(F.lit("<channel><item><title>cut off")).coalesce(1).write.text(f"{feeds}/broken")
+    found = []
+    for kind, path, schema, key, options in (
+        ("json", lines, LANDED_POST, "post_id", {}),
+        ("parquet", columns, LANDED_POST, "post_id", {"recursiveFileLookup": "true"}),
+        ("xml", feeds, RSS_ITEM, "link", {"recursiveFileLookup": "true", "rowTag": "item"}),
+    ):
+        rows, refused = read_isolated(spark, path, kind, schema, **options)
+        found += [rows.select(F.col(key).alias("key")), refused.select("reason")]
+        found[-2:] = [t.withColumn("kind", F.lit(kind)) for t in found[-2:]]
+    return ps.union_sources(*found)
+
+
 @query
 def quarantine_rows(spark, d):
     """Pages landed as posts, some without a title and some as lines that do not parse, by reason."""

@@ -9,6 +9,7 @@ from chatterscope.constants import LEGACY_KEY_CHARS
 from chatterscope.functions.times import timestamp
 from chatterscope.operators.broadcasts import small
 from chatterscope.schemas import RSS_ITEM
+from chatterscope.sources.isolated import read_isolated
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
@@ -23,6 +24,16 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def stream_items(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same files as a stream; each item has the name of the feed whose folder it came from."""
+    source = spark.readStream.format("xml").option("rowTag", "item").option("columnNameOfCorruptRecord", "_corrupt_record")
+    if files_per_batch:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    items = source.schema(RSS_ITEM).option("recursiveFileLookup", "true").load(path)
+    feed = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "/feed=([^/]+)/", 1))
+    return items.withColumn("feed", F.nullif(feed, F.lit("")))
+
+
 def item_key() -> Column:
     return F.coalesce(F.col("guid._VALUE"), F.col("link"), F.col("title"))
 
@@ -100,5 +111,15 @@ def items_to_posts(
 def read_rss(
     spark: SparkSession, path: str, feed_map: DataFrame, as_of, use_published: bool = False
 ) -> DataFrame:
+    """The posts of all items that parse; ``read_feeds`` tells what does not."""
     whole = read_items(spark, path).where(F.col("_corrupt_record").isNull())
     return items_to_posts(whole, feed_map, as_of, use_published)
+
+
+def read_feeds(
+    spark: SparkSession, path: str, feed_map: DataFrame, as_of, use_published: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The posts of a folder of feeds, and a row (file, line, reason) for each item and file that can't be read."""
+    schema = T.StructType([*RSS_ITEM.fields, T.StructField("feed", T.StringType())])
+    items, refused = read_isolated(spark, path, "xml", schema, rowTag="item")
+    return items_to_posts(items, feed_map, as_of, use_published), refused

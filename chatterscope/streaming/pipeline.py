@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import time
 from dataclasses import dataclass
@@ -239,3 +240,28 @@ def start_pipeline(
         run_batch(landed, name, tables, sides, body_chars, lengths)
 
     return start_batches(posts, checkpoint, on_batch, every)
+
+
+def start_feeds(
+    items: DataFrame,
+    root: str,
+    checkpoint: str,
+    feed_map: DataFrame,
+    as_of=None,
+    sides: SideTables | None = None,
+    every: str | None = None,
+    use_published: bool = False,
+    tables: Tables | None = None,
+) -> StreamingQuery:
+    """The job on a stream of landed feed items, next to that of posts and into the same tables.
+
+    ``as_of`` is the time of collection; by default it is the time at which a batch is handled.
+    """
+    spark = items.sparkSession
+    tables, sides = tables or Tables(root), sides or SideTables.shipped(spark)
+
+    def on_batch(landed: DataFrame, name: str) -> None:
+        collected = as_of if as_of is not None else dt.datetime.now(dt.timezone.utc)
+        run_rss_batch(landed, name, tables, sides, feed_map, collected, use_published)
+
+    return start_batches(items, checkpoint, on_batch, every)
