@@ -37,6 +37,12 @@ class ItemAutomaton(SuffixAutomaton):
 
     def all_added(self) -> None:
         self.items: list[set[int]] = [set() for _ in self.length]
+        self.by_length = sorted(range(1, len(self.length)), key=self.length.__getitem__)
+        #: For each state of `window` words or more, that of the suffix of so many.
+        self.suffix = [0] * len(self.length)
+        for s in self.by_length:
+            up = self.link[s]
+            self.suffix[s] = self.suffix[up] if self.length[up] >= self.window else s
 
     def mark(self, item: int, words: list[int]) -> None:
         """Notes the item at the state of each of its windows. To be called when all items are added."""
@@ -45,7 +51,7 @@ class ItemAutomaton(SuffixAutomaton):
             return
         for at, state, length in self.matches(words):
             if length >= self.window:
-                self.items[self._suffix(state)].add(item)
+                self.items[self.suffix[state]].add(item)
 
     def _walk(self, words: list[int]) -> int:
         state = 0
@@ -53,12 +59,6 @@ class ItemAutomaton(SuffixAutomaton):
             state = self.next[state][w]
         return state
 
-    def _suffix(self, state: int) -> int:
-        """The state of the suffix of `window` words."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
     def finish(self, short: list[list[int]]) -> None:
         """The short items that are suffixes of each state, nearest first. States whose words are a whole short item keep its length."""
         self.short_length = [0] * len(self.length)
@@ -66,14 +66,14 @@ class ItemAutomaton(SuffixAutomaton):
             self.short_length[self._walk(words)] = len(words)
         # To the nearest state up the links, the state itself included, that is a short item.
         self.short = [0] * len(self.length)
-        for s in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+        for s in self.by_length:
             self.short[s] = s if self.short_length[s] else self.short[self.link[s]]
 
     def hits(self, words: list[int]) -> Iterator[tuple[int, int, set[int]]]:
         """Spans of words that are some item's window, with the items that have it."""
         for at, state, length in self.matches(words):
             if length >= self.window:
-                s = self._suffix(state)
+                s = self.suffix[state]
                 yield at + 1 - self.window, at + 1, self.items[s]
                 state = self.link[s]
             # A state also stands for shorter suffixes than its longest; a match may be one of them.
@@ -136,14 +136,20 @@ class ItemBlock:
         return words, found
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[str], list[str | None]]]:
-    """Items in blocks of bounded size, one at a time on the driver."""
-    items = benchmark.selectExpr("cast(item_id as string) item_id", "coalesce(text, '') text")
+Block = tuple[list[str | None], list[str]]
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[int, Iterator[Block]]:
+    """How many blocks of bounded size the items have, and the blocks, one at a time on the driver. Items that repeat count once."""
+    items = benchmark.selectExpr("cast(item_id as string) item_id", "coalesce(text, '') text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + 2 * total // block_bytes
-    for k in range(parts):
+
+    def block(k: int) -> Block:
         rows = (items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)).collect()
-        yield [r.item_id for r in rows], [r.text for r in rows]
+        return [r.item_id for r in rows], [r.text for r in rows]
+
+    return parts, map(block, range(parts))
 
 
 #: The block that a Python worker has built last.
@@ -157,8 +163,8 @@ def _block_of(key: str, shared) -> ItemBlock:
     return _BUILT[key]
 
 
-def _digest(items: Iterable[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+def _digest(items: Iterable[str | None]) -> str:
+    return hashlib.sha256(",".join(sorted(i for i in items if i is not None)).encode()).hexdigest()
 
 
 def _union(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -178,7 +184,7 @@ def _scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     """
     spans_at, items_at = (unused(docs, x) for x in ("spans", "items"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    blocks = list(_blocks(benchmark, block_bytes))
+    parts, blocks = _blocks(benchmark, block_bytes)
 
     def step(rows_in: DataFrame, block, first: bool, last: bool) -> DataFrame:
         ids, texts = block
@@ -201,7 +207,7 @@ def _scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
                     yield finish(rows, words, found)
                     continue
                 flat = [[int(x - np.searchsorted(words.text, k)) for s in found[k][0] for x in s] if k in found else [] for k in range(rows.num_rows)]
-                names = [sorted(found[k][1]) if k in found else [] for k in range(rows.num_rows)]
+                names = [sorted(found[k][1], key=lambda i: (i is None, i)) if k in found else [] for k in range(rows.num_rows)]
                 own = {spans_at: pa.array(flat, pa.list_(pa.int32())), items_at: pa.array(names, pa.list_(pa.string()))}
                 columns = {n: c for n, c in zip(rows.schema.names, rows.columns, strict=True) if n not in own}
                 yield pa.RecordBatch.from_pydict(columns | own)
@@ -211,7 +217,7 @@ def _scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
         return written(spark, rows_in.mapInArrow(run, f"{fields}, `{spans_at}` array<int>, `{items_at}` array<string>"), "hits")
 
     for k, block in enumerate(blocks):
-        docs = step(docs, block, k == 0, k == len(blocks) - 1)
+        docs = step(docs, block, k == 0, k == parts - 1)
     return docs
 
 
@@ -222,7 +228,8 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     """One row per document: its words, those that are hit, and the items with occurring windows.
 
     Null and empty texts have no words. Repeated doc_ids and rows are judged one by one. Items without words have no
-    window; an empty benchmark hits nothing. Only doc_id, text and item_id, text are read.
+    window; an empty benchmark hits nothing. Items without an item_id hit like others and count as one together, which
+    the digest leaves out. Only doc_id, text and item_id, text are read.
     """
 
     def report(rows: pa.RecordBatch, words: Words, found: dict) -> pa.RecordBatch:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from chatterscope.llm.decontamination import contamination, decontaminate
 
@@ -72,3 +73,21 @@ def test_decontaminate_cuts_spans_and_drops_what_is_mostly_benchmark(spark, make
         assert set(rows) == {1, 3, 4, 5}
         assert rows[1].text == f"{rest}() {rest}" and rows[1].n_chars == len(rows[1].text)
         assert (rows[3].text, rows[4].text, rows[5].text) == (rest, None, "")
+
+
+def test_items_without_an_id(spark, make_docs):
+    bench = spark.createDataFrame([(None, "red green"), (None, "blue sky"), (7, "green blue"), (7, "green blue")], ITEMS)
+    digest = hashlib.sha256(b"7").hexdigest()
+    for block_bytes in (1 << 20, 5):
+        got = contamination(spark, make_docs(["red green blue sky", "blue sky", "grey"]), bench, block_bytes=block_bytes).collect()
+        nothing = hashlib.sha256(b"").hexdigest()
+        assert sorted(tuple(r) for r in got) == [(0, 4, 4, 2, digest, True), (1, 2, 2, 1, nothing, True), (2, 1, 0, 0, nothing, False)]
+
+
+def test_one_word_over_and_over_takes_time_in_proportion(spark, make_docs):
+    """A text and an item of one repeated word: every place of the text matches the whole item but for its window."""
+    bench = spark.createDataFrame([(1, "la " * 20_000)], ITEMS)
+    start = time.monotonic()
+    row = contamination(spark, make_docs(["la " * 100_000]), bench).first()
+    assert (row.n_words, row.n_hit, row.n_items) == (100_000, 100_000, 1)
+    assert time.monotonic() - start < 30
