@@ -548,9 +548,9 @@ ORACLE: dict[str, str] = {
                min(hour_bucket) AS first_detected
         FROM tk, tk_now WHERE is_trending AND hour_bucket >= as_of - INTERVAL 48 HOURS GROUP BY 1, 2"""),
     "alert_bands": sql("tk", """
-        SELECT CASE WHEN spike_ratio > 5 THEN 'red' WHEN spike_ratio >= 3 THEN 'orange'
-                    WHEN spike_ratio >= 2 THEN 'yellow' END AS band,
-               count(*) AS hours, max(spike_ratio) AS highest FROM tk GROUP BY 1"""),
+        SELECT subreddit, keyword, hour_bucket, spike_ratio,
+               CASE WHEN spike_ratio > 5 THEN 'red' WHEN spike_ratio >= 3 THEN 'orange'
+                    WHEN spike_ratio >= 2 THEN 'yellow' END AS band FROM tk"""),
     "trending_word_cloud": sql("tk", """
         SELECT keyword, CAST(sum(frequency) AS BIGINT) AS total_frequency FROM tk WHERE is_trending
         GROUP BY 1"""),

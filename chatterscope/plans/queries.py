@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chatterscope import fixtures as fx, resources as rs
 from chatterscope.functions import text as tx
-from chatterscope.functions.numbers import alert_band
 from chatterscope.functions.times import latest, on_day, recent
 from chatterscope.operators import (
     entities as en, keywords as kw, orders, plugins, sentiment as se, summaries as su, toplists, trends as tr,
@@ -238,19 +237,23 @@ def append_new_posts(spark, d):
     return spark.read.parquet(path).select("post_id", "subreddit", "title", "created_utc")
 
 
+def _appended(spark, table, rows, order):
+    """What a stored table holds after twice the arriving rows were offered to it."""
+    path = scratch_dir(spark, table)
+    stored, arriving = _split(rows)
+    stored.write.parquet(path)
+    sk.append_counted(arriving.unionByName(arriving), spark.read.parquet(path), table, order, path)
+    return spark.read.parquet(path)
+
+
 @query
 def append_sentiment(spark, d):
-    stored, arriving = _split(fx.sentiment(spark, d))
-    added = sk.append_new(arriving.unionByName(arriving), stored, ["post_id"], [F.col("compound")])
-    return stored.unionByName(added)
+    return _appended(spark, "sentiment_scores", fx.sentiment(spark, d), [F.col("compound")])
 
 
 @query
 def append_entities(spark, d):
-    keys = ["post_id", "entity_text", "entity_type"]
-    stored, arriving = _split(fx.entities(spark, d))
-    added = sk.append_new(arriving.unionByName(arriving), stored, keys, [F.col("mention_count")])
-    return stored.unionByName(added)
+    return _appended(spark, "extracted_entities", fx.entities(spark, d), [F.col("mention_count")])
 
 
 @query
@@ -515,10 +518,8 @@ def trend_alerts(spark, d):
 
 @query
 def alert_bands(spark, d):
-    """All rated keyword hours by band."""
-    return _tk(spark, d).groupBy(alert_band(F.col("spike_ratio")).alias("band")).agg(
-        F.count(F.lit(1)).alias("hours"), F.max("spike_ratio").alias("highest")
-    )
+    """Every keyword hour with its band; those without a ratio or below all bands have none."""
+    return tr.alert_bands(_tk(spark, d)).select("subreddit", "keyword", "hour_bucket", "spike_ratio", "band")
 
 
 @query
