@@ -19,10 +19,10 @@ from chatterscope.llm.arrow_text import text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_EMAIL_AREA = re.compile(r"[A-Za-z0-9._%+@-]+")
-_EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+_LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+#: A run of digits matches from its first or not at all, so only run starts are tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -37,15 +37,21 @@ def luhn(digits: str) -> bool:
 
 
 def emails(text: str) -> list[tuple[int, int]]:
-    """Leftmost matches. Each lies within a run of the characters that an address may have, so only runs with an @ are tried."""
-    out, at = [], text.find("@")
+    """Leftmost matches: to each @ that a domain follows, all characters before it that an address may have, back to the last match.
+
+    Whether a match ends well depends on what follows the @ alone, so its leftmost start is as far back as possible.
+    """
+    out, end, at = [], 0, text.find("@")
     while at >= 0:
-        low = at
-        while low > 0 and text[low - 1] in _EMAIL_CHARS:
-            low -= 1
-        high = _EMAIL_AREA.match(text, low).end()
-        out += [m.span() for m in _EMAIL.finditer(text, low, high)]
-        at = text.find("@", high)
+        domain = _DOMAIN.match(text, at + 1)
+        if domain:
+            low = at
+            while low > end and text[low - 1] in _LOCAL_CHARS:
+                low -= 1
+            if low < at:
+                end = domain.end()
+                out.append((low, end))
+        at = text.find("@", at + 1)
     return out
 
 
@@ -114,13 +120,15 @@ _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ ,-]+)?{_DIGIT_WORD}(?:[ ,.-]+{
 _SPELLED_HINT = re.compile(r"(?:zero|one|two|three|four|five|six|seven|eight|nine)[ ,.-]+(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])", re.I)
 _SPELLED_PART = re.compile(rf"plus|{_DIGIT_WORD}", re.I)
 
-_NAME = r"[A-Za-z0-9_%+-]+"
+_NAME = r"[A-Za-z0-9_%+-]++"
+#: Names begin where no other name, or name and dot, runs on to them: from there a match would have begun.
+_BEGINS = r"(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\.)"
 _AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+at\s+|\s+@\s*|\s*@\s+|@)"
 _DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+|\.)"
 #: Ends of domain names that are no common words, for addresses in bare words.
 _DOMAINS = frozenset("com org net edu gov mil info biz io ai dev app uk de fr es nl eu ca au jp br ch se".split())
 #: An address with its at sign or a dot disguised. A bare "at" needs a "dot" that is spelled out as well.
-_DISGUISED = re.compile(rf"(?<![A-Za-z0-9])({_NAME}(?:{_DOT}{_NAME})*)({_AT})({_NAME}(?:{_DOT}{_NAME})*{_DOT}[A-Za-z]{{2,}})(?![A-Za-z0-9])", re.I)
+_DISGUISED = re.compile(rf"{_BEGINS}({_NAME}(?:{_DOT}{_NAME})*)({_AT})({_NAME}(?:{_DOT}{_NAME})*{_DOT}[A-Za-z]{{2,}})(?![A-Za-z0-9])", re.I)
 _MARKED = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]", re.I)
 #: Every disguise above has one of these. An @ next to white space is one as well.
 _MARK_HINT = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\sdot\s|\s@|@\s", re.I)

@@ -1,9 +1,11 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
+from chatterscope.llm import pii
 from chatterscope.llm.pii import _BRACKET_DOT, _MARK_HINT, KINDS, _address_edits, all_spans, luhn, personal_data
 
 PLAIN = {
@@ -85,3 +87,23 @@ def test_the_hint_holds_wherever_an_address_is_rewritten():
     texts += [f"jane{a}{at}{b}example{c}{dot}{d}org" for at in ("at", "@", "[at]", "(@)") for dot in ("dot", ".", "[dot]") for a in ("", " ", "\n") for b in ("", " ") for c in ("", " ") for d in ("", " ")]
     edited = [t for t in texts if _address_edits(t) or _BRACKET_DOT.search(t)]
     assert len(edited) > 100 and all(_MARK_HINT.search(t) for t in edited)
+
+
+def test_patterns_equal_the_plain_ones_on_random_texts():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(2)
+    for _ in range(4000):
+        text = "".join(rng.choices("ab1.@_- ", [3, 3, 1, 3, 3, 1, 1, 1], k=rng.randrange(40)))
+        assert pii.emails(text) == [m.span() for m in email.finditer(text)], text
+        text = "".join(rng.choices("12. a", [4, 4, 5, 1, 1], k=rng.randrange(40)))
+        expected = [m.span() for m in ip.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert pii.ips(text) == expected, text
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "a@" + "b" * 1_000_000, "x @ " + "_" * 1_000_000, "a." * 200_000, "1." * 300_000, "+1 " * 300_000, "a@" * 400_000])
+def test_very_long_runs_take_time_in_proportion(text):
+    start = time.monotonic()
+    pii.base_spans(text)
+    pii.disguised_spans(text)
+    assert time.monotonic() - start < 10
