@@ -44,6 +44,21 @@ STOP_ENTITIES = [
     "july", "august", "september", "october", "november", "december",
 ]
 
+# Idioms of the published sentiment method and their valence.
+IDIOMS = [
+    ("the shit", 3.0), ("the bomb", 3.0), ("bad ass", 1.5), ("badass", 1.5), ("bus stop", 0.0),
+    ("yeah right", -2.0), ("kiss of death", -1.5), ("to die for", 3.0), ("beating heart", 3.1),
+    ("broken heart", -2.9),
+]
+
+# Emoji and their Unicode short names.
+EMOJI = [
+    ("😀", "grinning face"), ("😂", "face with tears of joy"), ("😊", "smiling face with smiling eyes"),
+    ("😍", "smiling face with heart-eyes"), ("😢", "crying face"), ("😠", "angry face"),
+    ("😞", "disappointed face"), ("👍", "thumbs up"), ("👎", "thumbs down"), ("❤", "red heart"),
+    ("💔", "broken heart"), ("🎉", "party popper"), ("🔥", "fire"), ("🙏", "folded hands"),
+]
+
 # Feed name, topic and address.
 FEEDS = [
     ("bbc_technology", "technology", "https://feeds.bbci.co.uk/news/technology/rss.xml"),

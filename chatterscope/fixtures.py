@@ -110,3 +110,18 @@ def rss_items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("url").alias("link"),
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
     )
+
+
+#: One for each rule of idioms, emoji and "least"; each title takes one by its key.
+RULE_PHRASES = [
+    "they live at the bus stop", "a broken heart and a beating heart", "not to die for", "Very BAD ASS, says the crowd!",
+    "yeah right broken heart", "kiss of death", "to die", "the least effective of all", "at least effective", "The VERY least effective",
+    "least", "not the least bit good", "😢😢 and 💔!", "so 👍good ❤️ it", "all is well 😂", "the bomb 🔥, the shit", "nothing",
+]
+
+
+def ruled_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """The posts, with a phrase after each title."""
+    number = F.conv(F.substring(F.md5("post_id"), 1, 6), 16, 10).cast("long")
+    phrase = F.get(F.array(*map(F.lit, RULE_PHRASES)), (number % len(RULE_PHRASES)).cast("int"))
+    return raw_posts(spark, folder).withColumn("title", F.concat("title", F.lit(" "), phrase))

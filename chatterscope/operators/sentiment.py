@@ -1,14 +1,16 @@
 """Lexicon sentiment with context rules, after Hutto and Gilbert (ICWSM 2014).
 
 Each word is one row that carries its three predecessors; lexicon and modifiers are joined to the
-rows. Sums are kept as integers, so scores do not depend on the order of rows.
+rows. Idioms are found in the row of the text, before its words become rows: a phrase that begins within another one
+gives way, its valence stands at its first word, and its other words are plain ones. Emoji are read as their names.
+Sums are kept as integers, so scores do not depend on the order of rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chatterscope.functions.arrays import unnest_structs
+from chatterscope.functions.arrays import settled, unnest_structs
 from chatterscope.functions.numbers import round_half_up, sentiment_label
 from chatterscope.functions.text import (
     PUNCTUATION, count_char, is_blank, is_shouted, sentiment_text, strip,
@@ -23,6 +25,10 @@ BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MAX_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
 ALPHA = 15.0
+#: "least" turns the word after it, but not after these.
+NOT_LEAST = ("at", "very")
+#: Idioms and emoji are part of the plan; more than this are refused.
+MAX_IDIOMS, MAX_EMOJI = 1_000, 5_000
 
 _SCALE = 1_000_000
 
@@ -52,8 +58,63 @@ def _emphasis(text: Column) -> Column:
     return shouts + doubts
 
 
-def _word_rows(texts: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per word with its position, predecessors and the facts of its post."""
+def _listed(table: DataFrame, key: str, value: str, most: int) -> dict:
+    """A small table as a dictionary, the largest value of a key; rows with nulls are left out."""
+    found = table.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key).agg(F.max(value)).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rows of {key}")
+    return dict(map(tuple, found))
+
+
+def spell_emoji(text: Column, names: dict[str, str]) -> Column:
+    """The text with the name of each emoji, between blanks, in its place. The longest of emoji that begin alike is read."""
+    if not names:
+        return text
+    quoted = [rf"\Q{s}\E" for s in sorted(names, key=lambda s: (-len(s), s))]
+    symbol = "(?:" + "|".join(quoted) + r")\x{FE0F}?"
+    spelled = F.create_map(*[F.lit(x) for s, n in sorted(names.items()) for x in (s, f" {n} ")])
+    between = F.split(text, symbol, -1)
+    found = F.regexp_extract_all(text, F.lit(f"({symbol})"), F.lit(1))
+    bare = lambda s: F.coalesce(F.try_element_at(spelled, s), F.try_element_at(spelled, F.rtrim(s, F.lit("\ufe0f"))))
+    joined = F.zip_with(between, F.transform(found, bare), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(text.rlike(symbol), F.array_join(joined, "")).otherwise(text)
+
+
+def _mark_idioms(facts: DataFrame, idioms: dict[str, float]) -> DataFrame:
+    """Adds an array _idioms: at each word, the longest idiom that begins there (n words, valence v), or null."""
+    phrases: dict[int, dict[str, float]] = {}
+    for term, valence in idioms.items():
+        words = term.lower().split()
+        if words:
+            own, name = phrases.setdefault(len(words), {}), " ".join(words)
+            own[name] = max(valence, own.get(name, valence))
+    if not phrases:
+        return facts
+    firsts = sorted({name.split(" ")[0] for own in phrases.values() for name in own})
+    facts = settled(facts, "_low", F.transform("_tokens", F.lower))
+
+    def at(word: Column, i: Column) -> Column:
+        choices = []
+        for n in sorted(phrases, reverse=True):
+            rated = F.create_map(*[F.lit(x) for item in sorted(phrases[n].items()) for x in item])
+            value = F.try_element_at(rated, F.array_join(F.slice("_low", i + 1, n), " "))
+            choices.append(F.when(value.isNotNull(), F.struct(F.lit(n).alias("n"), value.alias("v"))))
+        return F.when(word.isin(firsts), F.coalesce(*choices))
+
+    return settled(facts, "_idioms", F.transform("_low", at)).drop("_low")
+
+
+def _idiom_fields(longest: int, i: Column) -> list[Column]:
+    """At a word: the valence of the idiom that begins there, and whether an earlier one covers it."""
+    own = F.get(F.col("_idioms"), i)
+    covered = F.lit(False)
+    for k in range(1, longest):
+        covered |= F.coalesce(F.get(F.col("_idioms"), i - k)["n"] > k, F.lit(False))
+    return [F.when(~covered, own["v"]).alias("iv"), covered.alias("inside")]
+
+
+def _word_rows(texts: DataFrame, keep: list[str], idioms: dict[str, float]) -> DataFrame:
+    """One row per word with its position, predecessors and the facts of its post, and what idioms say of it if there are any."""
     tokens = texts.select(
         *keep,
         F.struct(F.xxhash64("_text"), F.xxhash64(F.lit(1), "_text")).alias("_which"),
@@ -68,11 +129,14 @@ def _word_rows(texts: DataFrame, keep: list[str]) -> DataFrame:
         ((shouted > 0) & (shouted < F.size("_tokens"))).alias("_mixed"),
         (F.array_position(F.transform("_tokens", F.lower), "but") - 1).alias("_but"),
     )
+    facts = _mark_idioms(facts, idioms)
+    longest = max((len(term.split()) for term in idioms), default=0) if "_idioms" in facts.columns else 0
     word = F.transform(
         "_tokens",
         lambda w, i: F.struct(
             i.alias("i"), w.alias("w"),
             *[F.get(F.col("_tokens"), i - k).alias(f"p{k}") for k in (1, 2, 3)],
+            *(_idiom_fields(longest, i) if longest else []),
         ),
     )
     return unnest_structs(facts, [*keep, "_which", "_blank", "_emphasis", "_words", "_mixed", "_but"], word)
@@ -101,7 +165,11 @@ def _apply_predecessor(rows: DataFrame, modifiers: DataFrame, k: int) -> DataFra
         (F.col("_kind") == "negator") | previous.contains("n't"), F.lit(False)
     )
     turn = F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0))
-    return found.withColumn("valence", (v + boost) * turn).drop("_mterm", "_kind", "_weight")
+    found = found.withColumn("valence", (v + boost) * turn)
+    if k == 1:
+        exempt = F.coalesce(F.lower("p2").isin(*NOT_LEAST), F.lit(False))
+        found = found.withColumn("_least", F.coalesce(F.col("_kind") == "least", F.lit(False)) & ~exempt)
+    return found.drop("_mterm", "_kind", "_weight")
 
 
 def score_texts(
@@ -110,9 +178,14 @@ def score_texts(
     modifiers: DataFrame,
     blank_neutral: float = 1.0,
     carry: tuple[str, ...] = (),
+    idioms: DataFrame | None = None,
+    emoji: DataFrame | None = None,
 ) -> DataFrame:
     """Scores ``(post_id, _text)`` rows; one result per post and text.
 
+    ``idioms`` (term, valence) are phrases of one word or more whose valence replaces that of their words; ``emoji``
+    (symbol, name) are read as their names. A modifier of kind "least" turns the word after it, unless "at" or "very" comes before.
+
     Rows that repeat a post and its text are scored once, and two texts under one key apart.
     ``blank_neutral`` is the neutral share of a text without words. ``carry`` names further
     columns of the post to hand on.
@@ -123,14 +196,21 @@ def score_texts(
     boosters = modifiers.where("kind = 'booster'")
     negators = modifiers.where("kind = 'negator'")
     rated = lexicon.join(boosters.select("term"), "term", "left_anti")
-    acting = boosters.unionByName(negators.join(lexicon.select("term"), "term", "left_anti"))
+    turning = negators.unionByName(modifiers.where("kind = 'least'"))
+    acting = boosters.unionByName(turning.join(lexicon.select("term"), "term", "left_anti"))
     rated, acting = small(rated, lexicon), small(acting, modifiers)
 
-    rows = _word_rows(texts, keep).join(
+    if emoji is not None:
+        texts = texts.withColumn("_text", spell_emoji(F.col("_text"), _listed(emoji, "symbol", "name", MAX_EMOJI)))
+    phrases = {} if idioms is None else _listed(idioms, "term", "valence", MAX_IDIOMS)
+    rows = _word_rows(texts, keep, phrases).join(
         rated.select(F.col("term").alias("_term"), "valence"),
         F.lower(F.col("w")) == F.col("_term"),
         "left",
-    ).where(F.col("valence").isNotNull() | (F.col("i") == 0)).drop("_term")
+    )
+    if "iv" in rows.columns:
+        rows = rows.withColumn("valence", F.when(~F.col("inside"), F.coalesce("iv", "valence"))).drop("iv", "inside")
+    rows = rows.where(F.col("valence").isNotNull() | (F.col("i") == 0)).drop("_term")
 
     v = F.col("valence")
     rows = rows.withColumn(
@@ -139,6 +219,7 @@ def score_texts(
     )
     for k in (1, 2, 3):
         rows = _apply_predecessor(rows, acting, k)
+    rows = rows.withColumn("valence", F.when(F.col("_least"), F.col("valence") * NEGATION).otherwise(F.col("valence")))
     weight = (
         F.when((F.col("_but") < 0) | (F.col("i") == F.col("_but")), F.lit(1.0))
         .when(F.col("i") < F.col("_but"), F.lit(BEFORE_BUT))
@@ -188,21 +269,31 @@ def _finish(sums: DataFrame, keep: list[str], blank_neutral: float) -> DataFrame
 
 
 def lexicon_sentiment(
-    posts: DataFrame, lexicon: DataFrame, modifiers: DataFrame, carry: tuple[str, ...] = ()
+    posts: DataFrame,
+    lexicon: DataFrame,
+    modifiers: DataFrame,
+    carry: tuple[str, ...] = (),
+    idioms: DataFrame | None = None,
+    emoji: DataFrame | None = None,
 ) -> DataFrame:
     """Sentiment of title and body of each post."""
     texts = posts.select(
         "post_id", *carry, sentiment_text(F.col("title"), F.col("body")).alias("_text")
     )
-    return score_texts(texts, lexicon, modifiers, carry=carry)
+    return score_texts(texts, lexicon, modifiers, carry=carry, idioms=idioms, emoji=emoji)
 
 
 def title_sentiment(
-    posts: DataFrame, lexicon: DataFrame, modifiers: DataFrame, carry: tuple[str, ...] = ()
+    posts: DataFrame,
+    lexicon: DataFrame,
+    modifiers: DataFrame,
+    carry: tuple[str, ...] = (),
+    idioms: DataFrame | None = None,
+    emoji: DataFrame | None = None,
 ) -> DataFrame:
     """Sentiment of the title alone, as used for feeds; an empty title scores zero throughout."""
     texts = posts.select("post_id", *carry, F.col("title").alias("_text"))
-    return score_texts(texts, lexicon, modifiers, blank_neutral=0.0, carry=carry)
+    return score_texts(texts, lexicon, modifiers, blank_neutral=0.0, carry=carry, idioms=idioms, emoji=emoji)
 
 
 def nested(scores: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from chatterscope import resources as rs
 from chatterscope.constants import (
-    CUSTOM_STOPWORDS, FEEDS, MAX_FEATURES, MIN_DOCS, STOP_ENTITIES, TOP_ENTITIES, TOP_KEYWORDS,
+    CUSTOM_STOPWORDS, EMOJI, FEEDS, IDIOMS, MAX_FEATURES, MIN_DOCS, STOP_ENTITIES, TOP_ENTITIES, TOP_KEYWORDS,
 )
+from chatterscope.fixtures import RULE_PHRASES
 from chatterscope.functions.text import ENTITY_TOKEN, ENTITY_WORD, PUNCTUATION
 
 
@@ -221,7 +222,7 @@ part("boosters", "modifiers", "SELECT * FROM modifiers WHERE kind = 'booster'")
 part("rated", "lexicon boosters", "SELECT * FROM lexicon ANTI JOIN boosters USING (term)")
 part("acting", "modifiers boosters lexicon", """
     SELECT * FROM boosters UNION ALL
-    SELECT * FROM (SELECT * FROM modifiers WHERE kind = 'negator') ANTI JOIN lexicon USING (term)
+    SELECT * FROM (SELECT * FROM modifiers WHERE kind IN ('negator', 'least')) ANTI JOIN lexicon USING (term)
 """)
 
 
@@ -258,23 +259,42 @@ part("word_rows", "facts", """
            CASE WHEN i >= 3 THEN t[i - 2] END AS p3
     FROM (SELECT *, unnest(range(0, len(t))) AS i FROM facts)
 """)
-part("v0", "word_rows rated", f"""
-    SELECT r.*, valence + CASE WHEN mixed AND {shouted('w')} THEN sign(valence) * 0.733::DOUBLE
-                               ELSE 0::DOUBLE END AS v
+part("rated_rows", "word_rows rated", """
+    SELECT r.*, valence FROM word_rows r LEFT JOIN rated ON lower(w) = rated.term
+""")
+part("idioms", "", "SELECT string_split(term, ' ') AS g, CAST(valence AS DOUBLE) AS iv FROM (VALUES " + ", ".join(
+    f"({_text(t)}, {v})" for t, v in IDIOMS) + ") t(term, valence)")
+part("idiom_starts", "facts idioms", """
+    SELECT post_id, i, max(len(g)) AS n, max_by(iv, len(g)) AS iv
+    FROM (SELECT post_id, l, unnest(range(0, len(l))) AS i
+          FROM (SELECT post_id, list_transform(t, lambda w: lower(w)) AS l FROM facts))
+    JOIN idioms ON l[i + 1] = g[1] AND l[i + 1:i + len(g)] = g GROUP BY ALL
+""")
+RATED_WITH_IDIOMS = ("word_rows rated idiom_starts", """
+    SELECT r.*, CASE WHEN NOT EXISTS (SELECT 1 FROM idiom_starts e
+                                      WHERE e.post_id = r.post_id AND e.i < r.i AND r.i < e.i + e.n)
+                     THEN coalesce(s.iv, valence) END AS valence
     FROM word_rows r LEFT JOIN rated ON lower(w) = rated.term
-    WHERE valence IS NOT NULL OR i = 0
+    LEFT JOIN idiom_starts s ON s.post_id = r.post_id AND s.i = r.i
 """)
+part("v0", "rated_rows", f"""
+    SELECT * EXCLUDE (valence), valence + CASE WHEN mixed AND {shouted('w')} THEN sign(valence) * 0.733::DOUBLE
+                                               ELSE 0::DOUBLE END AS v
+    FROM rated_rows WHERE valence IS NOT NULL OR i = 0
+""")
+_LEAST = ", coalesce(kind = 'least' AND coalesce(lower(p2) NOT IN ('at', 'very'), TRUE), FALSE) AS least"
 for _k, _damp in ((1, "1.0"), (2, "0.95"), (3, "0.9")):
+    least = _LEAST if _k == 1 else ""
     part(f"v{_k}", f"v{_k - 1} acting", f"""
         SELECT r.* EXCLUDE (v), (v + CASE WHEN kind = 'booster' THEN (sign(v) * weight
                  + CASE WHEN mixed AND {shouted(f'p{_k}')} THEN sign(v) * 0.733::DOUBLE ELSE 0::DOUBLE END)
                  * {_damp}::DOUBLE ELSE 0::DOUBLE END)
                * CASE WHEN coalesce(kind = 'negator' OR contains(lower(p{_k}), 'n''t'), FALSE)
-                      THEN -0.74::DOUBLE ELSE 1::DOUBLE END AS v
+                      THEN -0.74::DOUBLE ELSE 1::DOUBLE END AS v{least}
         FROM v{_k - 1} r LEFT JOIN acting ON lower(p{_k}) = acting.term
     """)
 part("hits", "v3", f"""
-    SELECT post_id, blank, emphasis, words, {units('''v * CASE WHEN but_at < 0 OR i = but_at THEN 1::DOUBLE
+    SELECT post_id, blank, emphasis, words, {units('''v * CASE WHEN least THEN -0.74::DOUBLE ELSE 1::DOUBLE END * CASE WHEN but_at < 0 OR i = but_at THEN 1::DOUBLE
              WHEN i < but_at THEN 0.5::DOUBLE ELSE 1.5::DOUBLE END''')} AS h FROM v3
 """)
 part("sums", "hits", """
@@ -350,9 +370,11 @@ POST_TEXTS = f"SELECT post_id, {POST_TEXT} AS txt FROM raw_posts"
 SENTIMENT_TEXTS = f"SELECT post_id, {SENTIMENT_TEXT} AS txt FROM raw_posts"
 
 
-def sql(needs: str, body: str, texts: tuple[str, str] | None = None) -> str:
+def sql(needs: str, body: str, texts: tuple[str, str] | None = None, rated_rows: tuple[str, str] | None = None) -> str:
     """The statement with the parts it needs, each after the parts it is made of."""
     parts = dict(PARTS)
+    if rated_rows:
+        parts["rated_rows"] = (tuple(rated_rows[0].split()), rated_rows[1])
     if texts:
         parts["texts"] = (tuple(texts[0].split()), texts[1])
     order: list[str] = []
@@ -372,6 +394,20 @@ def sql(needs: str, body: str, texts: tuple[str, str] | None = None) -> str:
 
 ON_POSTS = ("raw_posts", POST_TEXTS)
 ON_SENTIMENT = ("raw_posts", SENTIMENT_TEXTS)
+
+
+def spelled(value: str) -> str:
+    for symbol, name in EMOJI:
+        value = rf"regexp_replace({value}, '{symbol}\x{{FE0F}}?', ' {name} ', 'g')"
+    return value
+
+
+RULED = f"([{_list(RULE_PHRASES)}])[crc % {len(RULE_PHRASES)} + 1]"
+ON_SPELLED = ("raw_posts", f"SELECT post_id, {spelled(SENTIMENT_TEXT)} AS txt FROM raw_posts")
+ON_RULES = ("raw_posts", f"""
+    SELECT post_id, {spelled(SENTIMENT_TEXT)} AS txt
+    FROM (SELECT post_id, title || ' ' || {RULED} AS title, body
+          FROM (SELECT *, CAST(('0x' || left(md5(post_id), 6)) AS BIGINT) AS crc FROM raw_posts))""")
 EPOCH = "epoch(date_trunc('second', created_utc))"
 
 ORACLE: dict[str, str] = {
@@ -407,7 +443,7 @@ ORACLE: dict[str, str] = {
     "rss_pipeline": sql("feed_posts title_scores", """
         SELECT post_id, subreddit, trim(title) AS title, created_utc, compound, positive, negative, neutral, label
         FROM feed_posts JOIN title_scores USING (post_id)""",
-                        ("items", f"SELECT {ITEM_KEY} AS post_id, trim(title) AS txt FROM items")),
+                        ("items", f"SELECT {ITEM_KEY} AS post_id, {spelled('trim(title)')} AS txt FROM items"), RATED_WITH_IDIOMS),
     "rss_stream": sql("feed_posts title_scores", f"""
         SELECT post_id, subreddit, trim(feed_posts.title) AS title,
                CASE WHEN page_id % 6 = 5 THEN feed_posts.created_utc
@@ -415,7 +451,7 @@ ORACLE: dict[str, str] = {
                compound, positive, negative, neutral, label
         FROM feed_posts JOIN title_scores USING (post_id)
         JOIN (SELECT page_id, {ITEM_KEY} AS post_id FROM pages) USING (post_id)""",
-                      ("items", f"SELECT {ITEM_KEY} AS post_id, trim(title) AS txt FROM items")),
+                      ("items", f"SELECT {ITEM_KEY} AS post_id, {spelled('trim(title)')} AS txt FROM items"), RATED_WITH_IDIOMS),
     "isolated_sources": sql("raw_posts items", """
         SELECT 'json' AS kind, post_id AS key, NULL AS reason FROM raw_posts
         UNION ALL SELECT 'json', NULL, 'does not parse' FROM pages WHERE page_id % 7 = 0
@@ -586,7 +622,8 @@ ORACLE: dict[str, str] = {
     "tfidf_keywords": sql("tfidf", "SELECT * FROM tfidf"),
     "frequency_keywords": sql("by_count", "SELECT * FROM by_count"),
     "keyword_trends": sql("keyword_rows", "SELECT * FROM keyword_rows"),
-    "lexicon_sentiment": sql("text_scores", "SELECT * FROM text_scores", ON_SENTIMENT),
+    "lexicon_sentiment": sql("text_scores", "SELECT * FROM text_scores", ON_SPELLED, RATED_WITH_IDIOMS),
+    "sentiment_rules": sql("text_scores", "SELECT * FROM text_scores", ON_RULES, RATED_WITH_IDIOMS),
     "flatten_sentiment": sql("scores", "SELECT * FROM scores"),
     "rss_title_sentiment": sql("title_scores", "SELECT * FROM title_scores",
                                ("items", f"SELECT {ITEM_KEY} AS post_id, title AS txt FROM items")),

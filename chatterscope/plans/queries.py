@@ -618,6 +618,13 @@ def lexicon_sentiment_repeats(spark, d):
     return se.lexicon_sentiment(posts.unionByName(posts), rs.lexicon(spark), rs.modifiers(spark))
 
 
+@query
+def sentiment_rules(spark, d):
+    """Posts whose titles go on with a phrase for each rule of idioms, emoji and "least"."""
+    posts = fx.ruled_posts(spark, d)
+    return se.lexicon_sentiment(posts, rs.lexicon(spark), rs.modifiers(spark), idioms=rs.idioms(spark), emoji=rs.emoji(spark))
+
+
 @query
 def flatten_sentiment(spark, d):
     return se.flatten_sentiment(se.nested(fx.sentiment(spark, d)))

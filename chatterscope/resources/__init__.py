@@ -11,7 +11,7 @@ from importlib.resources import files
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from chatterscope.constants import FEEDS
+from chatterscope.constants import EMOJI, FEEDS, IDIOMS
 
 
 def rows(name: str) -> list[dict]:
@@ -37,6 +37,14 @@ def modifiers(spark: SparkSession) -> DataFrame:
     return _frame(spark, [{**r, "weight": float(r["weight"])} for r in rows("modifiers")])
 
 
+def idioms(spark: SparkSession) -> DataFrame:
+    return _frame(spark, [{"term": t, "valence": v} for t, v in IDIOMS])
+
+
+def emoji(spark: SparkSession) -> DataFrame:
+    return _frame(spark, [{"symbol": s, "name": n} for s, n in EMOJI])
+
+
 def gazetteer(spark: SparkSession) -> DataFrame:
     return _frame(spark, rows("gazetteer"))
 

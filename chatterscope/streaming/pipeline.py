@@ -88,10 +88,13 @@ class SideTables:
     lexicon: DataFrame
     modifiers: DataFrame
     gazetteer: DataFrame
+    idioms: DataFrame | None = None
+    emoji: DataFrame | None = None
 
     @classmethod
     def shipped(cls, spark: SparkSession) -> SideTables:
-        return cls(resources.lexicon(spark), resources.modifiers(spark), resources.gazetteer(spark))
+        names = ("lexicon", "modifiers", "gazetteer", "idioms", "emoji")
+        return cls(*[getattr(resources, name)(spark) for name in names])
 
 
 def run_batch(
@@ -122,7 +125,7 @@ def run_batch(
     new = store_new_posts(valid(checked), batch, tables, [F.col("created_utc"), F.col("title"), F.col("body")])
     posts = tables.raw_posts(spark)
     overwrite_partitions(
-        lexicon_sentiment(new, sides.lexicon, sides.modifiers, carry=("dt", "batch")),
+        lexicon_sentiment(new, sides.lexicon, sides.modifiers, ("dt", "batch"), sides.idioms, sides.emoji),
         tables.path("sentiment_scores"), "dt", "batch",
     )
     overwrite_partitions(
@@ -213,7 +216,7 @@ def run_rss_batch(
     overwrite_partitions(refused.withColumn("batch", F.lit(batch)), tables.path("quarantine"), "batch")
     new = store_new_posts(valid(checked), batch, tables, [F.col("created_utc"), F.col("title")])
     overwrite_partitions(
-        title_sentiment(new, sides.lexicon, sides.modifiers, carry=("dt", "batch")),
+        title_sentiment(new, sides.lexicon, sides.modifiers, ("dt", "batch"), sides.idioms, sides.emoji),
         tables.path("sentiment_scores"), "dt", "batch",
     )
 

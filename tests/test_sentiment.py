@@ -91,3 +91,60 @@ def test_repeated_rows_are_scored_once_and_texts_apart(spark):
     got = se.score_texts(rows, rs.lexicon(spark), rs.modifiers(spark)).collect()
     single = compound(1.9)
     assert sorted((r.post_id, r.compound) for r in got) == [("p", compound(-2.5)), ("p", single), ("q", single)]
+
+
+VALENCE = {r["term"]: float(r["valence"]) for r in rs.rows("lexicon")}
+EFFECTIVE, DIE = VALENCE["effective"], VALENCE.get("die", 0)
+
+
+@pytest.fixture(scope="module")
+def ruled(spark, score):
+    def run(*texts, **options):
+        tables = {"idioms": rs.idioms(spark), "emoji": rs.emoji(spark)} | options
+        return score(*texts, **tables)
+    return run
+
+
+@pytest.mark.parametrize("text, strength", [
+    ("they live at the bus stop", 0),
+    ("a broken heart and a beating heart", -2.9 + 3.1),
+    ("a broken heartbeat", VALENCE["broken"]),
+    ("not to die for", 3.0 * -0.74),
+    ("slightly to die for", 3.0 - 0.293),
+    ("to die", DIE),
+    ("Very BAD ASS, they said", 1.5 + 0.733 + 0.293),
+    ("yeah right broken heart", -2.0 - 2.9),
+    ("good, but yeah right", 1.9 * 0.5 - 2.0 * 1.5),
+    ("the least effective of all", EFFECTIVE * -0.74),
+    ("least effective", EFFECTIVE * -0.74),
+    ("very much least effective", (EFFECTIVE + 0.293 * 0.9) * -0.74),
+    ("at least effective", EFFECTIVE),
+    ("very least effective", EFFECTIVE + 0.293 * 0.95),
+    ("least of all effective", EFFECTIVE),
+    ("so 👍good", 1.9 + 0.293 * 0.9),
+    ("one💔two", -2.9),
+    ("😢😠❤\ufe0f", VALENCE["angry"]),
+])
+def test_idioms_least_and_emoji(ruled, text, strength):
+    assert ruled(text)[0].compound == compound(strength)
+
+
+def test_idioms_that_overlap(spark, ruled):
+    own = spark.createDataFrame([("aa bb", 2.0), ("BB  cc", 1.0), ("cc dd", 1.0), ("aa", 0.5), ("xx yy", 1.0), ("xx yy zz", 3.0), ("", 9.0), (None, 9.0), ("nn", None)], "term string, valence double")
+    texts = {"aa bb cc dd": 2.0, "bb cc dd": 1.0, "aa cc": 0.5, "xx yy": 1.0, "xx yy zz": 3.0, "xx yy zz xx yy": 4.0, "nn": 0}
+    assert [r.compound for r in ruled(*texts, idioms=own)] == [compound(s) for s in texts.values()]
+
+
+def test_rules_without_rows_and_odd_texts(spark, score, ruled):
+    none = {"idioms": rs.idioms(spark).limit(0), "emoji": rs.emoji(spark).limit(0)}
+    texts = ("a broken heart", "", None, " 💔", "😀" * 3_000, "to die for " * 3_000)
+    assert score(*texts[:3], **none) == score(*texts[:3])
+    got = ruled(*texts)
+    assert (got[1].label, got[2].neutral, got[3].compound) == ("neutral", 1, compound(-2.9))
+    assert got[4].neutral == 1 and got[5].compound == compound(9_000)
+
+
+def test_too_many_idioms_are_refused(spark, score):
+    many = spark.range(se.MAX_IDIOMS + 1).selectExpr("concat('w', id) term", "1D valence")
+    with pytest.raises(ValueError):
+        score("w1", idioms=many)
