@@ -14,7 +14,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm.scratch import written
+from chatterscope.functions.arrays import settled
+from chatterscope.llm.scratch import small_side, written
 from chatterscope.session import scratch_dir
 
 
@@ -35,49 +36,60 @@ RULES = (
 RULE_VERSION = "1"
 
 
-def matches(text: Column, rule: SecretRule) -> Column:
-    """Array of (kind, start, end) of a rule's matches in code points, leftmost and apart."""
+#: Matches are placed in blocks of this many, as appending to an array copies it.
+BLOCK = 128
+_SPANS = "array<struct<start int, rank int, kind string, end int>>"
+
+
+def _lengths(text: Column, rule: SecretRule) -> Column:
+    """Of each match: the code points before it since the last one, of itself and of its group. The last entry has no match; null without any."""
     pattern = F.lit(rule.pattern)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    group = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    between = F.split(text, rule.pattern, -1)
-    # Each match begins after all pieces and matches before it.
-    placed = F.aggregate(
-        F.arrays_zip(whole.alias("whole"), group.alias("group"), between.alias("between")),
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<kind string, start int, end int>>)").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["between"]) + F.coalesce(F.length(x["whole"]), F.lit(0))).alias("at"),
-            F.when(
-                F.length(x["group"]) >= rule.least,
-                F.array_append(
-                    acc["spans"],
-                    F.struct(
-                        F.lit(rule.kind).alias("kind"),
-                        (acc["at"] + F.length(x["between"])).alias("start"),
-                        (acc["at"] + F.length(x["between"]) + F.length(x["whole"])).alias("end"),
-                    ),
-                ),
-            ).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )["spans"]
-    none = F.expr("cast(array() as array<struct<kind string, start int, end int>>)")
-    return F.when(F.regexp_like(text, pattern), placed).otherwise(none)
+    size = lambda parts: F.transform(parts, F.length)
+    pieces = F.arrays_zip(
+        size(F.split(text, rule.pattern, -1)).alias("gap"),
+        size(F.regexp_extract_all(text, pattern, F.lit(0))).alias("whole"),
+        size(F.regexp_extract_all(text, pattern, F.lit(rule.group))).alias("group"),
+    )
+    return F.when(F.regexp_like(text, pattern), pieces)
 
 
-def scan(blobs: DataFrame, rules: Sequence[SecretRule], rule_version: str) -> DataFrame:
-    """(blob, rule_version, spans) of (blob, text); spans by start, then by the order of the rules."""
+def _with_matches(rows: DataFrame, rule: SecretRule, rank: int) -> DataFrame:
+    """Adds found_<rank>: the rule's matches in the text, leftmost and apart, as (start, rank, kind, end) in code points.
+
+    Each begins after all pieces and matches before it. Sums of blocks come first, so the time is nearly linear in the matches.
+    """
+    pieces, sums, begins = (f"{x}_{rank}" for x in ("pieces", "sums", "begins"))
+    passed = lambda x: x["gap"] + F.coalesce(x["whole"], F.lit(0))
+    block = lambda k: F.slice(pieces, k * BLOCK + 1, BLOCK)
+    none = F.array().cast(_SPANS)
+    rows = settled(rows, pieces, _lengths(F.col("text"), rule))
+    blocks = F.sequence(F.lit(0), ((F.size(pieces) - 1) / BLOCK).cast("int"))
+    rows = settled(rows, sums, F.when(F.col(pieces).isNotNull(), F.transform(blocks, lambda k: F.aggregate(block(k), F.lit(0), lambda total, x: total + passed(x)))))
+    running = F.aggregate(sums, F.array(F.lit(0)), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+    rows = settled(rows, begins, F.slice(running, F.lit(1), F.size(sums)))
 
-    def ranked(rule: SecretRule, rank: int) -> Column:
-        return F.transform(
-            matches(F.col("text"), rule),
-            lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")),
-        )
+    def placed(at: Column, k: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), (start + x["whole"]).alias("end"))
+            spans = F.when(x["group"] >= rule.least, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
+            return F.struct((acc["at"] + passed(x)).alias("at"), spans.alias("spans"))
 
-    found = [ranked(r, k) for k, r in enumerate(rules)]
+        return F.aggregate(block(k), F.struct(at.alias("at"), none.alias("spans")), step)["spans"]
+
+    found = F.when(F.col(pieces).isNull(), none).otherwise(F.flatten(F.transform(begins, placed)))
+    return settled(rows, f"found_{rank}", found).drop(pieces, sums, begins)
+
+
+def scan(blobs: DataFrame, rules: Sequence[SecretRule], rule_version: str) -> DataFrame:
+    """(blob, rule_version, spans) of (blob, text); spans by start, then by the order of the rules."""
+    for rank, rule in enumerate(rules):
+        blobs = _with_matches(blobs, rule, rank)
+    found = [F.col(f"found_{rank}") for rank in range(len(rules))]
     return blobs.select("blob", F.lit(rule_version).alias("rule_version"), F.array_sort(F.concat(*found)).alias("spans"))
 
 
-LEDGER = "blob string, rule_version string, spans array<struct<start int, rank int, kind string, end int>>"
+LEDGER = f"blob string, rule_version string, spans {_SPANS}"
 
 
 def scan_new(spark: SparkSession, versions: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULES, rule_version: str = RULE_VERSION, keys: Sequence[str] = ("path", "version")) -> DataFrame:
@@ -85,19 +97,23 @@ def scan_new(spark: SparkSession, versions: DataFrame, ledger: str, rules: Seque
 
     versions: the key columns and text. One row per given row: keys, blob and spans. A null text counts as empty; repeated
     rows share a blob and are each reported. Appending the same blobs again after a failure does no harm, as a reader
-    takes one entry for each blob and rule version. Other columns of `versions` are not read.
+    takes one entry for each blob and rule version. Other columns of `versions` are not read; keys named blob, spans or text are refused.
     """
+    if {"blob", "spans", "text"} & {k.lower() for k in keys}:
+        raise ValueError("keys can't be named blob, spans or text")
     given = versions.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
     addressed = given.withColumn("blob", F.sha2("text", 256))
     known = _entries(spark, ledger)
     todo = addressed.select("blob", "text")
     if known is not None:
-        todo = todo.join(known.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
+        # Keys are looked up alone, so the texts of known blobs don't move.
+        unseen = addressed.select("blob").distinct().join(known.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
+        todo = todo.join(small_side(written(spark, unseen, "unseen-blobs")), "blob", "left_semi")
     scan(todo.groupBy("blob").agg(F.first("text").alias("text")), rules, rule_version).write.mode("append").parquet(ledger)
     findings = _entries(spark, ledger).where(F.col("rule_version") == rule_version).where(F.size("spans") > 0).dropDuplicates(["blob"])
     findings = written(spark, findings, "findings")  # a join of stored rows can be split where one blob has many paths
     held = addressed.select(*keys, "blob").join(findings.select("blob", "spans"), "blob", "left")
-    return held.select(*keys, "blob", F.coalesce("spans", F.array().cast("array<struct<start int, rank int, kind string, end int>>")).alias("spans"))
+    return held.select(*keys, "blob", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
 
 
 def _entries(spark: SparkSession, ledger: str) -> DataFrame | None:
