@@ -5,7 +5,7 @@ Every table is derived row by row from the whole given table and whole texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chatterscope.functions.numbers import sentiment_label
 from chatterscope.functions.times import epoch_of, hour_of
@@ -120,8 +120,27 @@ RULE_PHRASES = [
 ]
 
 
-def ruled_posts(spark: SparkSession, folder: str) -> DataFrame:
-    """The posts, with a phrase after each title."""
+#: One for each rule of entities: stop entities, phrases within phrases, ends of sentences and lines, ties beyond the twentieth.
+ENTITY_PHRASES = [
+    "Google and Google DeepMind, Google DeepMind", "the GNU General Public License and the General Public License", "Facebook, Amazon; Twitter",
+    "Apple Apple Apple. Apache License, Apache Software Foundation", "Elon. Musk, Elon\nMusk and Elon Musk", "apple, GPT-4 or gpt-4 on Windows",
+    "China India Japan Germany France Spain Italy Canada Brazil Russia Ukraine London Paris Berlin Madrid Tokyo Beijing Tesla Sony Intel IBM Meta Apple Apple",
+    "nothing", "World Health Organization of the United Nations", "(Goldman Sachs) Reddit's New York",
+]
+
+#: Entity texts with something to clean or a reason to be dropped.
+ENTITY_TEXTS = [
+    "  gpt-5 pro-max ", "Monday", "THE", "a", " x ", "12 34", "--", "  ", "", "december", "the end", "üNITED é", "7", "!?", "é",
+    "AMAZON", "amazon web services", "new\tyork\n", "3m", "x2",
+]
+
+
+def chosen(values: list[str]) -> Column:
+    """One of the values for each post, by its key."""
     number = F.conv(F.substring(F.md5("post_id"), 1, 6), 16, 10).cast("long")
-    phrase = F.get(F.array(*map(F.lit, RULE_PHRASES)), (number % len(RULE_PHRASES)).cast("int"))
-    return raw_posts(spark, folder).withColumn("title", F.concat("title", F.lit(" "), phrase))
+    return F.get(F.array(*map(F.lit, values)), (number % len(values)).cast("int"))
+
+
+def phrased_posts(spark: SparkSession, folder: str, phrases: list[str]) -> DataFrame:
+    """The posts, with a phrase after each title."""
+    return raw_posts(spark, folder).withColumn("title", F.concat("title", F.lit(" "), chosen(phrases)))

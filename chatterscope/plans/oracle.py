@@ -9,7 +9,7 @@ from chatterscope import resources as rs
 from chatterscope.constants import (
     CUSTOM_STOPWORDS, EMOJI, FEEDS, IDIOMS, MAX_FEATURES, MIN_DOCS, STOP_ENTITIES, TOP_ENTITIES, TOP_KEYWORDS,
 )
-from chatterscope.fixtures import RULE_PHRASES
+from chatterscope.fixtures import ENTITY_PHRASES, ENTITY_TEXTS, RULE_PHRASES
 from chatterscope.functions.text import ENTITY_TOKEN, ENTITY_WORD, PUNCTUATION
 
 
@@ -392,6 +392,18 @@ def sql(needs: str, body: str, texts: tuple[str, str] | None = None, rated_rows:
     return "WITH " + ",\n".join(f"{n} AS ({parts[n][1]})" for n in order) + "\n" + body
 
 
+
+
+def cleanup(rows: str, text: str) -> str:
+    return rf"""
+        SELECT * FROM (
+          SELECT post_id, array_to_string(list_transform(
+                   regexp_extract_all(lower({strip(text)}), '\p{{L}}+|[^\p{{L}}]+'),
+                   lambda x: CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || x[2:]), '') AS entity_text
+          FROM {rows})
+        WHERE {REPORTABLE}"""
+
+
 ON_POSTS = ("raw_posts", POST_TEXTS)
 ON_SENTIMENT = ("raw_posts", SENTIMENT_TEXTS)
 
@@ -402,12 +414,18 @@ def spelled(value: str) -> str:
     return value
 
 
-RULED = f"([{_list(RULE_PHRASES)}])[crc % {len(RULE_PHRASES)} + 1]"
+def chosen(values: list[str]) -> str:
+    return f"([{_list(values)}])[CAST(('0x' || left(md5(post_id), 6)) AS BIGINT) % {len(values)} + 1]"
+
+
+def _phrased(phrases: list[str], text: str) -> tuple[str, str]:
+    return "raw_posts", f"""
+    SELECT post_id, {text} AS txt
+    FROM (SELECT post_id, title || ' ' || {chosen(phrases)} AS title, body FROM raw_posts)"""
+
+
 ON_SPELLED = ("raw_posts", f"SELECT post_id, {spelled(SENTIMENT_TEXT)} AS txt FROM raw_posts")
-ON_RULES = ("raw_posts", f"""
-    SELECT post_id, {spelled(SENTIMENT_TEXT)} AS txt
-    FROM (SELECT post_id, title || ' ' || {RULED} AS title, body
-          FROM (SELECT *, CAST(('0x' || left(md5(post_id), 6)) AS BIGINT) AS crc FROM raw_posts))""")
+ON_RULES = _phrased(RULE_PHRASES, spelled(SENTIMENT_TEXT))
 EPOCH = "epoch(date_trunc('second', created_utc))"
 
 ORACLE: dict[str, str] = {
@@ -633,13 +651,10 @@ ORACLE: dict[str, str] = {
     "lexicon_sentiment_repeats": sql("text_scores", "SELECT * FROM text_scores", ON_SENTIMENT),
     "entity_repeats": sql("found", "SELECT * FROM found", ON_POSTS),
     "extract_from_posts": sql("found", "SELECT * FROM found", ON_POSTS),
-    "entity_cleanup": sql("raw_posts", rf"""
-        SELECT * FROM (
-          SELECT post_id, array_to_string(list_transform(
-                   regexp_extract_all(lower({strip('title')}), '\p{{L}}+|[^\p{{L}}]+'),
-                   lambda x: CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || x[2:]), '') AS entity_text
-          FROM raw_posts)
-        WHERE {REPORTABLE}"""),
+    "entity_cleanup": sql("raw_posts", cleanup("raw_posts", "title")),
+    "entity_rules": sql("found", "SELECT * FROM found", _phrased(ENTITY_PHRASES, POST_TEXT)),
+    "entity_cleanup_rules": sql("raw_posts", cleanup(
+        f"(SELECT post_id, unnest([{chosen(ENTITY_TEXTS)}, title]) AS t FROM raw_posts)", "t")),
     "custom_scorer": sql("raw_posts", f"""
         SELECT post_id, share AS compound, share AS positive, 0::DOUBLE AS negative,
                round(1 - share, 3) AS neutral, 'neutral' AS label

@@ -621,7 +621,7 @@ def lexicon_sentiment_repeats(spark, d):
 @query
 def sentiment_rules(spark, d):
     """Posts whose titles go on with a phrase for each rule of idioms, emoji and "least"."""
-    posts = fx.ruled_posts(spark, d)
+    posts = fx.phrased_posts(spark, d, fx.RULE_PHRASES)
     return se.lexicon_sentiment(posts, rs.lexicon(spark), rs.modifiers(spark), idioms=rs.idioms(spark), emoji=rs.emoji(spark))
 
 
@@ -669,6 +669,20 @@ def extract_from_posts(spark, d):
     return en.extract_from_posts(fx.raw_posts(spark, d), rs.gazetteer(spark))
 
 
+@query
+def entity_rules(spark, d):
+    """Posts whose titles go on with stop entities, overlapping phrases, broken phrases or many ties."""
+    return en.extract_from_posts(fx.phrased_posts(spark, d, fx.ENTITY_PHRASES), rs.gazetteer(spark))
+
+
+@query
+def entity_cleanup_rules(spark, d):
+    """Each title follows an entity text with something to clean, in rows of their own; some of these are dropped."""
+    posts = fx.raw_posts(spark, d)
+    texts = posts.select("post_id", F.explode(F.array(fx.chosen(fx.ENTITY_TEXTS), F.col("title"))).alias("entity_text"))
+    return en.entity_cleanup(texts, "entity_text")
+
+
 @query
 def entity_repeats(spark, d):
     """Every post twice; mentions count once."""
