@@ -20,7 +20,6 @@ ROLLING_ROWS = 168
 SPIKE_FACTOR = 2.0
 
 # Post ingestion.
-BODY_CHARS = 2000
 DELETED_AUTHOR = "[deleted]"
 UNKNOWN_SUBREDDIT = "unknown"
 LISTING_LIMIT = 100

@@ -63,12 +63,12 @@ def test_random_bucket_with_a_cut_vocabulary(spark):
     assert rows(got) == by_hand(titles, 25, 10)
 
 
-def test_same_title_five_times_gives_rows(spark):
-    got = kw.keyword_trends(posts_of(spark, ["Machine learning and deep learning"] * 5)).collect()
+def test_repeated_title_gives_rows(spark):
+    got = kw.keyword_trends(posts_of(spark, ["Rain over the harbour, rain over all hills"] * 6)).collect()
     assert got and {"keyword", "frequency", "subreddit", "hour_bucket"} <= set(got[0].asDict())
     assert {r.keyword for r in got} == {
-        "machine", "learning", "deep", "machine learning", "learning deep", "deep learning"}
-    assert {r.frequency for r in got if r.keyword == "machine learning"} == {15}
+        "rain", "harbour", "hills", "rain harbour", "harbour rain", "rain hills"}
+    assert {r.frequency for r in got if r.keyword == "rain harbour"} == {18}
     assert not any(r.is_trending for r in got)
     assert {r.hour_bucket for r in got} == {dt.datetime(2024, 5, 1, 10)}
 

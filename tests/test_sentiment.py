@@ -83,6 +83,8 @@ def test_large_lexicon_is_not_broadcast(spark):
 
     wide = spark.range(50).withColumnRenamed("id", "term")
     assert is_small(wide, 50) and not is_small(wide, 49)
+    long = spark.range(3).selectExpr("repeat('x', 1000) term", "cast(null as double) valence", "array(id) other")
+    assert is_small(long, max_bytes=3_100) and not is_small(long, max_bytes=2_999) and is_small(long.limit(0), max_bytes=0)
     assert "ResolvedHint" not in small(wide, max_rows=49)._jdf.queryExecution().logical().toString()
 
 
