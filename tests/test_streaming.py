@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from chatterscope import fixtures as fx, resources as rs
 from chatterscope.operators import keywords as kw, sentiment as se, summaries as su
+from chatterscope.plans import queries
 from chatterscope.sources import posts as ps
 from chatterscope.streaming import live, pipeline as pl
 
@@ -112,3 +113,20 @@ def test_a_late_hour_rewrites_that_hour_alone(spark, tmp_path):
     # Words that were counted before come from the stored counts, not from texts.
     totals = kw.merged_counts(tables.word_counts(spark).where("hour(hour_bucket) = 2"))
     assert {(r.term, r["count"], r.df) for r in totals.collect()} >= {("", 4, 4), ("ferry", 4, 4)}
+
+
+def test_landed_files_are_no_fixed_number(spark, monkeypatch):
+    """Posts land in as many files as their join has partitions, and the hourly job still takes them in two batches."""
+    named = []
+    monkeypatch.setattr(pl, "run_batch", lambda landed, name, *_: named.append((name, landed.count())))
+    monkeypatch.setattr(pl.Tables, "daily_summary", lambda *_: None)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = queries._land(spark, D, "landed")
+        queries.hourly_pipeline(spark, D)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    posts = ps.read_posts(spark, path)
+    assert len(posts.inputFiles()) > 4 and posts.select("post_id").distinct().count() == 200 == posts.count()
+    assert len(named) == 2 and sum(n for _, n in named) == 200
