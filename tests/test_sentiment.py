@@ -150,3 +150,17 @@ def test_too_many_idioms_are_refused(spark, score):
     many = spark.range(se.MAX_IDIOMS + 1).selectExpr("concat('w', id) term", "1D valence")
     with pytest.raises(ValueError):
         score("w1", idioms=many)
+
+
+def test_only_words_that_may_be_rated_become_rows(spark):
+    """Of a long text, the first word, rated ones and beginnings of idioms."""
+    text = "plain " + "some nothing more nobody " * 500 + "good the bomb bad"
+    posts = spark.createDataFrame([("a", text)], "post_id string, _text string")
+    terms = spark.createDataFrame([("good",), ("bad",), (None,)], "term string")
+    rows = se._word_rows(posts, ["post_id"], terms, {"the bomb": 3.0, "to die for": 2.0})
+    got = {r.i: (r.w, r.p1, r.iv, r.inside) for r in rows.collect()}
+    assert got.items() >= {0: ("plain", None, None, False), 2001: ("good", "nobody", None, False),
+                           2002: ("the", "good", 3.0, False), 2004: ("bad", "bomb", None, False)}.items()
+    assert len(got) < 1000  # words may share a mark
+    plain = se._word_rows(posts, ["post_id"], terms, {}).collect()
+    assert {(r.i, r.w, r.p1) for r in plain} >= {(0, "plain", None), (2001, "good", "nobody"), (2004, "bad", "bomb")} and len(plain) < 1000
