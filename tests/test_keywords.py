@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from chatterscope import resources as rs
 from chatterscope.constants import CUSTOM_STOPWORDS
@@ -156,3 +157,13 @@ def test_counts_of_batches_make_the_same_keywords(spark):
     parts = [kw.word_counts(posts.where(f"post_id {where} 'technology2'")) for where in ("<", ">=")]
     merged = kw.merged_counts(parts[0].unionByName(parts[1]))
     assert rows(kw.tfidf_keywords(posts, counts=merged)) == rows(kw.tfidf_keywords(posts)) == by_hand(titles)
+
+
+def test_places_of_names_by_hash(spark):
+    """Every name is found where it stands, also where names share a bit; other terms are no names."""
+    names = [f"name{k}" for k in range(500)] + ["one two"]
+    sides = spark.createDataFrame([(names,), ([],)], "names array<string>")
+    rows = kw._with_places(sides).where("size(names) > 0").select("names", "places", F.explode("names").alias("name"))
+    got = rows.select("name", kw._place(F.col("name")).alias("k"), kw._bit(F.col("name")).alias("bit")).collect()
+    assert [r.k for r in got] == list(range(1, 502)) and len({r.bit for r in got}) < 501
+    assert kw._with_places(sides).select(F.size("places").alias("n")).where("n = 0").count() == 1
