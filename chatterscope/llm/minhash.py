@@ -5,9 +5,10 @@
    set are one class from here on.
 2. Bands of the signature are bucket keys. In a bucket every class is compared with one hub only, so a bucket of n
    classes gives n - 1 candidates. Candidates are confirmed on full sets.
-3. A bucket whose classes are in several components after that may still hide a link between two that are no hubs;
-   `stars` finds it, ruling pairs out by sizes, by shingles that one of them alone has, and by the triangle inequality
-   of the Jaccard distance.
+3. A bucket whose classes are in several components after that may still hide a link between two that are no hubs.
+   Its classes are written as differences from one centre, the class nearest to what all of them share. A class linked
+   with the centre needs no other link to its like. One that is not differs from it by so much that a linked class must have
+   a good part of this difference too; prefixes of the differences, rarest shingles first, find all of these.
 
 At a similarity of 0.8, five rows in a band and 32 bands miss a pair with probability 3e-6, at 0.85 with 7e-9.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.llm.arrow_text import BLANK_WORDS, mix64, split_words, text_bytes, text_slices
-from chatterscope.llm.scratch import written
+from chatterscope.llm.scratch import small_side, written
 from chatterscope.llm.stars import crowded, star_components
 
 BANDS, ROWS = 32, 5
@@ -135,18 +136,65 @@ def _may_link(a: Column, b: Column, percent: int) -> Column:
     return (100 + percent) * most >= percent * (a["n"] + b["n"])
 
 
-def _shared_shingles(ids: DataFrame, sets: DataFrame) -> DataFrame:
+def _shared_shingles(spark: SparkSession, ids: DataFrame, sets: DataFrame) -> DataFrame:
     """(id, info) by the ids' own shingles: those that no other of them has can't be common."""
-    own = sets.join(ids, "id").select("id", F.size("shingles").cast("long").alias("n"), "shingles")
+    own = sets.join(small_side(written(spark, ids, "open-ids")), "id").select("id", F.size("shingles").cast("long").alias("n"), "shingles")
     single = own.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("times"), F.min("id").alias("id"))
     single = single.where("times = 1").groupBy("id").agg(F.count("*").alias("single"))
     return own.join(single, "id", "left").select("id", F.struct("n", (F.col("n") - F.coalesce("single", F.lit(0))).alias("common")).alias("info"))
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs with their distance and whether they are linked, by the full sets. The hub of many pairs is b; Spark splits its join."""
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("_a")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("_b")), "b")
+def _differences(spark: SparkSession, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows with the shingles that they alone or their centre alone have, and the centre's number of shingles."""
+    apart = F.concat(F.array_except("shingles", "_centre"), F.array_except("_centre", "shingles"))
+    centres = sets.join(small_side(written(spark, rows.select(F.col("other.id").alias("id")).distinct(), "centres")), "id", "left_semi")
+    own = sets.join(small_side(rows.where(F.col("id") != F.col("other.id"))), "id")
+    both = own.join(centres.select(F.col("id").alias("_c"), F.col("shingles").alias("_centre")).hint("merge"), F.col("other.id") == F.col("_c"))
+    return both.select("id", "info", "part", "other", F.col("info.n").alias("n"), F.size("_centre").cast("long").alias("m"), apart.alias("apart"))
+
+
+def _nearby(spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, info, other): the pairs that may be linked, of rows that have a centre (`other`) in common, with those linked with it.
+
+    With n and m shingles and d in the difference, rows are linked if (100 + percent) * d <= (100 - percent) * (n + m). The differences
+    from a common centre of two rows then share at least t shingles, 2 * (100 + percent) * t >= W by `least`. In any fixed order of all
+    shingles one of these stands, in both, where t or more are left. Shingles of one row or one component alone come first, then the
+    rarest. A row outside, which is not linked with the centre, makes t at least 1, and large enough against any row to look it up by a
+    part of that row's difference.
+    """
+    plus, minus = 100 + percent, 100 - percent
+    rows = written(spark, rows, "centred")
+    apart = _differences(spark, rows, sets).withColumn("d", F.size("apart").cast("long"))
+    apart = written(spark, apart.withColumn("outside", plus * F.col("d") > minus * (F.col("n") + F.col("m"))), "apart")
+    linked = apart.where(~F.col("outside") & (F.col("part") != F.col("other.part"))).select("id", "info", F.struct("other.id", "other.info").alias("other"))
+
+    each = apart.select(F.col("other.id").alias("centre"), "id", "info", "part", "n", "m", "d", "outside", F.explode("apart").alias("s"))
+    times = each.groupBy("centre", "s").agg(F.count("*").alias("times"), F.min("part").alias("low"), F.max("part").alias("high"), F.max("outside").alias("any"))
+    times = written(spark, times.where("any and low < high").select("centre", "s", "times"), "times")
+    own = ["centre", "id", "info", "part", "n", "m", "d", "outside"]
+    ordered = each.join(small_side(times), ["centre", "s"]).groupBy(*own).agg(F.array_sort(F.collect_list(F.struct("times", "s"))).alias("_all"))
+    placed = ordered.select(*own, F.size("_all").alias("_size"), F.posexplode("_all").alias("_at", "_e"))
+    placed = written(spark, placed.select(*own, F.col("_e.s").alias("s"), (F.col("_size") - F.col("_at")).cast("long").alias("left")), "placed")
+
+    x = placed.where(2 * plus * F.col("left") > plus * F.col("d") + minus * (F.col("m") - F.col("n"))).alias("x")
+    y = placed.where("outside").alias("y")
+    least = plus * (F.col("x.d") + F.col("y.d")) - minus * (F.col("x.n") + F.col("y.n"))
+    meet = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.s") == F.col("y.s")) & (F.col("x.part") != F.col("y.part"))
+    meet &= (~F.col("x.outside") | (F.col("x.id") > F.col("y.id"))) & (2 * plus * F.least("x.left", "y.left") >= least)
+    pairs = x.join(y, meet).select("x.id", "x.info", F.struct("y.id", "y.info").alias("other"))
+    return linked.unionByName(pairs)
+
+
+def _compared(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with their distance and whether they are linked, by the full sets.
+
+    Sets of `a` come to the pairs where they lie. Only these rows move, to their `b`, the hub of many pairs; Spark splits its join.
+    """
+    pairs = written(spark, pairs, "pairs")
+    hubs = written(spark, pairs.select(F.col("b").alias("id")).distinct(), "pair-hubs")
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_a")).join(small_side(pairs), "a")
+    right = sets.join(small_side(hubs), "id", "left_semi").select(F.col("id").alias("b"), F.col("shingles").alias("_b"))
+    both = left.join(right.hint("merge"), "b")
     sized = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).alias("same"), (F.col("info_a.n") + F.col("info_b.n")).alias("total"))
     union = F.col("total") - F.col("same")
     return sized.select("a", "b", (100 * F.col("same") >= percent * union).alias("linked"), (1 - F.col("same") / union).alias("d"))
@@ -164,24 +212,28 @@ def near_duplicates(
     signed = written(spark, signature_rows(docs, shingle, bands, rows_in_band), "signatures")
     same = ["set_hi", "set_lo"]
     # Should a doc_id come with several texts, the one of the least set is the node.
-    full = signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*same, "n_shingles")).alias("s"))
-    full = full.select("doc_id", "s.*")
-    classes = full.groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"))
+    full = signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*same, "n_shingles")).alias("s"), F.count("*").alias("times"))
+    full = full.select("doc_id", "s.*", "times")
+    classes = full.groupBy(*same).agg(F.min(F.struct("doc_id", "n_shingles", "times")).alias("c"))
+    classes = classes.select(*same, F.col("c.doc_id").alias("id"), F.col("c.n_shingles").alias("n"), F.col("c.times").alias("times"))
     classes = written(spark, classes, "classes")
     member = full.join(classes, same).select("doc_id", "id")
 
-    keyed = signed.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", *same]).dropDuplicates(["doc_id"])
+    keyed = signed.join(classes.select(F.col("id").alias("doc_id"), "n", *same), ["doc_id", *same]).dropDuplicates(["doc_id"])
     sizes = F.struct("n", F.col("n").alias("common")).alias("info")
     buckets = crowded(spark, keyed.select(F.col("doc_id").alias("id"), sizes, F.explode("bands").alias("key")))
-    everyone = buckets.select("id").distinct()
-    texts = docs.selectExpr("cast(doc_id as long) id", "text").join(everyone, "id")
-    sets = set_rows(texts, shingle).join(classes.select("id", *same), ["id", *same]).dropDuplicates(["id"])
-    sets = written(spark, sets.select("id", "shingles"), "sets")
+    # Texts stay where they are, unless those in shared buckets are too many to be broadcast by their ids.
+    everyone = written(spark, classes.join(buckets.select("id").distinct(), "id").select("id", *same, "times"), "sharing")
+    texts = docs.selectExpr("cast(doc_id as long) id", "text").join(small_side(everyone.select("id")), "id", "left_semi")
+    sets = written(spark, set_rows(texts, shingle).join(small_side(everyone), ["id", *same]).select("id", "shingles", "times"), "sets")
+    repeated = sets.where("times > 1").dropDuplicates(["id"])
+    sets = sets.where("times = 1").unionByName(repeated).select("id", "shingles")
 
     parts = star_components(
-        spark, buckets, lambda a, b: _may_link(a, b, percent), lambda pairs: _compared(pairs, sets, percent),
-        reach=(100 - percent) / 100, tighter=lambda ids: _shared_shingles(ids, sets),
+        spark, buckets, lambda a, b: _may_link(a, b, percent), lambda pairs: _compared(spark, pairs, sets, percent),
+        tighter=lambda ids: _shared_shingles(spark, ids, sets),
         centre=lambda info: -info["common"] / info["n"],  # the text nearest to what all of them share
+        nearby=lambda rows: _nearby(spark, rows, sets, percent),
     )
     found = member.join(parts.withColumnRenamed("node", "id"), "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))

@@ -1,8 +1,9 @@
 """Groups of linked rows found through shared buckets, without listing all pairs of a bucket.
 
 In a bucket every row is compared with one hub. Only a bucket whose rows then lie in several components may still hide a
-link; its rows get a second hub, and at last every pair across components that is still possible. So no linked
-pair that shares a bucket is lost, while a bucket of n alike rows costs n comparisons.
+link; its rows get a second hub, and at last every pair across components that is still possible, or those pairs that
+an operator finds by an exact filter of its own. So no linked pair that shares a bucket is lost, while a bucket of n
+alike rows costs n comparisons.
 """
 
 from __future__ import annotations
@@ -20,14 +21,18 @@ Possible = Callable[[Column, Column], Column]
 Verify = Callable[[DataFrame], DataFrame]
 
 
-def crowded(spark: SparkSession, keyed: DataFrame) -> DataFrame:
+def crowded(spark: SparkSession, keyed: DataFrame, first: Callable[[Column], Column] | None = None) -> DataFrame:
     """Rows (key, id, info) of buckets that have company, with the bucket's size and hub. Ids of any orderable type.
 
+    first: the row with the least value of it, by its info, is the hub, the smallest id among equals.
+
     Keys alone are counted first, as most have one row; rows move only if their key has more.
     """
     counts = written(spark, keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "crowded-keys")
     rows = written(spark, keyed.join(small_side(counts), "key"), "bucket-rows")
-    hubs = written(spark, rows.groupBy("key").agg(F.min(F.struct("id", "info")).alias("hub")), "hubs")
+    order = F.lit(0) if first is None else first(F.col("info"))
+    least = rows.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id", "info")).alias("hub"))
+    hubs = written(spark, least.select("key", F.struct("hub.id", "hub.info").alias("hub")), "hubs")
     return written(spark, rows.join(small_side(hubs), "key"), "buckets")
 
 
@@ -46,6 +51,7 @@ def star_components(
     tighter: Callable[[DataFrame], DataFrame] | None = None,
     centre: Callable[[Column], Column] | None = None,
     second_hub: bool = True,
+    nearby: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, component) of all rows with a link; component is the smallest id.
 
@@ -53,7 +59,9 @@ def star_components(
     to their hub differ by more. tighter: from the ids (column id) of rows in open buckets, a table (id, info) that allows no
     less than their info does, given that they are compared with each other only. centre: the row with the least value
     of it, by that info, is the second hub; a random one otherwise. second_hub: False
-    goes to that comparison at once, which is cheaper where `possible` leaves few pairs.
+    goes to that comparison at once, which is cheaper where `possible` leaves few pairs. nearby: from the rows (id, info, part, other)
+    of open buckets, where other is the second hub, pairs (id, info, other) that connect all that is linked in them; it
+    takes the place of the second hub and of that comparison.
     """
     row, hub = F.struct("id", "info"), F.col("hub")
     done = written(spark, verify(_pairs(buckets, row, hub, possible)), "verified")
@@ -75,6 +83,11 @@ def star_components(
     rest = still_open()
     if rest.isEmpty():
         return parts
+    if nearby is not None:
+        found = nearby(rest.select("id", "info", "part", "other").distinct())
+        last = _pairs(found, row, F.struct("other.id", "other.info"), possible)
+        last = written(spark, verify(last.join(done, ["a", "b"], "left_anti")), "verified")
+        return written(spark, components(spark, done.unionByName(last).where("linked")), "components")
     if second_hub:
         more = _pairs(rest.where("part != other.part"), row, F.struct("other.id", "other.info"), possible)
         more = written(spark, verify(more.join(done, ["a", "b"], "left_anti")), "verified")

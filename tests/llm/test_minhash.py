@@ -84,3 +84,28 @@ def test_densified_signatures_estimate_similarity():
     assert (sig[2] == sig[2, 0]).sum() < 160 and len(set(sig[2].tolist())) == 2  # two shingles fill all ranges
     same = len(set(sets[cuts[0] : cuts[1]].tolist()) & set(sets[cuts[1] : cuts[2]].tolist())) / len(set(sets[: cuts[2]].tolist()))
     assert abs((sig[0] == sig[1]).mean() - same) < 0.12
+
+
+def test_alike_texts_are_not_all_paired(spark, make_docs, monkeypatch):
+    """Copies with several changes each, which are linked with nothing or with a copy of their own, meet few others."""
+    from chatterscope.llm import minhash
+
+    rng, compared, inner = random.Random(8), [], minhash._compared
+
+    def counting(*args):
+        compared.extend(x.select("a", "b").collect() for x in args if "info_a" in getattr(x, "columns", ()))
+        return inner(*args)
+
+    base, texts = [f"w{k}" for k in range(150)], []
+    for k in range(160):
+        words = list(base) if k % 3 or not texts else texts[rng.randrange(len(texts))].split(" ")
+        for _ in range(rng.choice([0, 1, 4, 5, 6])):
+            words[rng.randrange(150)] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    docs = [(i, t) for i, t in enumerate(dict.fromkeys(texts))]
+    monkeypatch.setattr(minhash, "_compared", counting)
+    got = near_duplicates(spark, make_docs(docs), shingle=3, percent=85).collect()
+    expected = brute(docs, 3, 85)
+    assert {r.doc_id: tuple(r[1:]) for r in got} == expected
+    hubs, *others = map(len, compared)
+    assert 50 < sum(kept for _, _, kept in expected.values()) and sum(others) < len(docs)
