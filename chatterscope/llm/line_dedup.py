@@ -10,6 +10,8 @@ where they are, unless so many lines have candidates that these can't be broadca
 from __future__ import annotations
 
 import random
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,8 @@ ORDERS = [random.Random(9 + k).getrandbits(31) for k in range(MINIMA)]
 #: Scripts without blanks, in which each character counts as a word.
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 _APART = r"[^\p{L}\p{N}]+"
+#: Characters that are counted together, to rule out pairs by the counts alone.
+COUNTED = [*"etaonisrhldcum", "fp", "gw", "yb", "vkxjqz", "éèêëáíóúñçäöüß"]
 
 
 def words_of(line: Column) -> Column:
@@ -83,6 +87,21 @@ def _alike(a: Column, b: Column) -> Column:
     return F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int") - 1
 
 
+def _counts(norm: Column) -> Column:
+    return F.array(*[F.length(norm) - F.length(F.translate(norm, x, "")) for x in COUNTED])
+
+
+def _most(a: Column, b: Column, similarity: float) -> Column:
+    """The most edits that lines of these lengths may differ by."""
+    return F.floor(F.greatest(a, b) * (1 - similarity) + 1e-9)
+
+
+def _counts_apart(a: Column, b: Column) -> Column:
+    """An edit lowers one count by one and raises one by one at most, so lines of these counts differ by no fewer."""
+    more, fewer = (reduce(add, [F.greatest(x[k] - y[k], F.lit(0)) for k in range(len(COUNTED))]) for x, y in ((a, b), (b, a)))
+    return F.greatest(more, fewer)
+
+
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
     most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
@@ -108,14 +127,17 @@ def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, s
     """
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = written(spark, _signed(texts, min_words), "lines")
-    distinct = every.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "k1")).alias("id"), F.first("size").alias("info"), F.first("minima").alias("minima"))
+    distinct = every.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "k1")).alias("id"), F.first("size").alias("size"), F.first("minima").alias("minima"))
     distinct = written(spark, distinct, "distinct-lines")
 
     def possible(a: Column, b: Column) -> Column:
-        return F.abs(a - b) <= F.floor(F.greatest(a, b) * (1 - similarity) + 1e-9)  # each edit changes the length by one at most
+        most = _most(a["size"], b["size"], similarity)  # each edit changes the length by one at most
+        return (F.abs(a["size"] - b["size"]) <= most) & F.coalesce(_counts_apart(a["counts"], b["counts"]) <= most, F.lit(True))
 
-    keyed = distinct.where("minima is not null").select("id", "info", F.explode(_bucket_keys(F.col("minima"))).alias("key"))
-    buckets = crowded(spark, keyed)
+    # The line that occurs most often is the hub: it is the likeliest to be the one that others were made from.
+    info = F.struct("n", "size", F.lit(None).cast("array<int>").alias("counts")).alias("info")
+    keyed = distinct.where("minima is not null").select("id", info, F.explode(_bucket_keys(F.col("minima"))).alias("key"))
+    buckets = crowded(spark, keyed, first=lambda info: -info["n"])
     # Only rows that may be compared are worth their text: near to the hub, or in a bucket of three or more.
     worth = buckets.where((F.col("size") > 2) | ((F.col("id") != F.col("hub.id")) & possible(F.col("info"), F.col("hub.info"))))
     worth = worth.select("id").unionByName(worth.select("hub.id")).distinct()
@@ -123,15 +145,22 @@ def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, s
     holding = texts.join(small_side(written(spark, wanted.select("doc_id").distinct(), "wanted-docs")), "doc_id", "left_semi")
     own = _with_words(_lines(holding).join(small_side(wanted), ["doc_id", "at"]))
     lines = own.where(F.xxhash64("words") == F.col("k1")).select(F.struct("doc_id", "at", "k1").alias("id"), F.array_join("words", " ").alias("norm"))
-    lines = written(spark, lines.dropDuplicates(["id"]), "candidate-lines")
+    lines = lines.dropDuplicates(["id"]).select("id", "norm", F.length("norm").alias("size"), _counts(F.col("norm")).alias("counts"))
+    lines = written(spark, lines, "candidate-lines")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(lines.select(F.col("id").alias("a"), F.col("norm").alias("norm_a")), "a")
-        both = left.join(lines.select(F.col("id").alias("b"), F.col("norm").alias("norm_b")), "b")
+        pairs = written(spark, pairs.select("a", "b"), "pairs")
+        left = lines.select(F.col("id").alias("a"), F.col("norm").alias("norm_a"), F.struct("size", "counts").alias("x")).join(small_side(pairs), "a")
+        both = left.join(lines.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"), F.struct("size", "counts").alias("y")), "b")
+        both = both.where(possible(F.col("x"), F.col("y"))).select("a", "b", "norm_a", "norm_b")
         both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few bytes, but long to compare
         return both.select("a", "b", _similar(F.col("norm_a"), F.col("norm_b"), similarity).alias("linked"), F.lit(None).cast("double").alias("d"))
 
-    parts = star_components(spark, buckets, possible, verify, second_hub=False)
+    def counted(ids: DataFrame) -> DataFrame:
+        own = lines.join(small_side(written(spark, ids, "open-lines")), "id", "left_semi")
+        return own.select("id", F.struct(F.lit(None).cast("long").alias("n"), F.col("size").cast("int").alias("size"), "counts").alias("info"))
+
+    parts = star_components(spark, buckets, possible, verify, tighter=counted, second_hub=False)
     groups = distinct.join(parts.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")
     groups = groups.select("k1", "k2", F.coalesce("component", "id").alias("stays"))
     gone = every.join(groups, ["k1", "k2"]).where(F.struct("doc_id", "at", "k1") != F.col("stays"))

@@ -37,9 +37,11 @@ def crowded(spark: SparkSession, keyed: DataFrame, first: Callable[[Column], Col
 
 
 def _pairs(rows: DataFrame, one: Column, other: Column, possible: Possible) -> DataFrame:
+    # `possible` is asked before the pair is put in order, which would otherwise be done anew for each use of an info.
+    rows = rows.where(one["id"] != other["id"]).where(possible(one["info"], other["info"]))
     high, low = F.greatest(one, other), F.least(one, other)
     pairs = rows.select(high["id"].alias("a"), low["id"].alias("b"), high["info"].alias("info_a"), low["info"].alias("info_b"))
-    return pairs.where(F.col("a") != F.col("b")).where(possible(F.col("info_a"), F.col("info_b"))).dropDuplicates(["a", "b"])
+    return pairs.dropDuplicates(["a", "b"])
 
 
 def star_components(
@@ -99,12 +101,15 @@ def star_components(
             return parts
     near = done.select(F.col("a").alias("id"), F.col("b").alias("hub_id"), "d")
     rest = rest.drop("other").where("id != hub_id").join(near, ["id", "hub_id"], "left")
-    rest = written(spark, rest, "rest")
+    shared = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    rest = written(spark, rest.join(shared, "id"), "rest")
     x, y = rest.alias("x"), rest.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
     fits = possible(F.col("x.info"), F.col("y.info"))
     if reach is not None:
         fits &= F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= reach + 1e-9, F.lit(True))
-    last = _pairs(x.join(y, apart & fits), F.struct("x.id", "x.info"), F.struct("y.id", "y.info"), possible)
+    # Of the buckets that two rows share the first makes the pair.
+    fits &= F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")
+    last = x.join(y, apart & fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.info").alias("info_a"), F.col("y.info").alias("info_b"))
     last = written(spark, verify(last.join(done, ["a", "b"], "left_anti")), "verified")
     return written(spark, components(spark, done.unionByName(last).where("linked")), "components")

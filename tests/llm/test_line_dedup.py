@@ -142,3 +142,31 @@ def test_short_lines_and_scripts_without_blanks(spark, make_docs):
     chinese = "今天的天气非常好我们决定一起去公园散步看花"
     docs = [(1, f"home\nabout us\n\n--\n{chinese}"), (2, "Home!\nabout  us\n\n--\nabout it"), (3, chinese), (4, chinese.replace("散", "跑") + "。")]
     assert gone(spark, make_docs(docs)) == {(2, 0), (2, 1), (3, 0), (4, 0)}
+
+
+def test_copies_of_a_frequent_line_are_not_all_paired(spark, make_docs, monkeypatch):
+    """Each line differs from the frequent one by less than the limit, from each other by more. The first one is no hub."""
+    from chatterscope.llm import line_dedup
+
+    rng, pairs, star = random.Random(10), [], line_dedup.star_components
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=8))
+    base, docs = [word() for _ in range(30)], []
+    for k in range(80):
+        words = list(base)
+        if k % 4:
+            for at in rng.sample(range(30), 2):
+                words[at] = word()
+        docs.append((k + 1, " ".join(words)))
+    docs.append((0, " ".join([word(), *base[1:15], word(), word(), *base[17:]])))
+
+    def watched(spark, buckets, possible, verify, **more):
+        def verified(asked):
+            pairs.append(asked.select("a", "b").count())
+            return verify(asked)
+
+        return star(spark, buckets, possible, verified, **more)
+
+    monkeypatch.setattr(line_dedup, "star_components", watched)
+    got, expected = gone(spark, make_docs(docs)), alike(docs)
+    assert got == expected and len(expected) > 70
+    assert sum(pairs) < 3 * len(docs)
