@@ -2,7 +2,8 @@
 
 Lines are normalised and reduced to distinct ones. Two are linked if their edit similarity reaches a threshold, at every
 length. Candidates share the least hashes of their words under four of `MINIMA` orders. A SimHash can't find them: a
-changed word flips 9 of its 63 bits in a line of 8 words, and blocks that stay equal then are too short to be keys. Lines
+changed word flips 9 of its 63 bits in a line of 8 words, and blocks that stay equal then are too short to be keys. Candidates
+that no hub connects (`stars.py`) are compared with each other in cells of bounded size; only linked ones become rows. Lines
 connected by links form a group, of which the first occurrence in the corpus stays. Built-in functions only. Texts stay
 where they are, unless so many lines have candidates that these can't be broadcast.
 """
@@ -10,14 +11,15 @@ where they are, unless so many lines have candidates that these can't be broadca
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.llm.scratch import BROADCAST_ROWS, small_side, unused, written
-from chatterscope.llm.stars import crowded, star_components
+from chatterscope.llm.stars import Possible, crowded, star_components
 
 MIN_WORDS, SIMILARITY = 5, 0.9
 #: Orders of the words' hashes, and places of the orders that make a key, counted from each order on. Two keys share one at most.
@@ -31,6 +33,10 @@ UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}
 _APART = r"[^\p{L}\p{N}]+"
 #: Characters that are counted together, to rule out pairs by the counts alone.
 COUNTED = [*"etaonisrhldcum", "fp", "gw", "yb", "vkxjqz", "éèêëáíóúñçäöüß"]
+#: What stands for them while they are counted, of one byte each. A normalised line has letters, digits and blanks only.
+_STAND_IN = [x[0] if x.isascii() else "#" for x in COUNTED]
+#: Lines of a bucket are compared with each other in blocks of about so many.
+BLOCK = 128
 
 
 def words_of(line: Column) -> Column:
@@ -87,8 +93,15 @@ def _alike(a: Column, b: Column) -> Column:
     return F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int") - 1
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of the value, which is worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _counts(norm: Column) -> Column:
-    return F.array(*[F.length(norm) - F.length(F.translate(norm, x, "")) for x in COUNTED])
+    alike = F.translate(norm, "".join(COUNTED), "".join(y * len(x) for x, y in zip(COUNTED, _STAND_IN, strict=True)))
+    count = lambda line: [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(y))) for y in _STAND_IN]
+    return _with(alike, lambda line: F.array(*count(line)))
 
 
 def _most(a: Column, b: Column, similarity: float) -> Column:
@@ -105,17 +118,44 @@ def _counts_apart(a: Column, b: Column) -> Column:
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
     most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
-    # Replacing the words that differ place by place bounds the distance; mostly that decides.
-    pa, pb = F.split(a, " "), F.split(b, " ")
-    changed = F.zip_with(pa, pb, lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y))))
-    bound = F.aggregate(changed, F.lit(0), lambda total, n: total + n)
-    replaced = (F.size(pa) == F.size(pb)) & (bound <= most)
-    # What both begin and end with is left out, but for a word each, so that the blank between words is counted.
-    p, q = _alike(pa, pb), _alike(F.reverse(pa), F.reverse(pb))
-    p = F.greatest(p - 1, F.lit(0))
-    q = F.greatest(F.least(q, F.least(F.size(pa), F.size(pb)) - p) - 1, F.lit(0))
-    ra, rb = (F.array_join(F.slice(x, p + 1, F.size(x) - p - q), " ") for x in (pa, pb))
-    return F.when(replaced, True).otherwise(F.call_function("levenshtein", ra, rb, most) >= 0)  # below zero beyond the limit
+
+    def linked(x: Column) -> Column:
+        pa, pb, most = x["pa"], x["pb"], x["most"]
+        # Replacing the words that differ place by place bounds the distance; mostly that decides.
+        changed = F.zip_with(pa, pb, lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y))))
+        replaced = (F.size(pa) == F.size(pb)) & (F.aggregate(changed, F.lit(0), lambda total, n: total + n) <= most)
+        return F.when(replaced, True).otherwise(_with(F.struct(_alike(pa, pb).alias("p"), _alike(F.reverse(pa), F.reverse(pb)).alias("q")), lambda both: apart(pa, pb, both, most)))
+
+    def apart(pa: Column, pb: Column, both: Column, most: Column) -> Column:
+        # What both begin and end with is left out, but for a word each, so that the blank between words is counted.
+        p = F.greatest(both["p"] - 1, F.lit(0))
+        q = F.greatest(F.least(both["q"], F.least(F.size(pa), F.size(pb)) - p) - 1, F.lit(0))
+        ra, rb = (F.array_join(F.slice(x, p + 1, F.size(x) - p - q), " ") for x in (pa, pb))
+        return F.call_function("levenshtein", ra, rb, most) >= 0  # below zero beyond the limit
+
+    return _with(F.struct(F.split(a, " ").alias("pa"), F.split(b, " ").alias("pb"), most.alias("most")), linked)
+
+
+def _linked_in_cells(spark: SparkSession, rows: DataFrame, lines: DataFrame, possible: Possible, similarity: float) -> DataFrame:
+    """(a, b, linked): the linked pairs of rows (key, id, hub_id, part) that share a key but no part, none of them its hub.
+
+    The rows of a key are dealt into blocks. A cell is one or two of these, so no task gets all pairs of a key. The lines are compared
+    where they meet; no pair is stored, or moved to its texts. Of the keys that two rows share the first makes the pair.
+    """
+    rows = rows.where("id != hub_id")
+    blocks = written(spark, rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 0"), "blocks")
+    each = rows.groupBy("id").agg(F.collect_set("key").alias("keys"), F.first("part").alias("part"))
+    own = lines.join(small_side(written(spark, each, "open-lines")), "id").withColumn("key", F.explode("keys"))
+    own = own.join(small_side(blocks), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cell = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("low"), F.greatest(k, "block").alias("high")))
+    own = own.withColumn("cell", F.explode(cell)).select("key", "cell.low", "cell.high", "block", "id", "part", "keys", F.struct("size", "counts").alias("info"), "norm")
+    own = own.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "low", "high")  # few bytes, but long to compare
+    x, y = own.alias("x"), own.alias("y")
+    meet = reduce(and_, [F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("key", "low", "high")])
+    meet &= (F.col("x.part") != F.col("y.part")) & (F.col("x.id") > F.col("y.id")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.block") != F.col("y.block")))
+    meet &= possible(F.col("x.info"), F.col("y.info")) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
+    meet &= _similar(F.col("x.norm"), F.col("y.norm"), similarity)
+    return x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(True).alias("linked"))
 
 
 def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -154,13 +194,9 @@ def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, s
         both = left.join(lines.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"), F.struct("size", "counts").alias("y")), "b")
         both = both.where(possible(F.col("x"), F.col("y"))).select("a", "b", "norm_a", "norm_b")
         both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few bytes, but long to compare
-        return both.select("a", "b", _similar(F.col("norm_a"), F.col("norm_b"), similarity).alias("linked"), F.lit(None).cast("double").alias("d"))
-
-    def counted(ids: DataFrame) -> DataFrame:
-        own = lines.join(small_side(written(spark, ids, "open-lines")), "id", "left_semi")
-        return own.select("id", F.struct(F.lit(None).cast("long").alias("n"), F.col("size").cast("int").alias("size"), "counts").alias("info"))
+        return both.select("a", "b", _similar(F.col("norm_a"), F.col("norm_b"), similarity).alias("linked"))
 
-    parts = star_components(spark, buckets, possible, verify, tighter=counted, second_hub=False)
+    parts = star_components(spark, buckets, possible, verify, across=lambda rows, _: _linked_in_cells(spark, rows, lines, possible, similarity))
     groups = distinct.join(parts.withColumnRenamed("node", "id"), "id", "left").where("n > 1 or component is not null")
     groups = groups.select("k1", "k2", F.coalesce("component", "id").alias("stays"))
     gone = every.join(groups, ["k1", "k2"]).where(F.struct("doc_id", "at", "k1") != F.col("stays"))

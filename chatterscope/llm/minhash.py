@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from chatterscope.llm.arrow_text import BLANK_WORDS, mix64, split_words, text_bytes, text_slices
 from chatterscope.llm.scratch import small_side, written
-from chatterscope.llm.stars import crowded, star_components
+from chatterscope.llm.stars import crowded, pairs_of, star_components
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
@@ -197,7 +197,17 @@ def _compared(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: i
     both = left.join(right.hint("merge"), "b")
     sized = both.select("a", "b", F.size(F.array_intersect("_a", "_b")).alias("same"), (F.col("info_a.n") + F.col("info_b.n")).alias("total"))
     union = F.col("total") - F.col("same")
-    return sized.select("a", "b", (100 * F.col("same") >= percent * union).alias("linked"), (1 - F.col("same") / union).alias("d"))
+    return sized.select("a", "b", (100 * F.col("same") >= percent * union).alias("linked"))
+
+
+def _centred(spark: SparkSession, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, info, part, other): rows of open buckets with a centre, the text nearest to what all of a bucket share."""
+    tight = written(spark, _shared_shingles(spark, rows.select("id").distinct(), sets), "tighter")
+    rows = written(spark, rows.drop("info").join(small_side(tight), "id"), "tight-rows")
+    order = -F.col("info.common") / F.col("info.n")
+    centres = rows.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id", "info", "part")).alias("other"))
+    rows = written(spark, rows.join(small_side(written(spark, centres, "second-hubs")), "key"), "open")
+    return rows.select("id", "info", "part", "other").distinct()
 
 
 def near_duplicates(
@@ -229,12 +239,15 @@ def near_duplicates(
     repeated = sets.where("times > 1").dropDuplicates(["id"])
     sets = sets.where("times = 1").unionByName(repeated).select("id", "shingles")
 
-    parts = star_components(
-        spark, buckets, lambda a, b: _may_link(a, b, percent), lambda pairs: _compared(spark, pairs, sets, percent),
-        tighter=lambda ids: _shared_shingles(spark, ids, sets),
-        centre=lambda info: -info["common"] / info["n"],  # the text nearest to what all of them share
-        nearby=lambda rows: _nearby(spark, rows, sets, percent),
-    )
+    may = lambda a, b: _may_link(a, b, percent)
+    verify = lambda pairs: _compared(spark, pairs, sets, percent)
+
+    def across(rows: DataFrame, done: DataFrame) -> DataFrame:
+        near = _nearby(spark, _centred(spark, rows, sets), sets, percent)
+        pairs = pairs_of(near, F.struct("id", "info"), F.struct("other.id", "other.info"), may)
+        return verify(pairs.join(done, ["a", "b"], "left_anti"))
+
+    parts = star_components(spark, buckets, may, verify, across=across)
     found = member.join(parts.withColumnRenamed("node", "id"), "id", "left").select("doc_id", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     rows = signed.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce(component, "doc_id").alias("component_id"))

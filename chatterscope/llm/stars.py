@@ -1,9 +1,8 @@
 """Groups of linked rows found through shared buckets, without listing all pairs of a bucket.
 
 In a bucket every row is compared with one hub. Only a bucket whose rows then lie in several components may still hide a
-link; its rows get a second hub, and at last every pair across components that is still possible, or those pairs that
-an operator finds by an exact filter of its own. So no linked pair that shares a bucket is lost, while a bucket of n
-alike rows costs n comparisons.
+link; an operator finds those links by an exact search of its own. So no linked pair that shares a bucket is lost, while a
+bucket of n alike rows costs n comparisons.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from chatterscope.llm.components import components
 from chatterscope.llm.scratch import small_side, written
 
-#: Whether two rows' info allows a link at all; pairs (a, b, info_a, info_b) with `linked` and a distance `d` (or null).
+#: Whether two rows' info allows a link at all; and pairs (a, b, info_a, info_b) to (a, b, linked).
 Possible = Callable[[Column, Column], Column]
 Verify = Callable[[DataFrame], DataFrame]
 
@@ -36,7 +35,8 @@ def crowded(spark: SparkSession, keyed: DataFrame, first: Callable[[Column], Col
     return written(spark, rows.join(small_side(hubs), "key"), "buckets")
 
 
-def _pairs(rows: DataFrame, one: Column, other: Column, possible: Possible) -> DataFrame:
+def pairs_of(rows: DataFrame, one: Column, other: Column, possible: Possible) -> DataFrame:
+    """Pairs (a, b, info_a, info_b) of two columns (id, info) that may be linked, a the larger id, each once."""
     # `possible` is asked before the pair is put in order, which would otherwise be done anew for each use of an info.
     rows = rows.where(one["id"] != other["id"]).where(possible(one["info"], other["info"]))
     high, low = F.greatest(one, other), F.least(one, other)
@@ -44,72 +44,20 @@ def _pairs(rows: DataFrame, one: Column, other: Column, possible: Possible) -> D
     return pairs.dropDuplicates(["a", "b"])
 
 
-def star_components(
-    spark: SparkSession,
-    buckets: DataFrame,
-    possible: Possible,
-    verify: Verify,
-    reach: float | None = None,
-    tighter: Callable[[DataFrame], DataFrame] | None = None,
-    centre: Callable[[Column], Column] | None = None,
-    second_hub: bool = True,
-    nearby: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
+def star_components(spark: SparkSession, buckets: DataFrame, possible: Possible, verify: Verify, across: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of all rows with a link; component is the smallest id.
 
-    reach: the largest distance of linked rows, if `d` obeys the triangle inequality; it rules out pairs whose distances
-    to their hub differ by more. tighter: from the ids (column id) of rows in open buckets, a table (id, info) that allows no
-    less than their info does, given that they are compared with each other only. centre: the row with the least value
-    of it, by that info, is the second hub; a random one otherwise. second_hub: False
-    goes to that comparison at once, which is cheaper where `possible` leaves few pairs. nearby: from the rows (id, info, part, other)
-    of open buckets, where other is the second hub, pairs (id, info, other) that connect all that is linked in them; it
-    takes the place of the second hub and of that comparison.
+    across: from the rows (key, id, info, hub_id, part) of the buckets that span several components (part), and from the pairs that were
+    verified, a table like these that connects whatever else is linked within such a bucket.
     """
-    row, hub = F.struct("id", "info"), F.col("hub")
-    done = written(spark, verify(_pairs(buckets, row, hub, possible)), "verified")
+    done = written(spark, verify(pairs_of(buckets, F.struct("id", "info"), F.col("hub"), possible)), "verified")
     parts = written(spark, components(spark, done.where("linked")), "components")
 
-    def still_open() -> DataFrame:
-        """Rows of buckets of three or more that lie in several components, with a second hub."""
-        own = buckets.where("size > 2").join(small_side(parts).withColumnRenamed("node", "id"), "id", "left")
-        own = written(spark, own.select("key", "id", "info", F.col("hub.id").alias("hub_id"), F.coalesce("component", "id").alias("part")), "parted")
-        several = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-        rows = written(spark, own.join(small_side(written(spark, several, "several")), "key"), "open-rows")
-        if tighter is not None:
-            tight = written(spark, tighter(rows.select("id").distinct()), "tighter")
-            rows = written(spark, rows.drop("info").join(small_side(tight), "id"), "tight-rows")
-        order = F.xxhash64("id", "key").cast("double") if centre is None else centre(F.col("info"))
-        second = rows.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id", "info", "part")).alias("other"))
-        return written(spark, rows.join(small_side(written(spark, second, "second-hubs")), "key"), "open")
-
-    rest = still_open()
-    if rest.isEmpty():
+    own = buckets.where("size > 2").join(small_side(parts).withColumnRenamed("node", "id"), "id", "left")
+    own = written(spark, own.select("key", "id", "info", F.col("hub.id").alias("hub_id"), F.coalesce("component", "id").alias("part")), "parted")
+    several = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    rows = written(spark, own.join(small_side(written(spark, several, "several")), "key"), "open-rows")
+    if rows.isEmpty():
         return parts
-    if nearby is not None:
-        found = nearby(rest.select("id", "info", "part", "other").distinct())
-        last = _pairs(found, row, F.struct("other.id", "other.info"), possible)
-        last = written(spark, verify(last.join(done, ["a", "b"], "left_anti")), "verified")
-        return written(spark, components(spark, done.unionByName(last).where("linked")), "components")
-    if second_hub:
-        more = _pairs(rest.where("part != other.part"), row, F.struct("other.id", "other.info"), possible)
-        more = written(spark, verify(more.join(done, ["a", "b"], "left_anti")), "verified")
-        done = done.unionByName(more)
-        parts = written(spark, components(spark, done.where("linked")), "components")
-
-        rest = still_open()
-        if rest.isEmpty():
-            return parts
-    near = done.select(F.col("a").alias("id"), F.col("b").alias("hub_id"), "d")
-    rest = rest.drop("other").where("id != hub_id").join(near, ["id", "hub_id"], "left")
-    shared = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    rest = written(spark, rest.join(shared, "id"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
-    fits = possible(F.col("x.info"), F.col("y.info"))
-    if reach is not None:
-        fits &= F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= reach + 1e-9, F.lit(True))
-    # Of the buckets that two rows share the first makes the pair.
-    fits &= F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")
-    last = x.join(y, apart & fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.info").alias("info_a"), F.col("y.info").alias("info_b"))
-    last = written(spark, verify(last.join(done, ["a", "b"], "left_anti")), "verified")
-    return written(spark, components(spark, done.unionByName(last).where("linked")), "components")
+    more = written(spark, across(rows, done).select("a", "b", "linked"), "verified")
+    return written(spark, components(spark, done.select("a", "b", "linked").unionByName(more).where("linked")), "components")

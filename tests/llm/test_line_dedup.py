@@ -170,3 +170,28 @@ def test_copies_of_a_frequent_line_are_not_all_paired(spark, make_docs, monkeypa
     got, expected = gone(spark, make_docs(docs)), alike(docs)
     assert got == expected and len(expected) > 70
     assert sum(pairs) < 3 * len(docs)
+
+
+def test_lines_that_no_hub_connects_become_no_rows(spark, make_docs, monkeypatch):
+    """Lines end alike and begin too differently for a link; a few have a near copy. What no hub connects is not paired off."""
+    from chatterscope.llm import line_dedup
+
+    rng, asked, star = random.Random(11), [], line_dedup.star_components
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=8))
+    end = [word() for _ in range(12)]
+    lines = [[*(word() for _ in range(4)), *end] for _ in range(60)]
+    lines += [[*x[:3], word(), *x[4:]] for x in lines[30:40]]
+    docs = [(k, " ".join(x)) for k, x in enumerate(lines)]
+
+    def watched(spark, buckets, possible, verify, **more):
+        def verified(pairs):
+            asked.append(pairs.select("a", "b").count())
+            return verify(pairs)
+
+        return star(spark, buckets, possible, verified, **more)
+
+    monkeypatch.setattr(line_dedup, "star_components", watched)
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    got, expected = gone(spark, make_docs(docs)), alike(docs)
+    assert got == expected == {(k, 0) for k in range(60, 70)}
+    assert sum(asked) < 4 * len(docs)
