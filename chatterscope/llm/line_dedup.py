@@ -13,7 +13,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable
 from functools import reduce
-from operator import add, and_
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,23 +139,25 @@ def _similar(a: Column, b: Column, similarity: float) -> Column:
 def _linked_in_cells(spark: SparkSession, rows: DataFrame, lines: DataFrame, possible: Possible, similarity: float) -> DataFrame:
     """(a, b, linked): the linked pairs of rows (key, id, hub_id, part) that share a key but no part, none of them its hub.
 
-    The rows of a key are dealt into blocks. A cell is one or two of these, so no task gets all pairs of a key. The lines are compared
-    where they meet; no pair is stored, or moved to its texts. Of the keys that two rows share the first makes the pair.
+    The rows of a key are dealt into blocks. Those outside the key's largest part go to every block; only they need to be compared
+    with all others, and no task gets all pairs of a key. The lines are compared where they meet; no pair is stored, or moved to its texts.
+    Of the keys that two rows share the first makes the pair.
     """
     rows = rows.where("id != hub_id")
-    blocks = written(spark, rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 0"), "blocks")
+    parts = rows.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
+    blocks = written(spark, parts.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.col("most.part").alias("largest")), "blocks")
     each = rows.groupBy("id").agg(F.collect_set("key").alias("keys"), F.first("part").alias("part"))
-    own = lines.join(small_side(written(spark, each, "open-lines")), "id").withColumn("key", F.explode("keys"))
-    own = own.join(small_side(blocks), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    cell = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("low"), F.greatest(k, "block").alias("high")))
-    own = own.withColumn("cell", F.explode(cell)).select("key", "cell.low", "cell.high", "block", "id", "part", "keys", F.struct("size", "counts").alias("info"), "norm")
-    own = own.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "low", "high")  # few bytes, but long to compare
-    x, y = own.alias("x"), own.alias("y")
-    meet = reduce(and_, [F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("key", "low", "high")])
-    meet &= (F.col("x.part") != F.col("y.part")) & (F.col("x.id") > F.col("y.id")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.block") != F.col("y.block")))
+    own = lines.join(small_side(written(spark, each, "open-lines")), "id").withColumn("key", F.explode("keys")).join(small_side(blocks), "key")
+    own = own.select("key", "id", "part", "keys", F.struct("size", "counts").alias("info"), "norm", "blocks", (F.col("part") != F.col("largest")).alias("outside"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but long to compare
+    x = own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).repartition(n, "key", "block").alias("x")
+    y = own.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).repartition(n, "key", "block").alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.part") != F.col("y.part"))
+    meet &= ~F.col("x.outside") | (F.col("x.id") > F.col("y.id"))
     meet &= possible(F.col("x.info"), F.col("y.info")) & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
     meet &= _similar(F.col("x.norm"), F.col("y.norm"), similarity)
-    return x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(True).alias("linked"))
+    ids = F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")
+    return x.join(y, meet).select(*ids, F.lit(True).alias("linked"))
 
 
 def removals(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
