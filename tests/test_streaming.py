@@ -130,3 +130,33 @@ def test_landed_files_are_no_fixed_number(spark, monkeypatch):
     posts = ps.read_posts(spark, path)
     assert len(posts.inputFiles()) > 4 and posts.select("post_id").distinct().count() == 200 == posts.count()
     assert len(named) == 2 and sum(n for _, n in named) == 200
+
+
+def _small_tables(spark, folder, times):
+    """Documents of a few words and one event for each, at the given times."""
+    texts = [(i, f"Ferry{i}\nharbour lights number{i} harbour", "en") for i in range(len(times))]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    events = [(i, at, i, 1.0, '{"k": 1}') for i, at in enumerate(times)]
+    spark.createDataFrame(events, "event_id long, ts string, user_id long, value double, props string").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_late_posts_arrive_day_by_day_backwards(spark, tmp_path, monkeypatch):
+    """One run for each day, the latest day first and posts without a time last, and no post is left out."""
+    times = ["2024-01-01 23:59:59.9", None, "2024-01-05 12:00:00", "2024-01-01 00:00:00", "2024-01-05 00:00:00", "2024-01-05 12:30:00"]
+    folder, arrived = _small_tables(spark, str(tmp_path / "given"), times), []
+    run = pl.run_batch
+
+    def watched(landed, name, *rest):
+        day = F.to_date(F.timestamp_seconds("created_epoch")).cast("string")
+        arrived.append(sorted((r.day, r.post_id) for r in landed.select(day.alias("day"), "post_id").collect()))
+        run(landed, name, *rest)
+
+    monkeypatch.setattr(pl, "run_batch", watched)
+    got = queries.late_posts(spark, folder)
+    assert arrived == [
+        [("2024-01-05", "d2"), ("2024-01-05", "d4"), ("2024-01-05", "d5")], [("2024-01-01", "d0"), ("2024-01-01", "d3")], [(None, "d1")],
+    ]
+    expected = kw.keyword_trends(fx.raw_posts(spark, folder)).select(got.columns)
+    assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 0
