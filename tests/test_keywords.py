@@ -167,3 +167,27 @@ def test_places_of_names_by_hash(spark):
     got = rows.select("name", kw._place(F.col("name")).alias("k"), kw._bit(F.col("name")).alias("bit")).collect()
     assert [r.k for r in got] == list(range(1, 502)) and len({r.bit for r in got}) < 501
     assert kw._with_places(sides).select(F.size("places").alias("n")).where("n = 0").count() == 1
+
+
+def test_staged_vocabularies_are_worked_out_once(spark, tmp_path):
+    """With a stage the stored counts are ranked once, so the rows no longer depend on them, and are the same."""
+    texts = [(f"p{i}", "s", "harbour ferry", f"ferry{i % 4} lights harbour word{'abcdefgh'[i % 8]} ferry", i // 5) for i in range(20)]
+    posts = spark.createDataFrame(texts, "post_id string, subreddit string, title string, body string, h int").withColumn(
+        "created_utc", F.expr("TIMESTAMP_NTZ'2024-01-01 00:10:00' + make_dt_interval(0, h)"))
+    for k in (0, 1):
+        kw.word_counts(posts.where(f"hash(post_id) % 2 {'=' if k else '!='} 0")).write.parquet(str(tmp_path / f"counts/batch={k}"))
+    counts = kw.merged_counts(spark.read.parquet(str(tmp_path / "counts")))
+    got = kw.keyword_trends(posts, counts=counts, stage=str(tmp_path / "stage"))
+    assert not any("/counts/" in f for f in got.inputFiles())
+    expected = kw.keyword_trends(posts)
+    assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 0
+
+
+def test_names_that_share_a_bit_keep_their_own_places(spark):
+    words = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("w")).withColumn("bit", kw._bit(F.col("w")))
+    shared = words.groupBy("bit").agg(F.sort_array(F.collect_list("w")).alias("ws")).where("size(ws) >= 3").orderBy("bit").first()
+    one, two, absent = shared.ws[:3]
+    other = words.where(F.col("bit") != shared.bit).orderBy("w").first().w
+    sides = kw._with_places(spark.createDataFrame([([two, other, one],)], "names array<string>"))
+    found = sides.select(*[F.coalesce(kw._place(F.lit(w)), F.lit(0)) for w in (two, other, one, absent, "none of these")]).first()
+    assert tuple(found) == (1, 2, 3, 0, 0)
